@@ -9,8 +9,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from feedyard.operators.skew import HOT_ROWS, lookup_join
-
 # Names and their numbers (Sunday is day 1), and the search horizon.
 DAY_NUMBERS = {"SUN": 1, "MON": 2, "TUE": 3, "WED": 4, "THU": 5, "FRI": 6, "SAT": 7}
 MONTH_NUMBERS = {"JAN": 1, "FEB": 2, "MAR": 3, "APR": 4, "MAY": 5, "JUN": 6,
@@ -122,7 +120,8 @@ def _dom_matches(day: Column) -> Column:
     end = F.last_day(day)
     last = F.dayofmonth(end)
     minus = F.regexp_extract(dom, r"^L-(\d+)$", 1).try_cast("int")
-    near = F.least(F.regexp_extract(dom, r"^(\d+)W$", 1).try_cast("int"), last)
+    near = F.regexp_extract(dom, r"^(\d+)W$", 1).try_cast("int")
+    near = F.when(near > last, last).otherwise(near)
     near_dow = F.dayofweek(F.date_add(F.trunc(day, "month"), near - 1))
     weekday = (
         F.when(near_dow == 7, F.when(near > 1, near - 1).otherwise(near + 2))
@@ -201,31 +200,32 @@ def _local_fire(local: Column) -> Column:
 
 
 def next_fire(requests: DataFrame, cron: str = "sched_cron", tz: str | None = None, after: str = "after",
-              out: str = "next_fire", hot_rows: int = HOT_ROWS) -> DataFrame:
+              out: str = "next_fire") -> DataFrame:
     """Add the first fire time strictly after ``after``, NULL when there is none within four years.
 
     With ``tz`` the schedule is read in that zone and the result converted back; in the repeated
-    hour of an autumn change the result is still later than ``after``. Equal questions are asked
-    once; their answers are joined back without concentrating a schedule that many rows share.
+    hour of an autumn change the result is still later than ``after``.
+
+    Schedules fire on whole seconds, so equal questions per second are asked once. That also bounds
+    the rows per (expression, day) by the seconds of a day and the zones in use, however many
+    requests share one schedule. Answers are joined back by question; they are few, and beyond
+    broadcast size the adaptive skew join splits a question that very many rows ask.
     """
     zone = F.coalesce(F.nullif(F.trim(F.col(tz)), F.lit("")), F.lit("UTC")) if tz else F.lit("UTC")
-    asked = requests.withColumns({"_cron": F.col(cron), "_tz": zone, "_after": F.col(after).cast("timestamp")})
-    asks = asked.groupBy("_cron", "_tz", "_after").agg(F.count(F.lit(1)).alias("_rows")).filter("_cron IS NOT NULL AND _after IS NOT NULL")
-    local = F.from_utc_timestamp(F.date_trunc("second", "_after"), F.col("_tz"))
-    each = asks.withColumn("expr", F.explode(split_expressions(F.col("_cron")))).withColumn("_local", local).withColumn("day", F.to_date("_local"))
-    spans = each.groupBy("expr").agg(
-        F.min("day").alias("first_day"), F.date_add(F.max("day"), HORIZON_DAYS).alias("last_day"))
-    days = calendar(spans)
-    found = lookup_join(each, days, ["expr", "day"], hot_rows=hot_rows)
+    asked = requests.withColumns({"_cron": F.col(cron), "_tz": zone, "_after": F.date_trunc("second", F.col(after).cast("timestamp"))})
+    asks = asked.filter("_cron IS NOT NULL AND _after IS NOT NULL").select("_cron", "_tz", "_after").distinct()
+    each = asks.select("*", F.explode(split_expressions(F.col("_cron"))).alias("expr"),
+                       F.from_utc_timestamp("_after", F.col("_tz")).alias("_local")).withColumn("day", F.to_date("_local"))
+    spans = each.groupBy("expr").agg(F.min("day").alias("first_day"), F.date_add(F.max("day"), HORIZON_DAYS).alias("last_day"))
+    found = each.join(calendar(spans), ["expr", "day"])
     last_second = F.date_trunc("hour", "_local") + F.make_dt_interval(mins=F.lit(59), secs=F.lit(59))
     one = F.to_utc_timestamp(_local_fire(F.col("_local")), F.col("_tz"))
     two = F.to_utc_timestamp(_local_fire(last_second), F.col("_tz"))
-    fire = F.when(one > F.col("_after"), one).otherwise(F.when(two > F.col("_after"), two))
+    fires = found.withColumns({"_one": one, "_two": two})
+    fire = F.when(F.col("_one") > F.col("_after"), F.col("_one")).otherwise(F.when(F.col("_two") > F.col("_after"), F.col("_two")))
     in_reach = fire <= F.col("_after") + F.make_dt_interval(days=F.lit(HORIZON_DAYS))
-    answers = found.groupBy("_cron", "_tz", "_after").agg(
-        F.min(F.when(in_reach, fire)).alias(out), F.max("_rows").alias("_rows"))
-    joined = lookup_join(asked, answers, ["_cron", "_tz", "_after"], "_rows", hot_rows)
-    return joined.select(*requests.columns, out)
+    answers = fires.groupBy("_cron", "_tz", "_after").agg(F.min(F.when(in_reach, fire)).alias(out))
+    return asked.join(answers, ["_cron", "_tz", "_after"], "left").select(*requests.columns, out)
 
 
 def is_due(cron: Column, last: Column, fire: Column, now: Column) -> Column:

@@ -14,25 +14,16 @@ HOT_ROWS = 1_000_000
 SPREAD = 4096
 
 
-def hot_keys(counts: DataFrame, keys: list[str], count: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    return counts.filter(F.col(count) > hot_rows).select(*keys)
-
-
-def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], row_count: str | None = None,
+def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], row_count: str,
                 hot_rows: int = HOT_ROWS, spread_by: Column | None = None) -> DataFrame:
     """Left join to ``lookup`` (one row per key) without sending a hot key's facts to one task.
 
-    Lookup rows of hot keys are broadcast; facts matched there, and facts without a key, carry a
-    salt that spreads them over the shuffle join of all other keys, where they match nothing. ``row_count`` names a lookup
-    column that already holds the number of facts per key; without it the facts are counted.
+    ``row_count`` names the lookup column that holds the number of facts per key. Lookup rows of hot
+    keys are broadcast; facts matched there, and facts without a key, carry a salt that spreads them
+    over the shuffle join of all other keys, where they match nothing.
     """
     values = [c for c in lookup.columns if c not in keys and c != row_count]
-    if row_count:
-        hot = lookup.filter(F.col(row_count) > hot_rows).select(*keys, *values)
-    else:
-        counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        hot = lookup.join(hot_keys(counts, keys, "_n", hot_rows), keys, "left_semi").select(*keys, *values)
-    hot = hot.select(*keys, F.struct(F.lit(1).alias("_hit"), *values).alias("_hot"))
+    hot = lookup.filter(F.col(row_count) > hot_rows).select(*keys, F.struct(F.lit(1).alias("_hit"), *values).alias("_hot"))
     salt = F.pmod(F.xxhash64(spread_by if spread_by is not None else F.struct(*facts.columns)), F.lit(SPREAD))
     keyless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     marked = facts.join(F.broadcast(hot), keys, "left").withColumn(
