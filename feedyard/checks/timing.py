@@ -119,8 +119,9 @@ def cron_field(spark, sf_dir):
 def _fire_days(spark, sf_dir, wanted):
     """For the day of every order, how often it fell on a firing day of each schedule."""
     days = v.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day")).groupBy("day").agg(F.count(F.lit(1)).alias("n"))
-    exprs = days.withColumn("expr", F.explode(F.array(*[F.lit(e) for e in wanted])))
-    hit = schedule.parse_expressions(exprs).filter("cron_valid").filter(schedule.fires_on(F.col("day")))
+    asked = days.select("*", F.explode(F.array(*[F.lit(e) for e in wanted])).alias("expr"))
+    spans = asked.groupBy("expr").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+    hit = asked.join(schedule.firing_days(spans).filter("fires").select("expr", "day"), ["expr", "day"])
     return hit.groupBy("expr").agg(F.count(F.lit(1)).alias("fire_days"), F.sum("n").alias("orders"))
 
 

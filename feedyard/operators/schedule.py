@@ -78,125 +78,127 @@ def split_expressions(expression: Column) -> Column:
 
 
 def parse_expressions(df: DataFrame, expression: str = "expr") -> DataFrame:
-    """Add typed fields and ``cron_valid``; anything but six well-formed fields is invalid."""
+    """Add typed fields and ``cron_valid``; anything but six well-formed fields is invalid.
+
+    The day fields become a kind with its numbers, so that testing a day is plain arithmetic.
+    """
     parts = F.split(F.trim(F.col(expression)), r"\s+")
-    out = df.withColumn("_f", parts)
+    out = df.withColumn("_f", F.transform(parts, lambda x: F.upper(x)))
 
     def field(i: int) -> Column:
-        return F.upper(F.get("_f", F.lit(i)))
+        return F.get("_f", F.lit(i))
+
+    def number(pattern: str, name: str) -> Column:
+        return F.regexp_extract(name, pattern, 1).try_cast("int")
 
+    out = out.withColumns({"dom": field(3), "month": _numbered(field(4), MONTH_NUMBERS), "dow": _numbered(field(5), DAY_NUMBERS)})
+    dom, dow = F.col("dom"), F.col("dow")
     out = out.withColumns({
-        "dom": field(3), "month": _numbered(field(4), MONTH_NUMBERS), "dow": _numbered(field(5), DAY_NUMBERS),
+        "dom_kind": F.when(dom.isin("*", "?"), "ALL").when(dom == "L", "LAST").when(dom == "LW", "LAST_WEEKDAY")
+        .when(dom.rlike(r"^L-\d+$"), "BEFORE_LAST").when(dom.rlike(r"^[1-9]\d*W$"), "NEAR_WEEKDAY").otherwise("LIST"),
+        "dom_n": F.coalesce(number(r"^L-(\d+)$", "dom"), number(r"^(\d+)W$", "dom")),
+        "dow_kind": F.when(dow.isin("*", "?"), "ALL").when(dow.rlike(r"^\dL$"), "LAST").when(dow.rlike(r"^\d#\d$"), "NTH")
+        .when(dow.rlike(r"^\d/\d+([+]\d+)?$"), "WEEK_STEP").otherwise("LIST"),
+        # weekday numbers wrap around, so 8 is Sunday and 0 is Saturday
+        "dow_q": F.pmod(number(r"^(\d)", "dow") - 1, F.lit(7)) + 1,
+        "dow_n": F.coalesce(number(r"^\d#(\d)$", "dow"), number(r"^\d/(\d+)", "dow")),
+        "dow_off": F.coalesce(number(r"[+](\d+)$", "dow"), F.lit(0)),
     })
-    special_sec = field(0).rlike("[L#W]")
+    none = F.array().cast("array<int>")
+    weekdays = F.when(dow.rlike("^[*?]/"), field_values(dow, 1, 7)).otherwise(
+        F.transform(field_values(dow, 0, 9), lambda x: F.pmod(x - 1, F.lit(7)) + 1))
     out = out.withColumns({
-        "seconds": F.when(special_sec, F.array(F.lit(0))).otherwise(field_values(field(0), 0, 59)),
+        "seconds": F.when(field(0).rlike("[L#W]"), F.array(F.lit(0))).otherwise(field_values(field(0), 0, 59)),
         "minutes": field_values(field(1), 0, 59),
         "hours": field_values(field(2), 0, 23),
         "months": field_values(F.col("month"), 1, 12),
-        "dom_days": F.when(F.col("dom").rlike("[LW#]"), F.array().cast("array<int>")).otherwise(field_values(F.col("dom"), 1, 31)),
-        # weekday numbers wrap around, so 8 is Sunday and 0 is Saturday
-        "dow_days": F.transform(
-            F.when(F.col("dow").rlike(r"^\d(L|#\d|/\d+([+]\d+)?)$"), F.array().cast("array<int>"))
-            .otherwise(field_values(F.col("dow"), 0, 9)), lambda x: F.pmod(x - 1, F.lit(7)) + 1),
+        "dom_days": F.when(dom.rlike("[LW#]"), none).otherwise(field_values(dom, 1, 31)),
+        "dow_days": F.when(F.col("dow_kind") == "LIST", weekdays).otherwise(none),
     })
-    out = out.withColumn("dow_days", F.when(F.col("dow").isin("*", "?"), F.sequence(F.lit(1), F.lit(7))).when(
-        F.col("dow").rlike(r"^[*?]/"), field_values(F.col("dow"), 1, 7)).otherwise(F.col("dow_days")))
-    week_step = F.regexp_extract("dow", r"^\d/(\d+)", 1)
-    valid = (
-        (F.size("_f") == 6) & F.col("seconds").isNotNull() & F.col("minutes").isNotNull() & F.col("hours").isNotNull()
-        & F.col("months").isNotNull() & F.col("dom_days").isNotNull() & F.col("dow_days").isNotNull()
-        & ~week_step.rlike("^0+$")
-    )
-    out = out.withColumn("cron_valid", F.coalesce(valid, F.lit(False)))
+    lists = [F.col(c).isNotNull() for c in ("seconds", "minutes", "hours", "months", "dom_days", "dow_days")]
+    stepped = (F.col("dow_kind") != "WEEK_STEP") | (F.col("dow_n") > 0)
+    valid = reduce(lambda x, y: x & y, lists, (F.size("_f") == 6) & stepped)
     seconds = F.when(F.size("seconds") > 0, F.col("seconds")).otherwise(F.array(F.lit(0)))
     return out.withColumns({
+        "cron_valid": F.coalesce(valid, F.lit(False)),
         "sec_mask": bit_mask(seconds), "min_mask": bit_mask(F.col("minutes")), "hour_mask": bit_mask(F.col("hours")),
     }).drop("_f")
 
 
-def _dom_matches(day: Column) -> Column:
-    dom, d = F.col("dom"), F.dayofmonth(day)
-    end = F.last_day(day)
-    last = F.dayofmonth(end)
-    minus = F.regexp_extract(dom, r"^L-(\d+)$", 1).try_cast("int")
-    near = F.regexp_extract(dom, r"^(\d+)W$", 1).try_cast("int")
-    near = F.when(near > last, last).otherwise(near)
-    near_dow = F.dayofweek(F.date_add(F.trunc(day, "month"), near - 1))
+def _with_firing(days: DataFrame) -> DataFrame:
+    """Add ``fires`` to rows of a parsed expression and a ``day``."""
+    day = F.col("day")
+    out = days.withColumns({
+        "_d": F.dayofmonth(day), "_q": F.dayofweek(day), "_last": F.dayofmonth(F.last_day(day)), "_last_q": F.dayofweek(F.last_day(day)),
+        "_near": F.least("dom_n", F.dayofmonth(F.last_day(day))),
+    }).withColumn("_near_q", F.pmod(F.col("_q") - 1 + F.col("_near") - F.col("_d"), F.lit(7)) + 1)
+    d, last, near, kind = F.col("_d"), F.col("_last"), F.col("_near"), F.col("dom_kind")
     weekday = (
-        F.when(near_dow == 7, F.when(near > 1, near - 1).otherwise(near + 2))
-        .when(near_dow == 1, F.when(near < last, near + 1).otherwise(near - 2))
+        F.when(F.col("_near_q") == 7, F.when(near > 1, near - 1).otherwise(near + 2))
+        .when(F.col("_near_q") == 1, F.when(near < last, near + 1).otherwise(near - 2))
         .otherwise(near)
     )
-    end_dow = F.dayofweek(end)
-    return (
-        F.when(dom.isin("*", "?"), True)
-        .when(dom == "L", d == last)
-        .when(dom == "LW", d == last - F.when(end_dow == 7, 1).when(end_dow == 1, 2).otherwise(0))
-        .when(minus.isNotNull(), d == F.greatest(last - minus, F.lit(1)))
-        .when(near > 0, d == weekday)
+    by_dom = (
+        F.when(kind == "ALL", True).when(kind == "LAST", d == last)
+        .when(kind == "LAST_WEEKDAY", d == last - F.when(F.col("_last_q") == 7, 1).when(F.col("_last_q") == 1, 2).otherwise(0))
+        .when(kind == "BEFORE_LAST", d == F.greatest(last - F.col("dom_n"), F.lit(1)))
+        .when(kind == "NEAR_WEEKDAY", d == weekday)
         .otherwise(F.array_contains("dom_days", d))
     )
-
-
-def _dow_matches(day: Column) -> Column:
-    dow, d, q = F.col("dow"), F.dayofmonth(day), F.dayofweek(day)
-    number = F.substr(dow, F.lit(1), F.lit(1)).try_cast("int")
-    same = q == F.pmod(number - 1, F.lit(7)) + 1
-    nth = F.regexp_extract(dow, r"^\d#(\d)$", 1).try_cast("int")
-    step = F.regexp_extract(dow, r"^\d/(\d+)", 1).try_cast("int")
-    offset = F.coalesce(F.regexp_extract(dow, r"[+](\d+)$", 1).try_cast("int"), F.lit(0))
-    return (
-        F.when(dow.rlike(r"^\dL$"), same & (d > F.dayofmonth(F.last_day(day)) - 7))
-        .when(nth.isNotNull(), same & (F.floor((d - 1) / 7) + 1 == nth))
-        .when(step > 0, same & (F.weekofyear(day) % step == offset % step))
+    q, n, dow_kind = F.col("_q"), F.col("dow_n"), F.col("dow_kind")
+    same = q == F.col("dow_q")
+    by_dow = (
+        F.when(dow_kind == "ALL", True).when(dow_kind == "LAST", same & (d > last - 7))
+        .when(dow_kind == "NTH", same & (F.floor((d - 1) / 7) + 1 == n))
+        .when(dow_kind == "WEEK_STEP", same & (F.weekofyear(day) % n == F.col("dow_off") % n))
         .otherwise(F.array_contains("dow_days", q))
     )
+    out = out.withColumns({"_by_dom": by_dom, "_by_dow": by_dow})
+    # two restricted day fields match on either; otherwise the restricted one decides
+    either = (kind != "ALL") & (dow_kind != "ALL")
+    hit = F.when(either, F.col("_by_dom") | F.col("_by_dow")).otherwise(F.col("_by_dom") & F.col("_by_dow"))
+    return out.withColumn("fires", F.coalesce(F.array_contains("months", F.month(day)) & hit, F.lit(False))).drop(
+        "_d", "_q", "_last", "_last_q", "_near", "_near_q", "_by_dom", "_by_dow")
 
 
-def fires_on(day: Column) -> Column:
-    """Whether a parsed expression fires on a day; two restricted day fields match on either."""
-    dom_set, dow_set = ~F.col("dom").isin("*", "?"), ~F.col("dow").isin("*", "?")
-    days = F.when(dom_set & dow_set, _dom_matches(day) | _dow_matches(day)).when(dow_set, _dow_matches(day)).otherwise(_dom_matches(day))
-    return F.coalesce(F.array_contains("months", F.month(day)) & days, F.lit(False))
+def firing_days(spans: DataFrame) -> DataFrame:
+    """Every day of each ``(expr, first_day, last_day)`` with whether the expression fires on it.
+
+    Invalid expressions have no days.
+    """
+    parsed = parse_expressions(spans)
+    return _with_firing(parsed.withColumn("day", F.explode(F.when(F.col("cron_valid"), F.sequence("first_day", "last_day")))))
 
 
-def calendar(expressions: DataFrame) -> DataFrame:
-    """Days of each ``(expr, first_day, last_day)`` with whether it fires and the next day it does."""
-    parsed = parse_expressions(expressions).filter("cron_valid")
-    days = parsed.withColumn("day", F.explode(F.sequence("first_day", "last_day"))).withColumn("fires", fires_on(F.col("day")))
+def calendar(spans: DataFrame) -> DataFrame:
+    """Firing days with the next later firing day, and the times of day as masks."""
     later = Window.partitionBy("expr").orderBy(F.desc("day")).rowsBetween(Window.unboundedPreceding, -1)
-    return days.select(
+    return firing_days(spans).select(
         "expr", "day", "fires", F.min(F.when(F.col("fires"), F.col("day"))).over(later).alias("next_day"),
         "sec_mask", "min_mask", "hour_mask",
     )
 
 
-def _next_second_of_day(h: Column, m: Column, s: Column) -> Column:
-    """Next firing second of the same day, NULL when none is left."""
-    first_s, first_m = _lowest(F.col("sec_mask")), _lowest(F.col("min_mask"))
-    has_times = (F.col("min_mask") != 0) & (F.col("hour_mask") != 0)
-    this_hour = _has_bit(F.col("hour_mask"), h)
-    next_s, next_m, next_h = _next_bit(F.col("sec_mask"), s), _next_bit(F.col("min_mask"), m), _next_bit(F.col("hour_mask"), h)
-    return F.when(has_times, F.coalesce(
-        F.when(this_hour & _has_bit(F.col("min_mask"), m), h * 3600 + m * 60 + next_s),
-        F.when(this_hour, h * 3600 + next_m * 60 + first_s),
-        next_h * 3600 + first_m * 60 + first_s,
-    ))
-
-
-def _local_fire(local: Column) -> Column:
-    day = F.col("day")
-    same_day = _next_second_of_day(F.hour(local), F.minute(local), F.second(local))
-    first = F.when(
-        (F.col("min_mask") != 0) & (F.col("hour_mask") != 0),
-        _lowest(F.col("hour_mask")) * 3600 + _lowest(F.col("min_mask")) * 60 + _lowest(F.col("sec_mask")),
-    )
-
-    def at(d: Column, second: Column) -> Column:
-        return d.cast("timestamp") + F.make_dt_interval(secs=second)
-
-    return F.coalesce(F.when(F.col("fires"), at(day, same_day)), at(F.col("next_day"), first))
+def _with_fire(rows: DataFrame) -> DataFrame:
+    """Add ``_fire``, the first local fire after ``_local``: later on the same day, else at the start of the next one."""
+    sec, mins, hours = F.col("sec_mask"), F.col("min_mask"), F.col("hour_mask")
+    out = rows.withColumns({
+        "_h": F.hour("_local"), "_m": F.minute("_local"), "_s": F.second("_local"),
+        "_s0": _lowest(sec), "_m0": _lowest(mins), "_h0": _lowest(hours), "_has": (mins != 0) & (hours != 0),
+    })
+    h, m, s = F.col("_h"), F.col("_m"), F.col("_s")
+    out = out.withColumns({
+        "_s1": F.when(_has_bit(hours, h) & _has_bit(mins, m), _next_bit(sec, s)),
+        "_m1": F.when(_has_bit(hours, h), _next_bit(mins, m)), "_h1": _next_bit(hours, h),
+    })
+    today = F.coalesce(
+        h * 3600 + m * 60 + F.col("_s1"), h * 3600 + F.col("_m1") * 60 + F.col("_s0"),
+        F.col("_h1") * 3600 + F.col("_m0") * 60 + F.col("_s0"))
+    first = F.col("_h0") * 3600 + F.col("_m0") * 60 + F.col("_s0")
+    out = out.withColumn("_today", F.when(F.col("_has") & F.col("fires"), today))
+    fire_day = F.when(F.col("_today").isNotNull(), F.col("day")).otherwise(F.col("next_day"))
+    at = fire_day.cast("timestamp") + F.make_dt_interval(secs=F.coalesce("_today", first))
+    return out.withColumn("_fire", F.when(F.col("_has"), at))
 
 
 def next_fire(requests: DataFrame, cron: str = "sched_cron", tz: str | None = None, after: str = "after",
@@ -214,16 +216,16 @@ def next_fire(requests: DataFrame, cron: str = "sched_cron", tz: str | None = No
     zone = F.coalesce(F.nullif(F.trim(F.col(tz)), F.lit("")), F.lit("UTC")) if tz else F.lit("UTC")
     asked = requests.withColumns({"_cron": F.col(cron), "_tz": zone, "_after": F.date_trunc("second", F.col(after).cast("timestamp"))})
     asks = asked.filter("_cron IS NOT NULL AND _after IS NOT NULL").select("_cron", "_tz", "_after").distinct()
-    each = asks.select("*", F.explode(split_expressions(F.col("_cron"))).alias("expr"),
-                       F.from_utc_timestamp("_after", F.col("_tz")).alias("_local")).withColumn("day", F.to_date("_local"))
+    local = F.from_utc_timestamp("_after", F.col("_tz"))
+    # the end of the local hour is tried as well: in a repeated hour the first try may lie in the past
+    hour_end = F.date_trunc("hour", local) + F.make_dt_interval(mins=F.lit(59), secs=F.lit(59))
+    tries = F.when(F.col("_tz") == "UTC", F.array(local)).otherwise(F.array(local, hour_end))
+    each = asks.select("*", F.explode(split_expressions(F.col("_cron"))).alias("expr")).select(
+        "*", F.explode(tries).alias("_local")).withColumn("day", F.to_date("_local"))
     spans = each.groupBy("expr").agg(F.min("day").alias("first_day"), F.date_add(F.max("day"), HORIZON_DAYS).alias("last_day"))
-    found = each.join(calendar(spans), ["expr", "day"])
-    last_second = F.date_trunc("hour", "_local") + F.make_dt_interval(mins=F.lit(59), secs=F.lit(59))
-    one = F.to_utc_timestamp(_local_fire(F.col("_local")), F.col("_tz"))
-    two = F.to_utc_timestamp(_local_fire(last_second), F.col("_tz"))
-    fires = found.withColumns({"_one": one, "_two": two})
-    fire = F.when(F.col("_one") > F.col("_after"), F.col("_one")).otherwise(F.when(F.col("_two") > F.col("_after"), F.col("_two")))
-    in_reach = fire <= F.col("_after") + F.make_dt_interval(days=F.lit(HORIZON_DAYS))
+    fires = _with_fire(each.join(calendar(spans), ["expr", "day"])).withColumn("_utc", F.to_utc_timestamp("_fire", F.col("_tz")))
+    in_reach = F.col("_utc").between(F.col("_after") + F.make_dt_interval(secs=F.lit(1)), F.col("_after") + F.make_dt_interval(days=F.lit(HORIZON_DAYS)))
+    fire = F.col("_utc")
     answers = fires.groupBy("_cron", "_tz", "_after").agg(F.min(F.when(in_reach, fire)).alias(out))
     return asked.join(answers, ["_cron", "_tz", "_after"], "left").select(*requests.columns, out)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from feedyard.functions.text import col_q
+from feedyard.session import stable
 
 
 def unique_source(source: DataFrame, keys: list[str]) -> DataFrame:
@@ -31,10 +32,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
     With ``insert`` unmatched source rows are appended, absent columns as NULL.
 
     The target side is never shuffled when Spark can broadcast the source: unmatched rows are found
-    by narrowing the target to its matched keys first.
+    by narrowing the target to its matched keys first. The source is checkpointed, so its updates
+    and inserts come from the same rows and its plan runs once.
     """
     payload = [c for c in source.columns if c not in keys]
-    checked = unique_source(source, keys) if payload else source.distinct()
+    checked = stable(unique_source(source, keys) if payload else source.distinct())
     packed = checked.select(*keys, F.struct(F.lit(1).alias("_hit"), *[F.col(c) for c in source.columns]).alias("_src"))
     both = target.join(packed, keys, "left")
     hit = F.col("_src").isNotNull()
