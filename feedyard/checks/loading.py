@@ -52,7 +52,13 @@ def _feed():
 
 def _ingest(spark, sf_dir, zipped=False):
     listed = enrich_listing(list_dir(spark, dropzone.dropped(spark, sf_dir, zipped))).select("file_path", "file_name", "file_fingerprint")
-    return plan.ingest(spark, _feed(), listed, ["custkey", "name", "nation", "segment"], "bronze_customers", "batch_001", "req_1", "run_1", v.NOW)
+    return plan.read_batch(spark, _feed(), listed, "batch_001", "req_1", "run_1", v.NOW)
+
+
+def _report(spark, sf_dir):
+    batch = _ingest(spark, sf_dir)
+    return plan.report(_feed(), batch, bronze.bronze_counts(batch.rows), ["custkey", "name", "nation", "segment"], "bronze_customers",
+                       "batch_001", "req_1", "run_1", v.NOW)
 
 
 _ROWS = "SELECT custkey, name, nation, segment, de, 'customers_' || chunk || '.txt' AS src_file_name FROM v_cust"
@@ -125,20 +131,20 @@ def bronze_lineage(spark, sf_dir):
   LATERAL (VALUES ('INGEST_CONTROL', 'STARTED', 'batch_id=batch_001; ingest started', NULL), ('INGEST_CONTROL', 'SUCCEEDED', 'batch_id=batch_001; ingest completed', n),
                   ('BRONZE_LOAD', 'SUCCEEDED', 'bronze load succeeded', n)) s(stage_name, stage_status, status_reason, cnt)""", _CUST))
 def ingest_log(spark, sf_dir):
-    return _ingest(spark, sf_dir).file_log.select("file_name", "stage_name", "stage_status", "status_reason", F.col("cnt_row_written").alias("cnt"))
+    return _report(spark, sf_dir).file_log.select("file_name", "stage_name", "stage_status", "status_reason", F.col("cnt_row_written").alias("cnt"))
 
 
 @query(v.sql("", "SELECT DISTINCT 'customers_' || chunk || '.txt' AS file_name, CASE kind WHEN 0 THEN 'N' ELSE 'Y' END AS change_detected, "
              "CASE kind WHEN 0 THEN 'source columns match target schema' WHEN 1 THEN 'missing_in_file=nation' ELSE 'missing_in_file=segment; new_in_file=d.e' END AS status_reason FROM v_cust", _CUST))
 def ingest_drift(spark, sf_dir):
-    return _ingest(spark, sf_dir).schema_changes.select("file_name", "change_detected", "status_reason")
+    return _report(spark, sf_dir).schema_changes.select("file_name", "change_detected", "status_reason")
 
 
 @query(v.sql("", """SELECT DISTINCT 'WARNING' AS severity, 'SCHEMA' AS category, 'SCHEMA_DRIFT_DETECTED' AS event_type,
   'Schema drift in customers_' || chunk || '.txt vs bronze_customers: ' || CASE kind WHEN 1 THEN 'missing_in_file=nation' ELSE 'missing_in_file=segment; new_in_file=d.e' END AS message
 FROM v_cust WHERE kind > 0""", _CUST))
 def drift_notifications(spark, sf_dir):
-    return _ingest(spark, sf_dir).notifications.select("severity", "category", "event_type", "message")
+    return _report(spark, sf_dir).notifications.select("severity", "category", "event_type", "message")
 
 
 @query(v.sql("", "SELECT custkey, name, nation, segment, de FROM v_cust UNION ALL SELECT custkey, name, nation, NULL, de FROM v_cust", _CUST))
@@ -154,7 +160,8 @@ def bronze_append(spark, sf_dir):
 @query(v.sql("", "SELECT 'customers_' || chunk || '.txt' AS src_file_name, count(*) AS cnt_row_bronze FROM v_cust GROUP BY 1", _CUST))
 def bronze_counts(spark, sf_dir):
     run = _ingest(spark, sf_dir)
-    return run.counts.join(run.files, "file_fingerprint").select(F.col("file_name").alias("src_file_name"), "cnt_row_bronze")
+    counts = bronze.bronze_counts(run.rows).withColumnRenamed("src_file_fingerprint", "file_fingerprint")
+    return counts.join(run.files, "file_fingerprint").select(F.col("file_name").alias("src_file_name"), "cnt_row_bronze")
 
 
 @query("""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'hint_' || event_id WHEN event_id % 3 = 1 THEN 'listed_' || user_id

@@ -27,15 +27,20 @@ class Feed:
 
 
 @dataclass
-class Ingest:
-    """The rows of one load and what to log about it."""
+class Batch:
+    """The rows of one load with the state of its files."""
     rows: DataFrame
     files: DataFrame
-    counts: DataFrame
+    heads: DataFrame
+
+
+@dataclass
+class Report:
+    """What to log about a load."""
+    results: DataFrame
     file_log: DataFrame
     schema_changes: DataFrame
     notifications: DataFrame
-    results: DataFrame
 
 
 def ingest_fingerprints(refs: DataFrame, listing: DataFrame) -> DataFrame:
@@ -95,9 +100,8 @@ def _unite(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [delimited.align(p, columns) for p in fixed])
 
 
-def ingest(spark: SparkSession, feed: Feed, refs: DataFrame, target_columns: list[str], target_table: str,
-           batch_id: str, request_id: str | None, run_id: str | None, now) -> Ingest:
-    """Read the files of ``refs`` (``file_path, file_name, file_fingerprint``) and say what happened to each.
+def read_batch(spark: SparkSession, feed: Feed, refs: DataFrame, batch_id: str, request_id: str | None, run_id: str | None, now) -> Batch:
+    """Read the files of ``refs`` (``file_path, file_name, file_fingerprint``).
 
     One scan per distinct header rather than per file. A file that cannot be opened, or an archive
     without text, fails on its own and the others go on; when all fail, so does the load.
@@ -106,28 +110,30 @@ def ingest(spark: SparkSession, feed: Feed, refs: DataFrame, target_columns: lis
     zipped = files.filter("file_extension = 'zip'").select("file_path")
     plain = files.filter("file_extension IS NULL OR file_extension <> 'zip'").select("file_path")
     heads = delimited.read_headers(plain, feed.delimiter, feed.has_header)
-    members = archives.list_members(zipped)
-    first = archives.scan_zip(zipped).filter("line_no = 1").select("file_path", "member", F.col("line").alias("first_line"))
     names = delimited.split_header(F.col("first_line"), feed.delimiter)
-    members = stable(members.join(first, ["file_path", "member"], "left").withColumns({"columns": names, "width": F.size(names)}))
+    members = stable(archives.list_members(zipped).withColumns({"columns": names, "width": F.size(names)}))
     # the header of an archive is that of its first member
     zip_heads = members.groupBy("file_path").agg(
         F.min_by("first_line", "member").alias("first_line"), F.max("error").alias("error"), F.min_by("columns", "member").alias("columns"),
         F.min_by("width", "member").alias("width"), F.count("member").alias("members"))
     heads = stable(heads.withColumn("members", F.lit(0).cast("bigint")).unionByName(zip_heads))
     sound = heads.filter("error IS NULL")
-
-    parts = _plain_rows(spark, sound.filter("members = 0"), feed) + _zip_rows(spark, zipped, members, feed)
+    parts = _plain_rows(spark, sound.filter("members = 0"), feed) + _zip_rows(spark, zipped, members.filter("member IS NOT NULL"), feed)
     if not parts:
         failed = heads.select("error").first()
         raise RuntimeError(f"All file(s) in batch {batch_id} failed: {failed['error'] if failed else 'no files'}")
     rows = bronze.add_lineage(_unite(parts), files, feed.feed_key, request_id, run_id, now)
+    return Batch(rows, files, heads)
+
 
-    outcome = files.join(heads.select("file_path", "error", "columns", "members"), "file_path")
-    counts = bronze.bronze_counts(rows).withColumnRenamed("src_file_fingerprint", "file_fingerprint")
+def report(feed: Feed, batch: Batch, counts: DataFrame, target_columns: list[str], target_table: str, batch_id: str,
+           request_id: str | None, run_id: str | None, now) -> Report:
+    """Log rows of a load, from the rows counted per fingerprint once they are written."""
+    outcome = batch.files.join(batch.heads.select("file_path", "error", "columns", "members"), "file_path")
+    counts = counts.withColumnRenamed("src_file_fingerprint", "file_fingerprint")
+    ids = {"request_id": F.lit(request_id).cast("string"), "dispatch_run_id": F.lit(run_id).cast("string")}
     done = outcome.join(counts, "file_fingerprint", "left").withColumns({
-        "succeeded": F.col("error").isNull(), "cnt_row_written": F.when(F.col("error").isNull(), F.coalesce("cnt_row_bronze", F.lit(0))),
-    })
+        "succeeded": F.col("error").isNull(), "cnt_row_written": F.when(F.col("error").isNull(), F.coalesce("cnt_row_bronze", F.lit(0))), **ids})
     at = F.lit(now).cast("timestamp")
     tag = F.lit(f"batch_id={batch_id}; ")
     ended = F.when(F.col("succeeded"), F.concat(tag, F.lit("ingest completed"))).otherwise(F.concat(tag, F.lit("ingest failed: "), F.col("error")))
@@ -143,15 +149,12 @@ def ingest(spark: SparkSession, feed: Feed, refs: DataFrame, target_columns: lis
         step(F.col("succeeded"), "BRONZE_LOAD", F.lit("SUCCEEDED"), F.lit("bronze load succeeded"), F.col("cnt_row_written"))))
     events = done.withColumn("step", F.explode(steps)).withColumns({
         "stage_name": F.col("step.stage_name"), "stage_status": F.col("step.stage_status"), "status_reason": F.col("step.status_reason"),
-        "cnt_row_written": F.col("step.cnt"), "request_id": F.lit(request_id).cast("string"), "dispatch_run_id": F.lit(run_id).cast("string")})
+        "cnt_row_written": F.col("step.cnt")})
     target = F.array(*[F.lit(c) for c in target_columns]).cast("array<string>")
-    compared = drift.detect_drift(outcome.filter("error IS NULL").withColumns({"source_columns": F.col("columns"), "target_columns": target}),
-                                  has_header=feed.has_header)
-    changes = compared.withColumns({"request_id": F.lit(request_id).cast("string"), "dispatch_run_id": F.lit(run_id).cast("string")})
-    return Ingest(
-        rows=rows, files=files, counts=counts, results=done.withColumn("batch_id", F.lit(batch_id)),
-        file_log=logs.file_log(events, at), schema_changes=logs.schema_change_log(changes, at, target_table=target_table),
-        notifications=drift_notifications(changes, feed, target_table, now))
+    changes = drift.detect_drift(outcome.filter("error IS NULL").withColumns({"source_columns": F.col("columns"), "target_columns": target, **ids}),
+                                 has_header=feed.has_header)
+    return Report(done.withColumn("batch_id", F.lit(batch_id)), logs.file_log(events, at), logs.schema_change_log(changes, at, target_table=target_table),
+                  drift_notifications(changes, feed, target_table, now))
 
 
 def drift_notifications(changes: DataFrame, feed: Feed, target_table: str, now) -> DataFrame:
@@ -173,14 +176,16 @@ def load(spark: SparkSession, feed: Feed, refs: DataFrame, bronze_path: str, log
         if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER" not in str(exc):
             raise
         existing = drift.initial_columns(policy, seed)
-    run = ingest(spark, feed, refs, existing, bronze_path, batch_id, request_id, run_id, now)
-    out = drift.evolve_business(run.rows, existing)
-    bronze.append_bronze(out, bronze_path, partition_cols)
+    batch = read_batch(spark, feed, refs, batch_id, request_id, run_id, now)
+    bronze.append_bronze(drift.evolve_business(batch.rows, existing), bronze_path, partition_cols)
+    # counted on what was written, so the files themselves are read once
+    written = bronze.read_bronze(spark, bronze_path).join(batch.files.select(F.col("file_fingerprint").alias("src_file_fingerprint")), "src_file_fingerprint", "left_semi")
+    counts = stable(bronze.bronze_counts(written.filter(F.col("request_id").eqNullSafe(F.lit(request_id)))))
+    run = report(feed, batch, counts, existing, bronze_path, batch_id, request_id, run_id, now)
     logs.append_log(run.file_log, f"{log_dir}/file_log")
     logs.append_log(run.schema_changes, f"{log_dir}/schema_change_log")
     logs.append_log(run.notifications, f"{log_dir}/notifications")
     status = logs.batch_status(run.results)
-    logs.append_log(logs.job_log(status.withColumn("request_id", F.lit(request_id).cast("string")), now, task_name="ingest_batch",
+    logs.append_log(logs.job_log(status, now, request_id=request_id, task_name="ingest_batch",
                                  dispatch_run_id=run_id), f"{log_dir}/job_log")
-    loaded = run.results.filter("succeeded").select("file_fingerprint", F.col("cnt_row_written").alias("cnt_row_bronze"))
-    return loaded.withColumns({"request_id": F.lit(request_id).cast("string"), "dispatch_run_id": F.lit(run_id).cast("string")})
+    return run.results.filter("succeeded").select("file_fingerprint", F.col("cnt_row_written").alias("cnt_row_bronze"), "request_id", "dispatch_run_id")

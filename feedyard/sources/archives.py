@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from feedyard.sources.delimited import HEAD_BYTES, first_line
 from feedyard.sources.remote import open_input
 
 BATCH_LINES = 10_000
@@ -23,11 +24,16 @@ def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for path in pdf["file_path"]:
             try:
                 with open_input(path) as f, zipfile.ZipFile(f) as z:
-                    found = sorted(n for n in z.namelist() if is_text_member(n))
-                rows += [(path, n, None) for n in found] or [(path, None, f"No .txt files found inside zip: {path}")]
+                    found = [(path, n, _head(z, n), None) for n in sorted(filter(is_text_member, z.namelist()))]
+                rows += found or [(path, None, None, f"No .txt files found inside zip: {path}")]
             except (OSError, zipfile.BadZipFile) as exc:
-                rows.append((path, None, f"{type(exc).__name__}: {exc}"))
-        yield pd.DataFrame(rows, columns=["file_path", "member", "error"])
+                rows.append((path, None, None, f"{type(exc).__name__}: {exc}"))
+        yield pd.DataFrame(rows, columns=["file_path", "member", "first_line", "error"])
+
+
+def _head(z: zipfile.ZipFile, member: str) -> str:
+    with z.open(member) as raw:
+        return first_line(raw.read(HEAD_BYTES))
 
 
 def _lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -45,14 +51,14 @@ def _lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def list_members(archives: DataFrame) -> DataFrame:
-    """The ``.txt`` members of each archive, or one row with the error of an archive that has none."""
-    return archives.select("file_path").mapInPandas(_members, "file_path string, member string, error string")
+    """The ``.txt`` members of each archive with their first line, or one row with the error of an archive that has none."""
+    return archives.select("file_path").mapInPandas(_members, "file_path string, member string, first_line string, error string")
 
 
 def scan_zip(archives: DataFrame) -> DataFrame:
     """``(file_path, member, line_no, line)`` of all text members.
 
-    Only directories are read to find the members; each member is then streamed by its own task, a
+    Only directories and first lines are read to find the members; each member is then streamed by its own task, a
     batch of lines at a time, so neither archives nor members are held in memory.
     """
     members = list_members(archives).filter(F.col("member").isNotNull()).select("file_path", "member")
