@@ -1 +1,77 @@
+"""Streams over files of the given tables, run until all input is taken."""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from feedyard.checks import dropzone, views as v
+from feedyard.checks.loading import _CUST, _ROWS, _feed
+from feedyard.operators import bronze, lineage
+from feedyard.session import work_dir
+from feedyard.streaming import flows
+
 QUERIES, ORACLES = {}, {}
+
+
+def query(sql_text: str | None = None):
+    def keep(fn):
+        QUERIES[fn.__name__] = fn
+        if sql_text:
+            ORACLES[fn.__name__] = sql_text
+        return fn
+    return keep
+
+
+def _log_folder(spark, sf_dir):
+    """The event log as files that arrive in order of time, one write per quarter of the span."""
+    path = work_dir(spark, "eventlog")
+    log = v.event_log(spark, sf_dir)
+    span = log.agg(F.min(F.unix_seconds("ts_event")).alias("a"), F.max(F.unix_seconds("ts_event")).alias("b")).first()
+    part = F.floor((F.unix_seconds("ts_event") - span["a"]) * 4 / (span["b"] - span["a"] + 1))
+    for i in range(4):
+        log.filter(part == i).write.mode("append").parquet(path)
+    return path, log.schema
+
+
+def _log_stream(spark, sf_dir, per_trigger=1):
+    path, schema = _log_folder(spark, sf_dir)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).parquet(path)
+
+
+@query(v.sql("", _ROWS, _CUST))
+def stream_ingest(spark, sf_dir):
+    bronze_path = work_dir(spark, "bronze")
+    flows.ingest_arrivals(spark, _feed(), dropzone.dropped(spark, sf_dir), bronze_path, work_dir(spark, "cp"), v.NOW)
+    rows = bronze.read_bronze(spark, bronze_path)
+    return rows.select("custkey", "name", "nation", "segment", F.col("`d.e`").alias("de"), "src_file_name")
+
+
+@query(v.sql("event_log", "SELECT DISTINCT file_fingerprint FROM v_event_log WHERE file_fingerprint <> ''"))
+def stream_dedup(spark, sf_dir):
+    """With a window longer than the data each fingerprint comes through once, over all micro-batches."""
+    out = work_dir(spark, "dedup")
+    stream = _log_stream(spark, sf_dir).filter("file_fingerprint <> ''")
+    flows.run_to_parquet(flows.drop_known_files(stream, within="60 days").select("file_fingerprint"), out, work_dir(spark, "cp"))
+    return spark.read.parquet(out)
+
+
+@query(v.sql("event_log", """SELECT identity FROM (SELECT identity, stage_status, ts_event, row_number() OVER (PARTITION BY identity ORDER BY ts_event DESC, event_id DESC) AS rn
+  FROM (SELECT *, CASE WHEN file_fingerprint = '' THEN file_path ELSE file_fingerprint END AS identity FROM v_event_log WHERE stage_name = 'INGEST_CONTROL'))
+WHERE rn = 1 AND stage_status = 'STARTED' AND ts_event >= (SELECT max(ts_event) FROM v_event_log WHERE stage_name = 'INGEST_CONTROL') - INTERVAL 48 HOUR"""))
+def stream_blocked(spark, sf_dir):
+    out = work_dir(spark, "latest")
+    flows.track_latest(_log_stream(spark, sf_dir).filter("stage_name = 'INGEST_CONTROL'"), out, work_dir(spark, "cp"))
+    return flows.current_blocked(spark, out)
+
+
+@query(v.sql("event_log", """SELECT date_trunc('hour', ts_event) AS hour_start, stage_name, stage_status, count(*) AS cnt FROM v_event_log
+WHERE date_trunc('hour', ts_event) + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(ts_event)) FROM v_event_log) - INTERVAL 1 HOUR GROUP BY 1, 2, 3"""))
+def stream_stage_counts(spark, sf_dir):
+    """All windows the watermark has closed; one micro-batch takes all files, so none of their events is late."""
+    out = work_dir(spark, "counts")
+    flows.run_to_parquet(flows.stage_counts(_log_stream(spark, sf_dir, 1_000_000)), out, work_dir(spark, "cp"))
+    return spark.read.parquet(out)
+
+
+@query(v.sql("event_log", "SELECT date_trunc('hour', ts_event) AS hour_start, stage_name, stage_status, count(*) AS cnt FROM v_event_log GROUP BY 1, 2, 3"))
+def stage_counts(spark, sf_dir):
+    return lineage.stage_counts(v.event_log(spark, sf_dir))
