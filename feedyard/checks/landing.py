@@ -217,7 +217,7 @@ def _flags(spark, sf_dir):
     asked = v.files(spark, sf_dir).select(
         "feed_key", F.concat(F.lit("req_"), "feed_key").alias("request_id"), "file_path",
         (F.pmod("l_orderkey", F.lit(2)) == 1).alias("force_reprocess"))
-    return waterfall.classify(asked, v.listing(spark, sf_dir), v.feeds(spark, sf_dir), v.known_inventory(spark, sf_dir),
+    return waterfall.classify(asked, v.arrived(v.listed_files(spark, sf_dir)), v.feeds(spark, sf_dir), v.known_inventory(spark, sf_dir),
                               waterfall.blocked_identities(v.ingest_log(spark, sf_dir), v.NOW, 8640))
 
 
@@ -272,7 +272,7 @@ def request_summary(spark, sf_dir):
 
 
 def _batches(spark, sf_dir):
-    files = enrich_listing(v.files(spark, sf_dir)).select("feed_key", "file_path", "size", "file_fingerprint")
+    files = v.listed_files(spark, sf_dir).select("feed_key", "file_path", "size", "file_fingerprint")
     limits = v.feeds(spark, sf_dir).select("feed_key", "batch_max_files", "batch_max_bytes")
     return batching.pack_batches(files.join(limits, "feed_key"), F.col("batch_max_files"), F.col("batch_max_bytes"), chunk=1000)
 

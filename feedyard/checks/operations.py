@@ -86,6 +86,10 @@ def batch_status(spark, sf_dir):
 
 def _bronze(spark, sf_dir):
     """One bronze row per order line of a loaded file; lines of heavy discount were loaded twice."""
+    return v.stored(spark, sf_dir, "bronze", lambda: _make_bronze(spark, sf_dir))
+
+
+def _make_bronze(spark, sf_dir):
     li = v.parsed_files(spark, sf_dir)
     twice = F.when(F.col("discount") > 0.08, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return li.select("feed_key", F.concat(F.lit("/Volumes"), F.substr(F.col("file_path"), F.lit(len("dbfs:/Volumes") + 1))).alias("src_file_path"),
@@ -205,7 +209,7 @@ def _intake(spark, sf_dir):
         "feed_key", F.concat(F.lit("req_"), "feed_key").alias("request_id"), F.concat(F.lit(v.ROOT + "/"), "feed_key", F.lit("/source")).alias("source_dir"),
         F.when(F.pmod(n, F.lit(5)) == 4, "nonsense").when(F.pmod(n, F.lit(5)) == 3, '{"request_type":"DISCOVERY"}').otherwise(
             '{"request_type":"BACKFILL","selector_type":"FILE_MODIFIED_TS","modified_from_ts":"1996-01-01","modified_to_ts":"1997-12-31T23:59:59Z"}').alias("request_json"))
-    return intake.run_intake(ask, v.parsed_files(spark, sf_dir), config, v.known_inventory(spark, sf_dir), v.ingest_log(spark, sf_dir), v.NOW, hours=8640, run_id="run_i")
+    return intake.run_intake(ask, v.listed_files(spark, sf_dir), config, v.known_inventory(spark, sf_dir), v.ingest_log(spark, sf_dir), v.NOW, hours=8640, run_id="run_i")
 
 
 _INTAKE = """v_marked AS (

@@ -63,19 +63,21 @@ def select_paths(requests: DataFrame, parsed: DataFrame, config: DataFrame, now)
     """All request types at once: ``(feed_key, request_id, file_path)``, distinct.
 
     ``requests`` is the output of ``parse_request`` with ``request_id`` and ``source_dir``; faulty
-    requests select nothing. One equi-join on the feed, with the request's own window as a filter.
+    requests select nothing. The listing is read once: one equi-join on the feed, with the request's
+    own window as a filter.
     """
     now = _as_ts(now)
     feeds = config.select("feed_key", F.col("sched_selector_type").alias("_sel"), F.col("sched_lookback_minutes").alias("_look"))
     sound = requests.filter(F.col("request_error").isNull())
-    scans = sound.filter(F.col("request_type").isin("BACKFILL", "INCREMENTAL")).join(feeds, "feed_key", "left")
+    names = F.col("request_type").isin("ADHOC", "DISCOVERY") & F.col("request_paths").isNotNull()
+    scans = sound.filter(~names & (F.col("request_type") != "ADHOC")).join(feeds, "feed_key", "left")
     incremental = F.col("request_type") == "INCREMENTAL"
     selector = F.when(
         incremental, F.upper(F.coalesce(F.col("selector_type"), F.col("_sel"), F.lit("FILE_MODIFIED_TS")))
     ).otherwise(F.coalesce(F.col("selector_type"), F.lit("FILE_DATE")))
     since = _minus(now, lookback(F.col("lookback_minutes"), F.col("_look")))
     windows = scans.select(
-        "feed_key", "request_id", (selector == "FILE_DATE").alias("_by_date"),
+        "feed_key", "request_id", (F.col("request_type") == "DISCOVERY").alias("_all"), (selector == "FILE_DATE").alias("_by_date"),
         F.when(incremental, F.to_date(since)).otherwise(F.col("date_from")).alias("_d0"),
         F.when(incremental, F.to_date(now)).otherwise(F.col("date_to")).alias("_d1"),
         F.when(incremental, since).otherwise(F.col("ts_from")).alias("_t0"),
@@ -83,12 +85,10 @@ def select_paths(requests: DataFrame, parsed: DataFrame, config: DataFrame, now)
     )
     files = parsed.select("feed_key", "file_path", "parse_status", "file_date", "src_mtime_ms")
     hits = files.join(windows, "feed_key").filter(
-        F.when(F.col("_by_date"), in_dates(F.col("_d0"), F.col("_d1")))
+        F.when(F.col("_all"), True).when(F.col("_by_date"), in_dates(F.col("_d0"), F.col("_d1")))
         .otherwise(mtime_ts(F.col("src_mtime_ms")).between(F.col("_t0"), F.col("_t1")))
     ).select("feed_key", "request_id", "file_path")
-    named = select_explicit(sound.filter(F.col("request_type") == "ADHOC"))
-    found = select_discovery(sound.filter(F.col("request_type") == "DISCOVERY"), parsed)
-    return hits.unionByName(named).unionByName(found).distinct()
+    return hits.unionByName(select_explicit(sound.filter(names))).distinct()
 
 
 def _minus(ts: Column, minutes: Column) -> Column:

@@ -29,7 +29,8 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], row_count:
     marked = facts.join(F.broadcast(hot), keys, "left").withColumn(
         "_salt", F.when(F.col("_hot").isNotNull() | keyless, salt + 1).otherwise(F.lit(0).cast("bigint"))
     )
-    cold = lookup.select(*keys, F.lit(0).cast("bigint").alias("_salt"),
+    # both branches read the same columns, so the exchange below an aggregated lookup is reused
+    cold = lookup.filter(F.col(row_count) <= hot_rows).select(*keys, F.lit(0).cast("bigint").alias("_salt"),
                          F.struct(F.lit(1).alias("_hit"), *values).alias("_cold"))
     joined = marked.join(cold, [*keys, "_salt"], "left")
     found = F.coalesce(F.col("_hot"), F.col("_cold"))
