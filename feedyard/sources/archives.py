@@ -26,7 +26,7 @@ def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 with open_input(path) as f, zipfile.ZipFile(f) as z:
                     found = [(path, n, _head(z, n), None) for n in sorted(filter(is_text_member, z.namelist()))]
                 rows += found or [(path, None, None, f"No .txt files found inside zip: {path}")]
-            except (OSError, zipfile.BadZipFile) as exc:
+            except (OSError, ValueError, zipfile.BadZipFile) as exc:
                 rows.append((path, None, None, f"{type(exc).__name__}: {exc}"))
         yield pd.DataFrame(rows, columns=["file_path", "member", "first_line", "error"])
 
