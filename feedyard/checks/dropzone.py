@@ -11,13 +11,13 @@ from feedyard.checks import views as v
 from feedyard.session import work_dir
 from feedyard.sources.remote import write_bytes
 
-PER_FILE = 100
+PER_FILE = 50
 FEED_REGEX = r"^customers_(\d+)(?:_(v\d+))?\.(txt|zip)$"
 FEED_SPEC = "1|vendor_code|string;2|file_version_label|string;3|file_extension|string"
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer lines in files of a hundred keys, with one of three headers per file."""
+    """Customer lines in files of fifty keys, with one of three headers per file."""
     c = v.table(spark, sf_dir, "customer")
     chunk = F.floor(F.col("c_custkey") / PER_FILE)
     kind = F.pmod(chunk, F.lit(3))
@@ -30,7 +30,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write(rows: DataFrame, folder: str, zipped: bool = False) -> None:
-    """One file per chunk; each is written by one task and holds at most a hundred lines."""
+    """One file per chunk; each is written by one task and holds at most fifty lines."""
     def put(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("c_custkey")
         chunk = int(pdf["chunk"].iloc[0])

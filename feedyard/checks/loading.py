@@ -25,12 +25,12 @@ def query(sql_text: str | None = None):
 
 
 _CUST = """v_cust AS (
-  SELECT c_custkey, c_custkey // 100 AS chunk, ((c_custkey // 100) % 3)::INT AS kind, c_custkey::VARCHAR AS custkey, c_name AS name,
-    CASE WHEN (c_custkey // 100) % 3 <> 1 THEN c_nationkey::VARCHAR END AS nation,
-    CASE (c_custkey // 100) % 3 WHEN 0 THEN c_mktsegment WHEN 1 THEN c_mktsegment || '|x' END AS segment,
-    CASE WHEN (c_custkey // 100) % 3 = 2 THEN 'e' || c_nationkey END AS de,
-    CASE (c_custkey // 100) % 3 WHEN 0 THEN 'custkey|name|nation|segment' WHEN 1 THEN 'custkey|segment|name' ELSE ' custkey | name|nation|d.e' END AS header,
-    CASE (c_custkey // 100) % 3 WHEN 0 THEN concat_ws('|', c_custkey, c_name, c_nationkey, c_mktsegment)
+  SELECT c_custkey, c_custkey // 50 AS chunk, ((c_custkey // 50) % 3)::INT AS kind, c_custkey::VARCHAR AS custkey, c_name AS name,
+    CASE WHEN (c_custkey // 50) % 3 <> 1 THEN c_nationkey::VARCHAR END AS nation,
+    CASE (c_custkey // 50) % 3 WHEN 0 THEN c_mktsegment WHEN 1 THEN c_mktsegment || '|x' END AS segment,
+    CASE WHEN (c_custkey // 50) % 3 = 2 THEN 'e' || c_nationkey END AS de,
+    CASE (c_custkey // 50) % 3 WHEN 0 THEN 'custkey|name|nation|segment' WHEN 1 THEN 'custkey|segment|name' ELSE ' custkey | name|nation|d.e' END AS header,
+    CASE (c_custkey // 50) % 3 WHEN 0 THEN concat_ws('|', c_custkey, c_name, c_nationkey, c_mktsegment)
       WHEN 1 THEN concat_ws('|', c_custkey, '"' || c_mktsegment || '|x"', c_name) ELSE concat_ws('|', c_custkey, c_name, c_nationkey, 'e' || c_nationkey) END AS line
   FROM customer)"""
 
