@@ -7,6 +7,10 @@ from feedyard.functions.text import col_q
 from feedyard.session import stable
 
 
+# A checkpointed source has no size estimate, so its rows are counted; up to this many it is broadcast.
+BROADCAST_ROWS = 50_000
+
+
 def unique_source(source: DataFrame, keys: list[str]) -> DataFrame:
     """Fail when two source rows share a key, as a merge does."""
     others = [c for c in source.columns if c not in keys]
@@ -31,14 +35,16 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
     Conditions and values see target columns by name and source columns through :func:`src`.
     With ``insert`` unmatched source rows are appended, absent columns as NULL.
 
-    The target side is never shuffled when Spark can broadcast the source: unmatched rows are found
-    by narrowing the target to its matched keys first. The source is checkpointed, so its updates
+    A source of at most ``BROADCAST_ROWS`` counted rows is broadcast, so the target is not shuffled:
+    unmatched rows are found by narrowing the target to its matched keys first. A larger source takes
+    shuffle joins. The source is checkpointed, so its updates
     and inserts come from the same rows and its plan runs once.
     """
     payload = [c for c in source.columns if c not in keys]
     checked = stable(unique_source(source, keys) if payload else source.distinct())
     packed = checked.select(*keys, F.struct(F.lit(1).alias("_hit"), *[F.col(c) for c in source.columns]).alias("_src"))
-    both = target.join(packed, keys, "left")
+    small = checked.count() <= BROADCAST_ROWS
+    both = target.join(F.broadcast(packed) if small else packed, keys, "left")
     hit = F.col("_src").isNotNull()
     cells = []
     for name in target.columns:
@@ -49,7 +55,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str],
     updated = both.select(*cells)
     if not insert:
         return updated
-    seen = target.select(*keys).join(checked.select(*keys), keys, "left_semi").distinct()
+    wanted = checked.select(*keys)
+    seen = target.select(*keys).join(F.broadcast(wanted) if small else wanted, keys, "left_semi").distinct()
     added = checked.join(seen, keys, "left_anti")
     return updated.unionByName(added.select(
         [(col_q(c) if c in added.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in target.columns]

@@ -58,8 +58,11 @@ def test_discovery_keeps_state_and_is_idempotent(spark):
     assert twice.exceptAll(once).count() == 0 and twice.count() == once.count() == 2
 
 
+BIGINT = st.integers(-2 ** 63, 2 ** 63 - 1)  # what the column can hold
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.dictionaries(st.integers(0, 12), st.integers(), max_size=8), st.dictionaries(st.integers(0, 12), st.integers(), max_size=8))
+@given(st.dictionaries(st.integers(0, 12), BIGINT, max_size=8), st.dictionaries(st.integers(0, 12), BIGINT, max_size=8))
 def test_upsert_is_a_dict_update(spark, old, new):
     def df(d):
         return spark.createDataFrame(list(d.items()), "k int, v bigint") if d else spark.createDataFrame([], "k int, v bigint")
