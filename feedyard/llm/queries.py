@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from feedyard.llm import bpe, decontaminate, exact_dedup, line_dedup, secrets, sharding, token_files
+from feedyard.llm import bpe, decontaminate, exact_dedup, language, line_dedup, near_dedup, secrets, sharding, token_files
 from feedyard.llm.common import read_table
 from feedyard.session import work_dir
 
@@ -12,6 +12,10 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 
 
+def op1_near_dedup(spark, sf_dir):
+    return near_dedup.near_components(read_table(spark, sf_dir, "documents"))
+
+
 def op2_bpe(spark, sf_dir):
     return bpe.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -21,6 +25,16 @@ def op3_token_files(spark, sf_dir):
     return token_files.token_files(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID, folder)
 
 
+def _fold(folds: int, held: int):
+    """Whether the document belongs to the fold that is held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == held, F.lit(False))
+
+
+def op4_language(spark, sf_dir):
+    found = language.identify(read_table(spark, sf_dir, "documents"), ~_fold(4, 2))
+    return found.select("doc_id", _fold(4, 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op5_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(spark, f"{sf_dir}/documents.parquet").drop("file", "row")
 
@@ -46,9 +60,20 @@ def op10_sharding(spark, sf_dir):
     return sharding.assign_shards(read_table(spark, sf_dir, "documents")).drop("linked_piece")
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op3_token_files, op5_exact_dedup, op6_secrets, op8_line_dedup, op9_decontaminate, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_bpe, op3_token_files, op4_language, op5_exact_dedup, op6_secrets, op8_line_dedup, op9_decontaminate, op10_sharding)}
 
 ORACLES = {
+    "op1_near_dedup": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        s AS (SELECT DISTINCT doc_id, CASE WHEN len(words) < 5 THEN words ELSE list_slice(words, k, k + 4) END AS sh
+              FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS k FROM w WHERE len(words) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id <> y.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM common JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * i >= 75 * (p.n + q.n - i)),
+        reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+        SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.c AS component_id, d.doc_id = r.c AS kept
+        FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(other) AS c FROM reach GROUP BY doc_id) r USING (doc_id)""",
     "op5_exact_dedup": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, sha256(body) AS text_sha256
