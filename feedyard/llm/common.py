@@ -33,9 +33,3 @@ def chunks(batches: Iterable[pa.RecordBatch], size: int = CHUNK_BYTES) -> Iterat
                 ids, bodies, held = [], [], 0
     if ids:
         yield ids, bodies
-
-
-def keep_rows(docs: DataFrame, kept_ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is in the first column of ``kept_ids`` (NULL matches NULL); columns as they are."""
-    ids = kept_ids.select(F.col(kept_ids.columns[0]).alias("_llm_id")).distinct()
-    return docs.join(ids, docs[id_col].eqNullSafe(ids["_llm_id"]), "left_semi")

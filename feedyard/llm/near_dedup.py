@@ -84,12 +84,14 @@ def least_matches(t: float = SIMILARITY[0] / SIMILARITY[1], miss: float = MISS)
 
 
 def _signatures(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, bodies in chunks(batches):
-        sets = [shingles(b) for b in bodies]
-        yield pa.RecordBatch.from_arrays([
-            pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-            pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-            pa.array([signature(s) if len(s) else None for s in sets], pa.binary())], ["id", "n", "digest", "sig"])
+    for batch in batches:
+        found = []
+        for _, bodies in chunks([batch]):
+            for s in map(shingles, bodies):
+                found.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), signature(s)) if len(s) else (0, None, None))
+        sizes, digests, signatures = zip(*found) if found else ((), (), ())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                                          pa.array(signatures, pa.binary())], ["id", "tag", "n", "digest", "sig"])
 
 
 def _prune(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +136,7 @@ class _Corpus:
         spark = docs.sparkSession
         self.texts = id_text(docs, id_col, text_col)
         folder = work_dir(spark, "near-dedup")
-        self.texts.mapInArrow(_signatures, "id bigint, n bigint, digest binary, sig binary").write.parquet(f"{folder}/rows")
+        self.texts.withColumn("tag", F.xxhash64("body")).mapInArrow(_signatures, "id bigint, tag bigint, n bigint, digest binary, sig binary").write.parquet(f"{folder}/rows")
         self.rows = spark.read.parquet(f"{folder}/rows")
         distinct = self.rows.filter("digest is not null").groupBy("digest").agg(F.min("id").alias("low"), F.first("n").alias("n"), F.first("sig").alias("sig"))
         distinct.withColumn("node", F.monotonically_increasing_id()).write.parquet(f"{folder}/nodes")
@@ -183,7 +185,7 @@ def _across(members: DataFrame) -> DataFrame:
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)`` of every row.
+    """``(doc_id, n_shingles, component_id, kept, tag)`` of every row; ``tag`` is a hash of the text.
 
     Rows with one shingle set are one node. Every node is compared with the smallest node of each of its buckets, which
     joins a large group of near copies by one pair per member and bucket. What lies in one bucket but in different
@@ -221,6 +223,13 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     low = root.join(corpus.nodes.select("node", "low"), "node").groupBy("root").agg(F.min("low").alias("component"))
     verdict = corpus.nodes.select("node", "digest", "low").join(root, "node", "left").join(low, "root", "left").select(
         "digest", F.when(F.col("root").isNull(), F.col("low")).otherwise(F.col("component")).alias("component"))
-    out = corpus.rows.select("id", "n", "digest").join(verdict, "digest", "left")
+    out = corpus.rows.select("id", "tag", "n", "digest").join(verdict, "digest", "left")
     out = out.withColumn("component_id", F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component")))
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "tag")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component; columns and other rows as they are. Repeated rows of the one that stays all stay."""
+    bad = near_components(docs, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("_llm_id"), F.col("tag").alias("_llm_tag")).distinct()
+    return docs.join(bad, docs[id_col].cast("bigint").eqNullSafe(bad["_llm_id"])
+                     & (F.xxhash64(F.coalesce(docs[text_col], F.lit("")).cast("binary")) == bad["_llm_tag"]), "left_anti")

@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from feedyard.llm import bpe, decontaminate, exact_dedup, language, line_dedup, near_dedup, secrets, sharding, token_files
+from feedyard.llm import bpe, decontaminate, exact_dedup, language, line_dedup, near_dedup, secrets, sharding, token_files, toxicity
 from feedyard.llm.common import read_table
 from feedyard.session import work_dir
 
@@ -13,7 +13,7 @@ END_ID = 2
 
 
 def op1_near_dedup(spark, sf_dir):
-    return near_dedup.near_components(read_table(spark, sf_dir, "documents"))
+    return near_dedup.near_components(read_table(spark, sf_dir, "documents")).drop("tag")
 
 
 def op2_bpe(spark, sf_dir):
@@ -25,14 +25,14 @@ def op3_token_files(spark, sf_dir):
     return token_files.token_files(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID, folder)
 
 
-def _fold(folds: int, held: int):
+def fold(folds: int, held: int):
     """Whether the document belongs to the fold that is held out."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == held, F.lit(False))
 
 
 def op4_language(spark, sf_dir):
-    found = language.identify(read_table(spark, sf_dir, "documents"), ~_fold(4, 2))
-    return found.select("doc_id", _fold(4, 2).alias("held_out"), "lang_pred", "score", "rejected")
+    found = language.identify(read_table(spark, sf_dir, "documents"), ~fold(4, 2))
+    return found.select("doc_id", fold(4, 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op5_exact_dedup(spark, sf_dir):
@@ -45,6 +45,11 @@ def op6_secrets(spark, sf_dir):
                         secrets.span_text(F.col("spans")).alias("spans"))
 
 
+def op7_toxicity(spark, sf_dir):
+    rated = toxicity.rate_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), ~fold(3, 1))
+    return rated.select("doc_id", fold(3, 1).alias("held_out"), "score", "predicted")
+
+
 def op8_line_dedup(spark, sf_dir):
     kept = line_dedup.line_dedup(read_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -60,7 +65,7 @@ def op10_sharding(spark, sf_dir):
     return sharding.assign_shards(read_table(spark, sf_dir, "documents")).drop("linked_piece")
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_bpe, op3_token_files, op4_language, op5_exact_dedup, op6_secrets, op8_line_dedup, op9_decontaminate, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_bpe, op3_token_files, op4_language, op5_exact_dedup, op6_secrets, op7_toxicity, op8_line_dedup, op9_decontaminate, op10_sharding)}
 
 ORACLES = {
     "op1_near_dedup": r"""
