@@ -52,6 +52,8 @@ class KneserNey:
 
     def log_probabilities(self, words: list[str]) -> np.ndarray:
         """Sum of log2 p over each word's characters and its end; one row per word, one column per language."""
+        if not words or not self.languages:
+            return np.zeros((len(words), len(self.languages)))
         padded = [EDGE * (ORDER - 1) + w + EDGE for w in words]
         sizes = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
         p = np.full((int(sizes.sum()), len(self.languages)), self.floor)
@@ -67,7 +69,7 @@ class KneserNey:
             b = np.where(ctx[:, None] >= 0, weight[ctx], 1.0)
             p = a[at] + b[at] * p
         ends = np.cumsum(sizes)
-        return np.add.reduceat(np.log2(p), np.concatenate([[0], ends[:-1]]), axis=0) if len(words) else np.zeros((0, len(self.languages)))
+        return np.add.reduceat(np.log2(p), np.concatenate([[0], ends[:-1]]), axis=0)
 
 
 def _find(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -183,7 +185,7 @@ def cross_entropies(docs: DataFrame, model: KneserNey, id_col: str, text_col: st
                         known[word] = row.tobytes()
                 for words in texts:
                     sizes.append(sum(map(len, words)))
-                    total = np.frombuffer(b"".join(map(known.__getitem__, words))).reshape(-1, kinds).sum(0)
+                    total = np.frombuffer(b"".join(map(known.__getitem__, words))).reshape(len(words), kinds).sum(0)
                     ces.append((-total / max(1, sizes[-1] + len(words))).tolist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ces, pa.list_(pa.float64())),
                                               *[batch.column(k) for k in range(2, batch.num_columns)]],

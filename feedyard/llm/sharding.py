@@ -16,26 +16,46 @@ PIECE = 4
 def _quotas(wishes: np.ndarray, free: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """How many rows go from shard i to shard j: those that wish to, and free rows that make room for them.
 
-    What flows from i to j equals what flows from j to i, so sizes never change. First wishes are swapped for
-    opposite wishes; what is left is swapped for rows without links, as far as shard j has them.
+    Every shard gets as many rows as it gives, so sizes never change. First wishes are granted along cycles (two
+    shards that swap, or longer rounds), each for its least wish; what is left is swapped for rows without links, as
+    far as shard j has them.
     """
-    wishing = np.minimum(wishes, wishes.T)
+    left, n = wishes.copy(), len(free)
+    granted = np.minimum(left, left.T)  # pairs that swap
+    left = left - granted
+    while True:
+        # a walk that always takes the largest wish either ends, at a shard that takes part in no cycle, or closes one
+        path, at = [], next((i for i in range(n) if left[i].any()), None)
+        if at is None:
+            break
+        while at not in path and left[at].any():
+            path.append(at)
+            at = int(np.argmax(left[at]))
+        if at in path:
+            ring = path[path.index(at):] + [at]
+            least = min(left[i, j] for i, j in zip(ring, ring[1:]))
+            for i, j in zip(ring, ring[1:]):
+                left[i, j] -= least
+                granted[i, j] += least
+        else:
+            left[:, at] = 0  # nothing leaves this shard, so nothing can come by wishes alone
+    left = wishes - granted
     filler = np.zeros_like(wishes)
-    for j in range(len(free)):
-        left = free[j]
-        for i in np.argsort(-(wishes[:, j] - wishing[:, j]), kind="stable"):
-            moved = min(left, int(wishes[i, j] - np.minimum(wishes, wishes.T)[i, j])) if i != j else 0
-            wishing[i, j] += moved
+    for j in range(n):
+        spare = free[j]
+        for i in np.argsort(-left[:, j], kind="stable"):
+            moved = int(min(spare, left[i, j]))
+            granted[i, j] += moved
             filler[j, i] += moved
-            left -= moved
-    return wishing, filler
+            spare -= moved
+    return granted, filler
 
 
 def propagate(nodes: DataFrame, shards: int, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """``(node, piece, shard)`` after label propagation; nodes are ``(node, piece, size_of_piece, shard)``.
 
     Nodes of one piece are linked. In each round every linked node wishes for the shard that holds most of its piece
-    (ties: the lowest) and the quotas between each two shards say how many go; who goes is decided by node number.
+    (ties: by hash) and the quotas between each two shards say how many go; who goes is decided by node number.
     Each round is joins and aggregates over the pieces and is checkpointed; only the shards x shards matrix of wishes
     reaches the driver. It ends when no wish can be granted.
     """
@@ -44,8 +64,8 @@ def propagate(nodes: DataFrame, shards: int, max_rounds: int = MAX_ROUNDS) -> Da
     for _ in range(max_rounds):
         linked = now.filter("not free")
         held = linked.groupBy("piece", "shard").agg(F.count(F.lit(1)).alias("n"))
-        best = held.groupBy("piece").agg(F.max(F.struct("n", (-F.col("shard")).alias("low"))).alias("best"))
-        wish = linked.join(best.select("piece", (-F.col("best.low")).alias("wish")), "piece").filter("wish <> shard")
+        best = held.groupBy("piece").agg(F.max(F.struct("n", F.xxhash64("piece", "shard").alias("tie"), "shard")).alias("best"))
+        wish = linked.join(best.select("piece", F.col("best.shard").alias("wish")), "piece").filter("wish <> shard")
         wish = stable(wish.select("node", "shard", "wish"))
         wishes, free = np.zeros((shards, shards), np.int64), np.zeros(shards, np.int64)
         for r in wish.groupBy("shard", "wish").count().collect():  # shards x shards counts
@@ -85,7 +105,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id",
     total = rows.count()
     piece_rows = max(2, total // shards // PIECE)
     placed = with_position(rows.withColumn("one", F.lit(0)), ["one"], [F.col("digest"), F.col("doc_id")], "node").drop("one")
-    sizes = placed.groupBy("digest").agg(F.min("node").alias("first"))
+    sizes = stable(placed.groupBy("digest").agg(F.min("node").alias("first")))  # a plain table, so a frequent digest can be split in the join
     placed = placed.join(sizes, "digest").withColumn("piece", F.col("node") - (F.col("node") - F.col("first")) % piece_rows)
     placed = stable(placed.select("node", "piece", "doc_id", "bytes", "text_crc32"))
     counts = placed.groupBy("piece").agg(F.count(F.lit(1)).alias("size_of_piece"))
