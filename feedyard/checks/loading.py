@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from feedyard.checks import dropzone, views as v
 from feedyard.functions.fingerprints import enrich_listing
 from feedyard.functions.paths import base_name
-from feedyard.operators import bronze, config_sync, drift, logs
+from feedyard.operators import bronze, config_sync, drift, logs, waterfall
 from feedyard.plans import ingest as plan
-from feedyard.session import work_dir
+from feedyard.session import stable, work_dir
 from feedyard.sources import archives, configs, delimited
 from feedyard.sources.listing import list_files as list_dir
 
@@ -131,7 +131,9 @@ def bronze_lineage(spark, sf_dir):
   LATERAL (VALUES ('INGEST_CONTROL', 'STARTED', 'batch_id=batch_001; ingest started', NULL), ('INGEST_CONTROL', 'SUCCEEDED', 'batch_id=batch_001; ingest completed', n),
                   ('BRONZE_LOAD', 'SUCCEEDED', 'bronze load succeeded', n)) s(stage_name, stage_status, status_reason, cnt)""", _CUST))
 def ingest_log(spark, sf_dir):
-    return _report(spark, sf_dir).file_log.select("file_name", "stage_name", "stage_status", "status_reason", F.col("cnt_row_written").alias("cnt"))
+    refs = enrich_listing(list_dir(spark, dropzone.dropped(spark, sf_dir))).select("file_path", "file_name", "file_fingerprint")
+    log = plan.start_log(_feed(), refs, "batch_001", "req_1", "run_1", v.NOW).unionByName(_report(spark, sf_dir).file_log)
+    return log.select("file_name", "stage_name", "stage_status", "status_reason", F.col("cnt_row_written").alias("cnt"))
 
 
 @query(v.sql("", "SELECT DISTINCT 'customers_' || chunk || '.txt' AS file_name, CASE kind WHEN 0 THEN 'N' ELSE 'Y' END AS change_detected, "
@@ -157,6 +159,30 @@ def bronze_append(spark, sf_dir):
     return bronze.read_bronze(spark, path).select("custkey", "name", "nation", "segment", F.col("`d.e`").alias("de"))
 
 
+@query(v.sql("", """SELECT file_name, load_no, n AS cnt, CASE WHEN chunk % 2 = 1 THEN 'STARTED' ELSE 'ENDED' END AS state, chunk % 2 = 1 AS blocked, chunk % 2 = 0 AS loaded
+FROM (SELECT chunk, 'customers_' || chunk || '.txt' AS file_name, count(*) AS n FROM v_cust GROUP BY 1, 2), (VALUES (1), (2)) t(load_no)""", _CUST))
+def ingest_lifecycle(spark, sf_dir):
+    """Files of even number are loaded twice without a request id, the others only started, as by a job that died.
+
+    Each load counts its own rows; after it its files are free again; what only started stays blocked.
+    """
+    refs = stable(enrich_listing(list_dir(spark, dropzone.dropped(spark, sf_dir))).select("file_path", "file_name", "file_fingerprint"))
+    even = F.pmod(F.regexp_extract("file_name", r"_(\d+)\.", 1).cast("int"), F.lit(2)) == 0
+    table, log = work_dir(spark, "bronze"), work_dir(spark, "logs")
+    logs.append_log(plan.start_log(_feed(), refs.filter(~even), "batch_009", None, "run_0", v.NOW), f"{log}/file_log")
+    counts = None
+    for n in (1, 2):
+        done = plan.load(spark, _feed(), refs.filter(even), table, log, f"batch_00{n}", None, f"run_{n}", v.NOW)
+        done = done.select("file_fingerprint", F.col("cnt_row_bronze").alias("cnt"), F.lit(n).alias("load_no"))
+        counts = done if counts is None else counts.unionByName(done)
+    blocked = waterfall.blocked_identities(spark.read.parquet(f"{log}/file_log"), v.NOW).select(F.col("identity").alias("file_fingerprint"), F.lit(True).alias("blocked"))
+    sizes = plan.read_batch(spark, _feed(), refs, "batch_000", None, None, v.NOW).rows.groupBy(F.col("src_file_fingerprint").alias("file_fingerprint")).agg(F.count(F.lit(1)).alias("n"))
+    every = refs.join(sizes, "file_fingerprint").withColumn("load_no", F.explode(F.array(F.lit(1), F.lit(2))))
+    joined = every.join(counts.withColumn("loaded", F.lit(True)), ["file_fingerprint", "load_no"], "left").join(blocked, "file_fingerprint", "left")
+    return joined.select("file_name", "load_no", F.coalesce("cnt", "n").alias("cnt"), F.when(F.col("blocked"), "STARTED").otherwise("ENDED").alias("state"),
+                         F.coalesce("blocked", F.lit(False)).alias("blocked"), F.coalesce("loaded", F.lit(False)).alias("loaded"))
+
+
 @query(v.sql("", "SELECT 'customers_' || chunk || '.txt' AS src_file_name, count(*) AS cnt_row_bronze FROM v_cust GROUP BY 1", _CUST))
 def bronze_counts(spark, sf_dir):
     run = _ingest(spark, sf_dir)

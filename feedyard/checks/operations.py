@@ -119,9 +119,9 @@ _RB_VIEWS = "inventory ingest_log event_log"
 @query(v.sql(_RB_VIEWS, """
 SELECT 'job_log' AS table_name, count(*) AS cnt_rows FROM v_event_log WHERE feed_key = 'feed_3' AND dispatch_run_id = 'run_1' UNION ALL
 SELECT 'file_log', count(*) FROM v_log WHERE feed_key = 'feed_3' AND dispatch_run_id = 'run_1' UNION ALL
-SELECT 'inventory', count(*) FROM v_inventory WHERE feed_key = 'feed_3' UNION ALL
+SELECT 'inventory', count(*) FROM v_inventory WHERE feed_key = 'feed_3' AND dispatch_run_id = 'run_1' UNION ALL
 SELECT 'candidate_file_paths', count(*) FROM v_touched UNION ALL
-SELECT 'bronze', count(*) FROM v_bronze WHERE 'dbfs:' || src_file_path IN (SELECT file_path FROM v_touched)""", _BRONZE + ",\n" + _LOGS))
+SELECT 'bronze', count(*) FROM v_bronze WHERE feed_key = 'feed_3' AND 'dbfs:' || src_file_path IN (SELECT file_path FROM v_touched)""", _BRONZE + ",\n" + _LOGS))
 def rollback_plan(spark, sf_dir):
     return rollback.plan(_tables(spark, sf_dir), "feed_3", " run_1 ")
 
@@ -129,8 +129,8 @@ def rollback_plan(spark, sf_dir):
 @query(v.sql(_RB_VIEWS, """
 SELECT 'job_log' AS table_name, count(*) AS cnt_rows FROM v_event_log WHERE NOT (feed_key = 'feed_3' AND dispatch_run_id = 'run_1') UNION ALL
 SELECT 'file_log', count(*) FROM v_log WHERE NOT (feed_key = 'feed_3' AND dispatch_run_id = 'run_1') UNION ALL
-SELECT 'inventory', count(*) FROM v_inventory WHERE feed_key <> 'feed_3' UNION ALL
-SELECT 'bronze', count(*) FROM v_bronze WHERE 'dbfs:' || src_file_path NOT IN (SELECT file_path FROM v_touched)""", _BRONZE + ",\n" + _LOGS))
+SELECT 'inventory', count(*) FROM v_inventory WHERE NOT (feed_key = 'feed_3' AND dispatch_run_id = 'run_1') UNION ALL
+SELECT 'bronze', count(*) FROM v_bronze WHERE NOT (feed_key = 'feed_3' AND 'dbfs:' || src_file_path IN (SELECT file_path FROM v_touched))""", _BRONZE + ",\n" + _LOGS))
 def rollback_apply(spark, sf_dir):
     left = rollback.apply(_tables(spark, sf_dir), "feed_3", "run_1")
     out = None
@@ -246,6 +246,31 @@ def request_log(spark, sf_dir):
                        F.array_join("arr_paths_final_eligible", ",").alias("eligible_paths"), F.size("arr_batch_inputs").cast("bigint").alias("batches"))
 
 
+@query(v.sql(_INTAKE_VIEWS, """SELECT f.feed_key, r.request_id, count(o.owner) AS packed, count(o.owner) AS recorded
+FROM v_feeds f CROSS JOIN (VALUES ('req_1'), ('req_2'), ('req_3')) r(request_id) LEFT JOIN (
+  SELECT feed_key, CASE WHEN mtime BETWEEN epoch_ms(TIMESTAMP '1996-01-01') AND epoch_ms(TIMESTAMP '1996-12-31 23:59:59') THEN 'req_1' ELSE 'req_2' END AS owner FROM v_files
+  WHERE NOT bad AND mtime BETWEEN epoch_ms(TIMESTAMP '1996-01-01') AND epoch_ms(TIMESTAMP '1997-12-31 23:59:59')
+    AND file_path NOT IN (SELECT file_path FROM v_known WHERE load_status = 'LOADED_BRONZE')
+    AND file_path NOT IN (SELECT identity FROM v_stuck) AND file_fingerprint NOT IN (SELECT identity FROM v_stuck)) o
+  ON o.feed_key = f.feed_key AND o.owner = r.request_id GROUP BY 1, 2""", _INTAKE))
+def requests_of_one_feed(spark, sf_dir):
+    """Three requests of every feed: its default one, a second that overlaps it, and a discovery; each file goes to one of the first two."""
+    span = '{"request_type":"BACKFILL","selector_type":"FILE_MODIFIED_TS","modified_from_ts":"%s","modified_to_ts":"%s"}'
+    config = v.feeds(spark, sf_dir).withColumns({"batch_max_size_gb": F.lit(1.0), "notify_recipients": F.lit("ops"),
+                                                 "sys_default_request_json": F.lit(span % ("1996-01-01", "1996-12-31T23:59:59Z"))})
+    texts = {"req_1": " ", "req_2": span % ("1996-07-01", "1997-12-31T23:59:59Z"), "req_3": '{"request_type":"DISCOVERY"}'}
+    three = F.array(*[F.struct(F.lit(k).alias("id"), F.lit(text).alias("text")) for k, text in texts.items()])
+    ask = config.select("feed_key", F.concat(F.lit(v.ROOT + "/"), "feed_key", F.lit("/source")).alias("source_dir"), F.explode(three).alias("r")).select(
+        "feed_key", "source_dir", F.col("r.id").alias("request_id"), F.col("r.text").alias("request_json"))
+    known = v.known_inventory(spark, sf_dir)
+    done = intake.run_intake(ask, v.listed_files(spark, sf_dir), config, known, v.ingest_log(spark, sf_dir), v.NOW, per_run=0, hours=8640, run_id="run_i")
+    packed = done.batches.groupBy("feed_key", "request_id").agg(F.sum("file_count").alias("packed"))
+    added = stages.run_manifest(known.limit(0), done.flags, v.parsed_files(spark, sf_dir), v.NOW, "run_i").table
+    recorded = added.groupBy("feed_key", "request_id").agg(F.count(F.lit(1)).alias("recorded"))
+    keys = ["feed_key", "request_id"]
+    return ask.select(*keys).join(packed, keys, "left").join(recorded, keys, "left").select(*keys, F.coalesce("packed", F.lit(0)).alias("packed"), F.coalesce("recorded", F.lit(0)).alias("recorded"))
+
+
 @query(v.sql(_INTAKE_VIEWS, """SELECT feed_key, 'req_' || feed_key AS request_id, file_path, file_fingerprint, file_name, 'DISCOVERY scaffold only; no bronze ingest performed' AS status_reason, 'run_i' AS dispatch_run_id
 FROM v_marked2 WHERE fn % 5 = 3""", _INTAKE))
 def discovery_log(spark, sf_dir):

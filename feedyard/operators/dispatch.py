@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from feedyard.functions.text import parse_utc, yes
-from feedyard.operators.schedule import is_due, next_fire, split_expressions
+from feedyard.operators.schedule import is_due, next_fire, parse_expressions, split_expressions
 from feedyard.operators.upsert import src, update_where, upsert
 
 # Decisions and their reasons.
@@ -25,8 +25,13 @@ def gates(config: DataFrame, state: DataFrame, now, honor_auto_trigger: bool = T
         "gate_auto": yes(F.col("ctl_auto_trigger")) if honor_auto_trigger else F.lit(True),
         "gate_hold": F.coalesce(at >= hold, F.lit(True)) if honor_hold else F.lit(True),
         "gate_due": is_due(F.col("sched_cron"), F.col("last_dispatched_at"), F.col("next_after_last"), at),
-        "cron_valid": F.exists(split_expressions(F.coalesce("sched_cron", F.lit(""))), lambda x: F.size(F.split(x, r"\s+")) == 6),
-    }).withColumn("eligible", F.expr("gate_active AND gate_auto AND gate_hold AND gate_due"))
+    }).withColumn("eligible", F.expr("gate_active AND gate_auto AND gate_hold AND gate_due")).join(_valid_schedules(config), "sched_cron", "left").withColumn("cron_valid", F.coalesce("cron_valid", F.lit(False)))
+
+
+def _valid_schedules(config: DataFrame) -> DataFrame:
+    """Each distinct schedule text, and whether one of its expressions can be read."""
+    each = config.select("sched_cron").distinct().withColumn("expr", F.explode(split_expressions(F.col("sched_cron"))))
+    return parse_expressions(each).groupBy("sched_cron").agg(F.max("cron_valid").alias("cron_valid"))
 
 
 def plan(gated: DataFrame, active_runs: DataFrame) -> DataFrame:

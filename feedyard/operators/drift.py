@@ -55,6 +55,11 @@ def evolve_business(df: DataFrame, columns: list[str]) -> DataFrame:
     return evolve(df, [(c, "string") for c in columns])
 
 
+def united(columns: list[str], more: list[str]) -> list[str]:
+    """Columns in order with those of ``more`` that differ by more than case."""
+    return columns + [n for n, _ in missing_columns(columns, [(c, "string") for c in more])]
+
+
 def initial_columns(policy: str, seed: list[str] | None) -> list[str]:
     """Business columns a bronze table starts with.
 

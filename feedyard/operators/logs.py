@@ -29,23 +29,27 @@ def shape(df: DataFrame, ddl: str, **values) -> DataFrame:
     return df.select(cells)
 
 
+def _at(now) -> Column:
+    return (now if isinstance(now, Column) else F.lit(now)).cast("timestamp")
+
+
 def job_log(df: DataFrame, now, **values) -> DataFrame:
-    return shape(df, schemas.JOB_LOG, ts_event=F.lit(now).cast("timestamp"), **values)
+    return shape(df, schemas.JOB_LOG, ts_event=_at(now), **values)
 
 
 def file_log(df: DataFrame, now, **values) -> DataFrame:
     values.setdefault("file_fingerprint", F.coalesce("file_fingerprint", F.lit("")))
-    return shape(df, schemas.FILE_LOG, ts_event=F.lit(now).cast("timestamp"), **values)
+    return shape(df, schemas.FILE_LOG, ts_event=_at(now), **values)
 
 
 def schema_change_log(df: DataFrame, now, **values) -> DataFrame:
     return shape(
-        df, schemas.SCHEMA_CHANGE_LOG, ts_event=F.lit(now).cast("timestamp"), file_fingerprint=F.coalesce("file_fingerprint", F.lit("")),
+        df, schemas.SCHEMA_CHANGE_LOG, ts_event=_at(now), file_fingerprint=F.coalesce("file_fingerprint", F.lit("")),
         source_columns_csv=F.array_join("source_columns", ","), target_columns_csv=F.array_join("target_columns", ","), **values)
 
 
 def discovery_log(df: DataFrame, now, **values) -> DataFrame:
-    return shape(df, schemas.DISCOVERY_LOG, ts_event=F.lit(now).cast("timestamp"), file_fingerprint=F.coalesce("file_fingerprint", F.lit("")),
+    return shape(df, schemas.DISCOVERY_LOG, ts_event=_at(now), file_fingerprint=F.coalesce("file_fingerprint", F.lit("")),
                  status_reason="DISCOVERY scaffold only; no bronze ingest performed", **values)
 
 
@@ -72,7 +76,7 @@ def notifications(df: DataFrame, now, **values) -> DataFrame:
         if name not in values and name in df.columns:
             values[name] = blank_to_null(F.col(name)) if name != "feed_key" else F.nullif(F.col(name), F.lit(""))
     return shape(df, schemas.NOTIFICATIONS, severity=severity, category=category,
-                 event_type=F.upper(F.trim(event if isinstance(event, Column) else F.lit(event))), ts_event=F.lit(now).cast("timestamp"), **extra, **values)
+                 event_type=F.upper(F.trim(event if isinstance(event, Column) else F.lit(event))), ts_event=_at(now), **extra, **values)
 
 
 def valid_notification(severity: Column, category: Column) -> Column:

@@ -37,11 +37,11 @@ def plan(tables: dict[str, DataFrame], feed_key: str, run_id: str | None = None,
     for name in LOG_TABLES:
         if name in tables:
             add(name, tables[name].filter(scope(feed_key, run_id, request_id)))
-    add("inventory", tables["inventory"].filter(F.col("feed_key") == feed_key))
+    add("inventory", tables["inventory"].filter(scope(feed_key, run_id, request_id)))
     paths = touched_paths(tables["file_log"], feed_key, run_id, request_id)
     add("candidate_file_paths", paths)
     if "bronze" in tables:
-        add("bronze", _of_paths(tables["bronze"], paths, "left_semi"))
+        add("bronze", _of_paths(tables["bronze"].filter(F.col("feed_key") == feed_key), paths, "left_semi"))
     return reduce(lambda a, b: a.unionByName(b), counted)
 
 
@@ -53,9 +53,10 @@ def apply(tables: dict[str, DataFrame], feed_key: str, run_id: str | None = None
           purge_config: bool = False) -> dict[str, DataFrame]:
     """The tables after the rollback, as new snapshots."""
     out = {n: delete_where(tables[n], scope(feed_key, run_id, request_id)) for n in LOG_TABLES if n in tables}
-    out["inventory"] = delete_where(tables["inventory"], F.col("feed_key") == feed_key)
+    out["inventory"] = delete_where(tables["inventory"], scope(feed_key, run_id, request_id))
     if "bronze" in tables:
-        out["bronze"] = _of_paths(tables["bronze"], touched_paths(tables["file_log"], feed_key, run_id, request_id), "left_anti")
+        mine, paths = F.col("feed_key").eqNullSafe(feed_key), touched_paths(tables["file_log"], feed_key, run_id, request_id)
+        out["bronze"] = tables["bronze"].filter(~mine).unionByName(_of_paths(tables["bronze"].filter(mine), paths, "left_anti"))
     if "config" in tables:
         out["config"] = delete_where(tables["config"], F.lit(purge_config) & (F.col("feed_key") == feed_key))
     return out

@@ -1,10 +1,12 @@
 """Loading one run's files of a feed into its bronze table."""
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedyard.functions.filenames import parse_filename
 from feedyard.functions.fingerprints import file_fingerprint
@@ -15,6 +17,10 @@ from feedyard.session import stable
 from feedyard.sources import archives, delimited
 
 
+class LoadFailed(RuntimeError):
+    """No file of a load could be read."""
+
+
 @dataclass
 class Feed:
     """What ingest needs to know of a feed."""
@@ -121,29 +127,27 @@ def read_batch(spark: SparkSession, feed: Feed, refs: DataFrame, batch_id: str,
     parts = _plain_rows(spark, sound.filter("members = 0"), feed) + _zip_rows(spark, zipped, members.filter("member IS NOT NULL"), feed)
     if not parts:
         failed = heads.select("error").first()
-        raise RuntimeError(f"All file(s) in batch {batch_id} failed: {failed['error'] if failed else 'no files'}")
+        raise LoadFailed(f"All file(s) in batch {batch_id} failed: {failed['error'] if failed else 'no files'}")
     rows = bronze.add_lineage(_unite(parts), files, feed.feed_key, request_id, run_id, now)
     return Batch(rows, files, heads)
 
 
 def report(feed: Feed, batch: Batch, counts: DataFrame, target_columns: list[str], target_table: str, batch_id: str,
            request_id: str | None, run_id: str | None, now) -> Report:
-    """Log rows of a load, from the rows counted per fingerprint once they are written."""
+    """Log rows of the end of a load, from the rows counted per fingerprint once they are written; ``now`` is when it ended."""
     outcome = batch.files.join(batch.heads.select("file_path", "error", "columns", "members"), "file_path")
     counts = counts.withColumnRenamed("src_file_fingerprint", "file_fingerprint")
     ids = {"request_id": F.lit(request_id).cast("string"), "dispatch_run_id": F.lit(run_id).cast("string")}
     done = outcome.join(counts, "file_fingerprint", "left").withColumns({
         "succeeded": F.col("error").isNull(), "cnt_row_written": F.when(F.col("error").isNull(), F.coalesce("cnt_row_bronze", F.lit(0))), **ids})
-    at = F.lit(now).cast("timestamp")
+    at = now if isinstance(now, Column) else F.lit(now).cast("timestamp")
     tag = F.lit(f"batch_id={batch_id}; ")
     ended = F.when(F.col("succeeded"), F.concat(tag, F.lit("ingest completed"))).otherwise(F.concat(tag, F.lit("ingest failed: "), F.col("error")))
-    none = F.lit(None).cast("bigint")
 
     def step(when, stage, status, reason, count):
         return F.when(when, F.struct(F.lit(stage).alias("stage_name"), status.alias("stage_status"), reason.alias("status_reason"), count.alias("cnt")))
 
     steps = F.array_compact(F.array(
-        step(F.lit(True), "INGEST_CONTROL", F.lit("STARTED"), F.concat(tag, F.lit("ingest started")), none),
         step(F.col("succeeded") & (F.col("members") > 0), "ZIP_EXTRACT", F.lit("SUCCEEDED"), F.lit("zip members read"), F.col("members")),
         step(F.lit(True), "INGEST_CONTROL", F.when(F.col("succeeded"), "SUCCEEDED").otherwise("FAILED"), ended, F.col("cnt_row_written")),
         step(F.col("succeeded"), "BRONZE_LOAD", F.lit("SUCCEEDED"), F.lit("bronze load succeeded"), F.col("cnt_row_written"))))
@@ -166,26 +170,48 @@ def drift_notifications(changes: DataFrame, feed: Feed, target_table: str, now)
     return logs.notifications(drifted, now, severity="WARNING", category="SCHEMA", event_type="SCHEMA_DRIFT_DETECTED")
 
 
+def start_log(feed: Feed, refs: DataFrame, batch_id: str, request_id: str | None, run_id: str | None, now,
+              status: str = "STARTED", reason: str = "ingest started") -> DataFrame:
+    """One control row per file of a load, which says that it began (or, with another status, how all of it ended)."""
+    files = parse_filename(refs.withColumn("feed_key", F.lit(feed.feed_key)), feed.regex, feed.capture_spec)
+    return logs.file_log(files.withColumns({"request_id": F.lit(request_id).cast("string"), "dispatch_run_id": F.lit(run_id).cast("string")}), now,
+                         stage_name="INGEST_CONTROL", stage_status=status, status_reason=f"batch_id={batch_id}; {reason}", cnt_row_written=None)
+
+
 def load(spark: SparkSession, feed: Feed, refs: DataFrame, bronze_path: str, log_dir: str, batch_id: str, request_id: str | None,
          run_id: str | None, now, partition_cols: list[str] | None = None, seed: list[str] | None = None,
-         policy: str = "FIRST_FILE") -> DataFrame:
-    """Ingest into a bronze folder and append the logs; returns the counts to mark in the inventory."""
-    try:
-        existing = drift.business_columns(bronze.read_bronze(spark, bronze_path))
-    except Exception as exc:  # no bronze yet
-        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER" not in str(exc):
-            raise
+         policy: str = "FIRST_FILE", load_id: str | None = None) -> DataFrame:
+    """Ingest into a bronze folder and append the logs; returns the counts to mark in the inventory.
+
+    The start is logged before any file is read, the end with a later time, so a load that dies leaves its files as
+    started. Every load has its own folder, from which alone its rows are counted.
+    """
+    began = time.monotonic()
+    load_id = load_id or uuid.uuid4().hex
+
+    def ended():
+        return F.lit(now).cast("timestamp") + F.make_dt_interval(secs=F.lit(max(0.001, time.monotonic() - began)))
+
+    refs = stable(refs.select("file_path", "file_name", "file_fingerprint"))
+    logs.append_log(start_log(feed, refs, batch_id, request_id, run_id, now), f"{log_dir}/file_log")
+    existing = bronze.known_columns(spark, bronze_path)
+    if existing is None:
         existing = drift.initial_columns(policy, seed)
-    batch = read_batch(spark, feed, refs, batch_id, request_id, run_id, now)
-    bronze.append_bronze(drift.evolve_business(batch.rows, existing), bronze_path, partition_cols)
-    # counted on what was written, so the files themselves are read once
-    written = bronze.read_bronze(spark, bronze_path).join(batch.files.select(F.col("file_fingerprint").alias("src_file_fingerprint")), "src_file_fingerprint", "left_semi")
-    counts = stable(bronze.bronze_counts(written.filter(F.col("request_id").eqNullSafe(F.lit(request_id)))))
-    run = report(feed, batch, counts, existing, bronze_path, batch_id, request_id, run_id, now)
+    try:
+        batch = read_batch(spark, feed, refs, batch_id, request_id, run_id, now)
+    except LoadFailed as exc:
+        logs.append_log(start_log(feed, refs, batch_id, request_id, run_id, ended(), "FAILED", f"ingest failed: {exc}"), f"{log_dir}/file_log")
+        raise
+    rows = drift.evolve_business(batch.rows, existing)
+    bronze.write_load(rows, bronze_path, load_id, partition_cols)
+    bronze.keep_columns(spark, bronze_path, drift.united(existing, drift.business_columns(rows)))
+    counts = stable(bronze.bronze_counts(bronze.read_load(spark, bronze_path, load_id)))
+    at = ended()
+    run = report(feed, batch, counts, existing, bronze_path, batch_id, request_id, run_id, at)
     logs.append_log(run.file_log, f"{log_dir}/file_log")
     logs.append_log(run.schema_changes, f"{log_dir}/schema_change_log")
     logs.append_log(run.notifications, f"{log_dir}/notifications")
     status = logs.batch_status(run.results)
-    logs.append_log(logs.job_log(status, now, request_id=request_id, task_name="ingest_batch",
+    logs.append_log(logs.job_log(status, at, request_id=request_id, task_name="ingest_batch",
                                  dispatch_run_id=run_id), f"{log_dir}/job_log")
     return run.results.filter("succeeded").select("file_fingerprint", F.col("cnt_row_written").alias("cnt_row_bronze"), "request_id", "dispatch_run_id")

@@ -19,8 +19,16 @@ class Stage:
 
 
 def run_manifest(known: DataFrame, flags: DataFrame, parsed: DataFrame, now, run_id: str | None = None) -> Stage:
-    """Record every eligible file, also those beyond this run's batches, as discovered."""
-    rows = stable(inventory.manifest_rows(flags.filter("final_eligible"), parsed, now).withColumn("dispatch_run_id", F.lit(run_id).cast("string")))
+    """Record every eligible file, also those beyond this run's batches, as discovered.
+
+    Requests that only discover record nothing; of several requests for a file the first by id has it.
+    """
+    wanted = flags.filter("final_eligible")
+    if "request_type" in flags.columns:
+        wanted = wanted.filter("request_type <> 'DISCOVERY'")
+    first = wanted.groupBy("feed_key", "file_path").agg(F.min("request_id").alias("request_id"))
+    wanted = wanted.join(first, ["feed_key", "file_path", "request_id"], "left_semi")
+    rows = stable(inventory.manifest_rows(wanted, parsed, now).withColumn("dispatch_run_id", F.lit(run_id).cast("string")))
     merged = inventory.merge_inventory(known, rows)
     found = rows.groupBy("feed_key", "request_id").agg(F.count(F.lit(1)).alias("n"))
     return Stage(

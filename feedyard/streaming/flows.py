@@ -5,6 +5,7 @@ same code serves a schedule or, with another trigger, a running stream.
 """
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,9 +13,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from feedyard.functions.fingerprints import enrich_listing
 from feedyard.functions.paths import base_name
+from feedyard.operators import bronze
 from feedyard.operators.upsert import src, upsert
 from feedyard.operators.waterfall import latest_by_identity
-from feedyard.plans.ingest import Feed, read_batch
+from feedyard.plans.ingest import Feed, LoadFailed, read_batch
 
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 WINDOW = "48 hours"
@@ -57,13 +59,19 @@ def ingest_arrivals(spark: SparkSession, feed: Feed, directory: str, bronze_path
                     per_batch: int | None = None, run_id: str | None = None) -> None:
     """Load files as they arrive.
 
-    Each micro-batch has its own folder below the bronze path and replaces it when it is repeated
-    after a failure, so no file is loaded twice.
+    Each micro-batch has its own load folder below the bronze path, named by the stream's checkpoint and the number,
+    and replaces it when it is repeated after a failure, so no file is loaded twice and no other stream's rows are
+    touched. A micro-batch of which no file can be read is passed over; its files carry no rows.
     """
+    stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
     def step(batch: DataFrame, number: int) -> None:
         listed = enrich_listing(batch).select("file_path", "file_name", "file_fingerprint")
-        rows = read_batch(batch.sparkSession, feed, listed, f"batch_{number:03d}", f"stream_{number}", run_id, now).rows
-        rows.write.mode("overwrite").parquet(f"{bronze_path}/stream_batch={number}")
+        try:
+            rows = read_batch(batch.sparkSession, feed, listed, f"batch_{number:03d}", f"stream_{number}", run_id, now).rows
+        except LoadFailed:
+            return
+        bronze.write_load(rows, bronze_path, f"{stream}-{number}")
 
     run_batches(arriving_files(spark, directory, per_batch), step, checkpoint)
 

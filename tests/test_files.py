@@ -90,6 +90,27 @@ def test_load_appends_grows_and_logs(spark, drop, tmp_path):
     assert spark.read.parquet(f"{log}/file_log").count() == 6
 
 
+def test_a_load_counts_its_own_rows_and_frees_its_files(spark, drop, tmp_path):
+    from feedyard.operators.waterfall import blocked_identities
+    table, log = f"file:{tmp_path}/bronze", f"file:{tmp_path}/logs"
+    refs = _refs(spark, drop).filter("file_name IN ('h1.txt', 'h3.txt')")
+    for n in (1, 2):
+        done = ingest.load(spark, FEED, refs, table, log, f"batch_00{n}", None, None, NOW)
+        assert sorted(r["cnt_row_bronze"] for r in done.collect()) == [1, 2]
+    assert bronze.read_bronze(spark, table).count() == 6
+    events = spark.read.parquet(f"{log}/file_log")
+    assert blocked_identities(events, NOW).count() == 0
+    assert events.filter("stage_status = 'STARTED'").agg(F.max("ts_event")).first()[0] < events.filter("stage_status <> 'STARTED'").agg(F.min("ts_event")).first()[0]
+    only_started = ingest.start_log(FEED, refs.filter("file_name = 'h1.txt'"), "batch_003", None, None, "2026-01-15 13:00:00")
+    assert blocked_identities(events.unionByName(only_started), NOW).count() == 1
+
+
+def test_two_streams_into_one_table(spark, drop, tmp_path):
+    for k in (1, 2):
+        flows.ingest_arrivals(spark, FEED, f"file:{drop}", f"file:{tmp_path}/b", f"file:{tmp_path}/c{k}", NOW)
+    assert bronze.read_bronze(spark, f"file:{tmp_path}/b").count() == 14
+
+
 def test_no_header_and_repeated_names(spark, tmp_path):
     d = tmp_path / "plain"
     d.mkdir()

@@ -52,12 +52,13 @@ def test_masking(spark):
 
 def test_rollback_is_scoped_and_compares_normalised_paths(spark):
     log = spark.createDataFrame([("f", "r1", "q", "dbfs:/Volumes/a"), ("f", "r2", "q", "dbfs:/Volumes/b"), ("g", "r1", "q", "dbfs:/Volumes/c")], "feed_key string, dispatch_run_id string, request_id string, file_path string")
-    inv = spark.createDataFrame([("f",), ("g",)], "feed_key string")
-    rows = spark.createDataFrame([("/Volumes/a",), ("/Volumes/b",), ("/Volumes/c",)], "src_file_path string")
-    tables = {"file_log": log, "inventory": inv, "bronze": rows, "config": inv}
+    inv = spark.createDataFrame([("f", "r1", "q"), ("f", "r2", "q"), ("g", "r1", "q")], "feed_key string, dispatch_run_id string, request_id string")
+    # another feed may have loaded a file of the same path
+    rows = spark.createDataFrame([("f", "/Volumes/a"), ("f", "/Volumes/b"), ("g", "/Volumes/c"), ("g", "/Volumes/a")], "feed_key string, src_file_path string")
+    tables = {"file_log": log, "inventory": inv, "bronze": rows, "config": spark.createDataFrame([("f",), ("g",)], "feed_key string")}
     assert {r["table_name"]: r["cnt_rows"] for r in rollback.plan(tables, "f", "r1").collect()} == {"file_log": 1, "inventory": 1, "candidate_file_paths": 1, "bronze": 1}
     left = rollback.apply(tables, "f", "r1")
-    assert {n: d.count() for n, d in left.items()} == {"file_log": 2, "inventory": 1, "bronze": 2, "config": 2}
+    assert {n: d.count() for n, d in left.items()} == {"file_log": 2, "inventory": 2, "bronze": 3, "config": 2}
     assert rollback.apply(tables, "f", purge_config=True)["config"].count() == 1
 
 
