@@ -64,13 +64,14 @@ def in_order(rules: list[Rule]) -> tuple[list[Rule], set[str]]:
     """Rules by tier and dependency depth, and the names of those caught in a cycle."""
     by_name = {r.name: r for r in rules}
 
-    def depth(r: Rule, path: tuple[str, ...] = ()) -> int | None:
-        if r.name in path:
-            return None
-        found = [depth(by_name[d], path + (r.name,)) for d in r.depends_on if d in by_name and by_name[d].tier == r.tier]
-        return None if None in found else 1 + max(found, default=-1)
+    needs = {r.name: [d for d in r.depends_on if d in by_name and by_name[d].tier == r.tier] for r in rules}
+    # a rule has a depth once all it needs have one; what waits for a cycle never gets one
+    depths: dict[str, int] = {}
+    ready = [n for n, ds in needs.items() if not ds]
+    while ready:
+        depths |= {n: 1 + max((depths[d] for d in needs[n]), default=-1) for n in ready}
+        ready = [n for n, ds in needs.items() if n not in depths and all(d in depths for d in ds)]
 
-    depths = {r.name: depth(r) for r in rules}
     # only members of a cycle count as cyclic; what merely depends on one is skipped by its dependency
     def reaches(start: str) -> bool:
         todo, seen = list(by_name[start].depends_on), set()
@@ -83,9 +84,8 @@ def in_order(rules: list[Rule]) -> tuple[list[Rule], set[str]]:
                 todo += by_name[n].depends_on
         return False
 
-    cyclic = {n for n, d in depths.items() if d is None and reaches(n)}
-    last = len(rules)
-    return sorted(rules, key=lambda r: (r.tier, last if depths[r.name] is None else depths[r.name], r.name)), cyclic
+    cyclic = {n for n in needs if n not in depths and reaches(n)}
+    return sorted(rules, key=lambda r: (r.tier, depths.get(r.name, len(rules)), r.name)), cyclic
 
 
 def passes(rule: Rule, today: str | None = None) -> Column:

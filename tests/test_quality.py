@@ -76,3 +76,13 @@ def test_values_are_cut_and_rules_loaded(spark):
     assert q.active_rules(table, "f") == [Rule("a", 1, "x", "WARN", None, ("b", "c"), "VALIDITY")]
     assert q.active_rules(table, "none") == []
     assert q.row_flags(_rows(spark, ["abc"]), rules).first()["dq_rules_failed"] == ["short"]
+
+
+def test_rules_that_all_depend_on_all_before_are_ordered_at_once():
+    from feedyard.operators.quality import Rule, in_order
+    names = [f"r{k:02d}" for k in range(60)]
+    rules = [Rule(n, 1, "true", "WARN", None, tuple(names[:k])) for k, n in enumerate(names)]
+    ordered, cyclic = in_order(rules[::-1])
+    assert [r.name for r in ordered] == names and not cyclic
+    loop = [Rule("a", 1, "true", "WARN", None, ("b",)), Rule("b", 1, "true", "WARN", None, ("a",)), Rule("c", 1, "true", "WARN", None, ("a",))]
+    assert in_order(loop)[1] == {"a", "b"}
