@@ -19,8 +19,8 @@ ROWS, BANDS = 4, 32  # a pair of similarity 0.75 shares no band with probability
 HASHES = ROWS * BANDS
 BATCH = 16  # signature rows compared at a time
 MISS = 1e-7  # a pair is pruned when the posterior probability of enough similarity falls below this
-BUCKET = 64  # larger buckets of several components are split by further bands before their pairs are compared
-DEPTH = 3
+BUCKET = 256  # larger buckets of several components are then split by further bands before their pairs are compared
+BROADCAST_IDS = 250_000  # so many node numbers (2 MB) at most are sent to every executor; more are joined by shuffle
 SEED = 20_231
 MEMO = 400_000  # word hashes remembered per Python worker
 
@@ -142,16 +142,21 @@ class _Corpus:
         distinct.withColumn("node", F.monotonically_increasing_id()).write.parquet(f"{folder}/nodes")
         self.nodes = spark.read.parquet(f"{folder}/nodes")
 
+    def pick(self, table: DataFrame, wanted: DataFrame, on) -> DataFrame:
+        """``table`` joined to a counted list of wanted nodes; a short list is broadcast, so the table is not shuffled."""
+        return table.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, on)
+
     def side(self, table: DataFrame, name: str, *columns: str) -> DataFrame:
         return table.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of the distinct ``pairs(a, b)`` that are similar enough."""
-        met = pairs.join(self.side(self.nodes, "a", "n", "sig"), "a").join(self.side(self.nodes, "b", "n", "sig"), "b")
-        near = met.filter(SIMILARITY[1] * F.least("n_a", "n_b") >= SIMILARITY[0] * F.greatest("n_a", "n_b"))
-        alive = stable(near.select("a", "b", "sig_a", "sig_b").mapInArrow(_prune, "a bigint, b bigint"))
-        wanted = alive.select(F.col("a").alias("node")).union(alive.select(F.col("b").alias("node"))).distinct().join(self.nodes.select("node", "low", "digest"), "node")
-        texts = self.texts.join(wanted, F.col("id").eqNullSafe(F.col("low"))).select("node", "body", "digest")
+        near = stable(self.pick(self.nodes.select("node", "n", "sig"), _ends(pairs), "node"))
+        met = pairs.join(self.side(near, "a", "n", "sig"), "a").join(self.side(near, "b", "n", "sig"), "b")
+        met = met.filter(SIMILARITY[1] * F.least("n_a", "n_b") >= SIMILARITY[0] * F.greatest("n_a", "n_b"))
+        alive = stable(met.select("a", "b", "sig_a", "sig_b").mapInArrow(_prune, "a bigint, b bigint"))
+        wanted = stable(self.pick(self.nodes.select("node", "low", "digest"), _ends(alive), "node"))
+        texts = self.pick(self.texts, wanted.select("node", "low"), F.col("id").eqNullSafe(F.col("low")))
         sets = texts.select("node", "body").mapInArrow(_sets, "node bigint, own binary, hashes binary")
         # an id may repeat with other texts, and repeated rows give a set twice
         sets = sets.join(wanted.select("node", "digest"), "node").filter("own = digest").select("node", "hashes").dropDuplicates(["node"])
@@ -179,6 +184,10 @@ def _mixed(members: DataFrame) -> DataFrame:
     return members.join(seen.select("key", "held"), "key")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+
+
 def _across(members: DataFrame) -> DataFrame:
     one, other = (members.select("key", F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
     return one.join(other, "key").filter("a > b and root_a <> root_b").select("a", "b")
@@ -187,10 +196,11 @@ def _across(members: DataFrame) -> DataFrame:
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept, tag)`` of every row; ``tag`` is a hash of the text.
 
-    Rows with one shingle set are one node. Every node is compared with the smallest node of each of its buckets, which
-    joins a large group of near copies by one pair per member and bucket. What lies in one bucket but in different
-    components is compared next: in small buckets each such pair, in larger ones after splitting the bucket by further
-    bands, so no pair of different texts is left out. Candidates are pruned on signatures and confirmed on full sets.
+    Rows with one shingle set are one node. Every node is compared with two members of each of its buckets: the
+    smallest node, which joins a large group of near copies by one pair per member, and one drawn by hash, by which
+    groups without a common centre grow together. What is left in different components of one bucket is compared pair
+    by pair; buckets above BUCKET are split by further bands first. So no pair of different texts is left out, and no
+    group is expanded into all its pairs. Candidates are pruned on signatures and confirmed on full sets.
 
     NULL and empty texts, and texts of white space, have no shingles and are linked with nothing: each is its own
     component. ``component_id`` is the smallest id of the component, NULL ids aside; it is NULL, and the row kept, where
@@ -198,27 +208,22 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     corpus = _Corpus(docs, id_col, text_col)
     bands = corpus.bands()
-    leaders = bands.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("held")).filter("held > 1")
-    members = stable(bands.join(leaders, "key").select("key", "node", "leader"))
-    compared = stable(members.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct())
+    leaders = bands.groupBy("key").agg(F.min("node").alias("first"), F.min(F.struct(F.xxhash64("key", "node"), "node")).alias("drawn"),
+                                       F.count(F.lit(1)).alias("held")).filter("held > 1")
+    members = stable(bands.join(leaders, "key").select("key", "node", "first", F.col("drawn.node").alias("drawn")))
+    met = members.select("node", F.explode(F.array("first", "drawn")).alias("other")).filter("node <> other")
+    compared = stable(met.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct())
     links = corpus.links(compared)
     root = components(links)
 
     labelled = members.select("key", "node").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = stable(_mixed(labelled))
-    pairs = None
-    for depth in range(DEPTH):
-        small = _across(mixed.filter(F.col("held") <= BUCKET))
-        pairs = small if pairs is None else pairs.union(small)
-        large = mixed.filter(F.col("held") > BUCKET)
-        if large.isEmpty():
-            break
-        mixed = stable(_mixed(corpus.finer(large)))
-    else:
-        pairs = pairs.union(_across(mixed))
+    pairs = _across(mixed.filter(F.col("held") <= BUCKET)).union(_across(_mixed(corpus.finer(mixed.filter(F.col("held") > BUCKET)))))
     more = stable(pairs.distinct().join(compared, ["a", "b"], "left_anti"))
     if not more.isEmpty():
-        root = components(links.union(corpus.links(more)))
+        found = corpus.links(more)
+        if not found.isEmpty():
+            root = components(links.union(found))
 
     low = root.join(corpus.nodes.select("node", "low"), "node").groupBy("root").agg(F.min("low").alias("component"))
     verdict = corpus.nodes.select("node", "digest", "low").join(root, "node", "left").join(low, "root", "left").select(
