@@ -2,12 +2,12 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from feedyard.llm.common import chunks, id_text
@@ -33,10 +33,23 @@ def words_of(text: str) -> list[str]:
     return words
 
 
-def _slot(grams: Iterable[str], order: int, bits: int) -> np.ndarray:
-    """Hash of each n-gram, cut to the slots of an array."""
-    h = np.fromiter((xxhash.xxh3_64_intdigest(g.encode(), order) for g in grams), np.uint64)
-    return h >> np.uint64(64 - bits)
+# Odd multipliers per order, kind (n-gram or context) and place.
+_STEPS = np.random.default_rng(13).integers(1, 1 << 63, (ORDER + 1, 2, ORDER), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_EDGE_POINT = ord(EDGE)
+
+
+def _points(texts: Iterable[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.uint64)
+
+
+def _slots(points: np.ndarray, begins: np.ndarray, order: int, context: int, bits: int) -> np.ndarray:
+    """Slot of the n-gram of ``order`` characters at each begin, or of its context, which lacks the last character."""
+    total = np.full(len(begins), order, np.uint64)
+    for j in range(order - context):
+        total += points[begins + j] * _STEPS[order, context, j]
+    total = (total ^ (total >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    total = (total ^ (total >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (total ^ (total >> np.uint64(31))) >> np.uint64(64 - bits)
 
 
 class KneserNey:
@@ -49,30 +62,30 @@ class KneserNey:
 
     def __init__(self, languages: list[str], bits: int, orders: dict[int, tuple], floor: float) -> None:
         self.languages, self.bits, self.orders, self.floor = languages, bits, orders, floor
+        self.name = uuid.uuid4().hex
 
     def log_probabilities(self, words: list[str]) -> np.ndarray:
         """Sum of log2 p over each word's characters and its end; one row per word, one column per language."""
         if not words or not self.languages:
             return np.zeros((len(words), len(self.languages)))
-        padded = [EDGE * (ORDER - 1) + w + EDGE for w in words]
-        sizes = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
-        p = np.full((int(sizes.sum()), len(self.languages)), self.floor)
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        edge = EDGE * (ORDER - 1)
+        points = _points([edge + w + EDGE for w in words])
+        ends = np.cumsum(sizes)
+        # where each predicted character stands: words are padded in front
+        last = np.arange(ends[-1]) + np.repeat(np.arange(1, len(words) + 1) * (ORDER - 1), sizes)
+        p = np.full((len(last), len(self.languages)), self.floor)
         for k in range(1, ORDER + 1):
             hashes, share, context_hashes, weight = self.orders[k]
-            shift = ORDER - k
-            seen: dict[str, int] = {}
-            # every distinct n-gram is looked up once
-            at = np.fromiter((seen.setdefault(w[i + shift:i + ORDER], len(seen)) for w in padded for i in range(len(w) - ORDER + 1)), np.int64, len(p))
-            own = _find(hashes, _slot(seen, k, self.bits))
-            ctx = _find(context_hashes, _slot((g[:-1] for g in seen), k, self.bits))
-            a = np.where(own[:, None] >= 0, share[own], 0.0)
-            b = np.where(ctx[:, None] >= 0, weight[ctx], 1.0)
-            p = a[at] + b[at] * p
-        ends = np.cumsum(sizes)
-        return np.add.reduceat(np.log2(p), np.concatenate([[0], ends[:-1]]), axis=0)
+            own = _find(hashes, _slots(points, last - k + 1, k, 0, self.bits))
+            ctx = _find(context_hashes, _slots(points, last - k + 1, k, 1, self.bits))
+            # what is not found takes the row behind the last: no share, all weight to the lower order
+            p = share[own] + weight[ctx] * p
+        return np.add.reduceat(np.log2(p), ends - sizes, axis=0)
 
 
 def _find(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Place of each hash in a sorted table, -1 where it is not."""
     if not len(table):
         return np.full(len(hashes), -1)
     at = np.minimum(np.searchsorted(table, hashes), len(table) - 1)
@@ -127,9 +140,11 @@ def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
 
     def slots(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ks, grams = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            own = [int(_slot([g], k, bits)[0]) for k, g in zip(ks, grams)]
-            ctx = [int(_slot([g[:-1]], k, bits)[0]) for k, g in zip(ks, grams)]
+            ks, points = batch.column(0).to_numpy(), _points(batch.column(2).to_pylist())
+            begins, own, ctx = np.cumsum(ks) - ks, np.zeros(len(ks), np.int64), np.zeros(len(ks), np.int64)
+            for k in range(1, ORDER + 1):
+                here = ks == k
+                own[here], ctx[here] = (_slots(points, begins[here], k, c, bits) for c in (0, 1))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, pa.int64()), pa.array(ctx, pa.int64()), batch.column(3)],
                                              ["k", "lang", "own", "ctx", "n"])
 
@@ -157,11 +172,23 @@ def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
         base = total[context_of]
         share = np.where(base > 0, np.maximum(count - discount, 0) / np.maximum(base, 1), 0.0)
         weight = np.where(total > 0, discount * kinds / np.maximum(total, 1), 1.0)
+        share, weight = np.vstack([share, np.zeros(size)]), np.vstack([weight, np.ones(size)])
         orders[order] = hashes, share.astype(np.float32), contexts, weight.astype(np.float32)
     alphabet = max(2, len(orders[1][0]))
     return KneserNey(languages, bits, orders, 1.0 / alphabet)
 
 
+_WORDS: dict[str, dict[str, bytes]] = {}
+
+
+def _remembered(model: str) -> dict[str, bytes]:
+    """Scores of words under a model, kept over the tasks of a Python worker; those of other models are forgotten."""
+    if model not in _WORDS:
+        _WORDS.clear()
+        _WORDS[model] = {}
+    return _WORDS[model]
+
+
 def cross_entropies(docs: DataFrame, model: KneserNey, id_col: str, text_col: str, *passed: Column) -> DataFrame:
     """``(id, n_letters, ce array<double>, ...)``: bits per character of whole texts under each language."""
     sc = docs.sparkSession.sparkContext
@@ -170,8 +197,8 @@ def cross_entropies(docs: DataFrame, model: KneserNey, id_col: str, text_col: st
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("body"), *extra)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, known = shared.value, {}
-        kinds = len(m.languages)
+        m = shared.value
+        kinds, known = len(m.languages), _remembered(m.name)
         for batch in batches:
             sizes, ces = [], []
             bodies = batch.column(1)
