@@ -173,7 +173,9 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                 cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return manifest.select("shard", "path", "start").repartition("shard").mapInArrow(
+    shards = manifest.select("shard", "path", "start")
+    # by number, so that few small rows are not put together: each stands for a whole file
+    return shards.repartitionByRange(max(1, manifest.count()), "shard").mapInArrow(
         run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
