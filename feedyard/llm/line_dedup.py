@@ -10,6 +10,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from feedyard.llm.common import chunks, id_text
+from feedyard.session import stable
 
 MIN_POINTS = 10
 WHITE = b"\t\n\x0b\x0c\r "
@@ -132,7 +133,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     found = _tagged(docs, id_col, text_col).mapInArrow(suspects, "id bigint, tag bigint, key binary, lines array<int>")
     least = found.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    repeated = least.filter("first < last").select("key", "first")
+    # a table of its own, so that the join below reads two plain exchanges and a frequent line can be split over tasks
+    repeated = stable(least.filter("first < last").select("key", "first"))
     lost = found.join(repeated, "key").filter("id > first")
     return lost.groupBy("id", "tag").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("lines")))).alias("lines"))
 
