@@ -20,12 +20,15 @@ def query(sql_text: str | None = None):
     return keep
 
 
-# raw paths in every form the functions tell apart
-_RAW = F.element_at(F.array(
-    F.concat(F.lit("  dbfs:/Volumes/a/"), "l_orderkey", F.lit("/ ")), F.concat(F.lit("S3A://b/"), "l_orderkey"),
-    F.concat(F.lit("/Volumes/a/"), "l_orderkey", F.lit("//")), F.concat(F.lit("f"), "l_orderkey", F.lit(".txt")),
-    F.concat(F.lit("tmp/"), "l_orderkey"), F.concat(F.lit("dbfs:/mnt/"), "l_orderkey"), F.concat(F.lit("/dbfs/mnt/"), "l_orderkey"),
-), F.pmod("l_partkey", F.lit(7)).cast("int") + 1)
+def _raw():
+    """Raw paths in every form the functions tell apart."""
+    return F.element_at(F.array(
+        F.concat(F.lit("  dbfs:/Volumes/a/"), "l_orderkey", F.lit("/ ")), F.concat(F.lit("S3A://b/"), "l_orderkey"),
+        F.concat(F.lit("/Volumes/a/"), "l_orderkey", F.lit("//")), F.concat(F.lit("f"), "l_orderkey", F.lit(".txt")),
+        F.concat(F.lit("tmp/"), "l_orderkey"), F.concat(F.lit("dbfs:/mnt/"), "l_orderkey"), F.concat(F.lit("/dbfs/mnt/"), "l_orderkey"),
+    ), F.pmod("l_partkey", F.lit(7)).cast("int") + 1)
+
+
 _RAW_SQL = """v_raw AS (SELECT *, CASE l_partkey % 7 WHEN 0 THEN '  dbfs:/Volumes/a/' || l_orderkey || '/ ' WHEN 1 THEN 'S3A://b/' || l_orderkey
   WHEN 2 THEN '/Volumes/a/' || l_orderkey || '//' WHEN 3 THEN 'f' || l_orderkey || '.txt' WHEN 4 THEN 'tmp/' || l_orderkey
   WHEN 5 THEN 'dbfs:/mnt/' || l_orderkey ELSE '/dbfs/mnt/' || l_orderkey END AS raw FROM lineitem)"""
@@ -37,7 +40,7 @@ SELECT raw, CASE WHEN l_partkey % 7 = 2 THEN 'dbfs:' || trim(raw) WHEN l_partkey
   rtrim(CASE WHEN l_partkey % 7 IN (0, 1, 5) THEN trim(raw) ELSE 'dbfs:' || trim(raw) END, '/') AS prefix
 FROM v_raw""", _RAW_SQL))
 def normalize_path(spark, sf_dir):
-    rows = v.table(spark, sf_dir, "lineitem").withColumn("raw", _RAW)
+    rows = v.table(spark, sf_dir, "lineitem").withColumn("raw", _raw())
     return rows.select("raw", paths.normalize_path(F.col("raw"), F.lit("s3://in")).alias("normalized"),
                        paths.fingerprint_path(F.col("raw")).alias("print_path"), paths.source_dir_prefix(F.col("raw")).alias("prefix"))
 
@@ -47,7 +50,7 @@ SELECT raw, CASE l_partkey % 7 WHEN 0 THEN substr(trim(raw), 6) WHEN 5 THEN '/db
   CASE l_partkey % 7 WHEN 2 THEN 'dbfs:' || raw WHEN 6 THEN 'dbfs:/mnt/' || l_orderkey ELSE trim(raw) END AS uri_form
 FROM v_raw""", _RAW_SQL))
 def path_forms(spark, sf_dir):
-    rows = v.table(spark, sf_dir, "lineitem").withColumn("raw", _RAW)
+    rows = v.table(spark, sf_dir, "lineitem").withColumn("raw", _raw())
     return rows.select("raw", paths.to_local_form(F.col("raw")).alias("local_form"), paths.to_uri_form(F.col("raw")).alias("uri_form"))
 
 
