@@ -1,21 +1,24 @@
-"""Language identification: interpolated Kneser-Ney character models in sorted hash arrays."""
+"""Language identification: interpolated Kneser-Ney character models, in sorted hash arrays or, when large, as tables."""
 from __future__ import annotations
 
 import re
 import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from feedyard.llm.common import chunks, id_text
+from feedyard.operators.skew import lookup_join
 from feedyard.session import stable, work_dir
 
 ORDER = 4
-# Entries of all hash arrays together are at most ORDER * 2 * SLOTS; with more languages each order has fewer slots.
-SLOTS = 1 << 22
+BITS = 64
+# Models of at most so many cells (n-grams and contexts x languages) are collected and broadcast, larger ones are joined.
+BROADCAST_CELLS = 1 << 22
 EDGE = "\x02"  # stands before a word, ORDER - 1 times, and once after it
 WORDS_KEPT = 500_000
 TEMPERATURES = (1.0, 2.0, 4.0, 8.0, 16.0, 32.0)
@@ -109,14 +112,18 @@ def _word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out()
 
 
+def _grams(word: Column) -> Column:
+    """The n-grams of ``ORDER`` that predict each character of a word and its end."""
+    padded = F.concat(F.lit(EDGE * (ORDER - 1)), word, F.lit(EDGE))
+    return F.transform(F.sequence(F.lit(1), F.length(word) + 1), lambda i: F.substr(padded, i, F.lit(ORDER)))
+
+
 def gather_counts(training: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``(k, lang, gram, n)`` over all training rows: counts of n-grams of ``ORDER``, below that numbers of distinct left characters."""
     rows = training.select(F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("body")).filter("lang is not null and body is not null")
     words = rows.mapInArrow(_word_counts, "lang string, word string, n bigint")
-    edge = EDGE * (ORDER - 1)
-    padded = F.concat(F.lit(edge), F.col("word"), F.lit(EDGE))
     # counted by words of the task first; a frequent word reaches the shuffle once per task
-    grams = words.select("lang", "n", F.explode(F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substr(padded, i, F.lit(ORDER)))).alias("gram"))
+    grams = words.select("lang", "n", F.explode(_grams(F.col("word"))).alias("gram"))
     level = stable(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     out = level.select(F.lit(ORDER).alias("k"), "lang", "gram", "n")
     for k in range(ORDER - 1, 0, -1):
@@ -125,57 +132,68 @@ def gather_counts(training: DataFrame, text_col: str = "text", lang_col: str = "
     return out
 
 
-def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang") -> KneserNey:
-    """Models from all ``training`` rows with text and language.
+class Shares(NamedTuple):
+    """The models as tables: ``grams`` (k, lang, gram, share), ``contexts`` (k, lang, context, weight); ``lang`` is a place in ``languages``.
 
-    Counts are gathered by Spark; each n-gram is then hashed to one of at most SLOTS slots, so what reaches the
-    driver is bounded whatever the corpus and its alphabets; n-grams that share a slot are one.
+    ``cells``: what dense arrays of all n-grams and contexts by language have at most.
     """
-    spark = training.sparkSession
+
+    languages: list[str]
+    grams: DataFrame
+    contexts: DataFrame
+    floor: float
+    cells: int
+
+
+def shares(training: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Shares:
+    """Models from all ``training`` rows with text and language, worked out in Spark from whole n-grams per language."""
     counts = stable(gather_counts(training, text_col, lang_col))
-    languages = sorted(r["lang"] for r in counts.filter("k = 1").select("lang").distinct().collect())
-    if len(languages) > 1024:
-        raise ValueError(f"{len(languages)} languages; at most 1024 fit the hash arrays")
-    bits = (SLOTS // max(1, len(languages))).bit_length() - 1
+    single = counts.filter("k = 1")
+    languages = sorted(r["lang"] for r in single.select("lang").distinct().collect())
+    names = F.array(*map(F.lit, languages)) if languages else F.expr("cast(array() as array<string>)")
+    counts = counts.select("k", (F.array_position(names, F.col("lang")) - 1).cast("int").alias("lang"), "gram", F.expr("substring(gram, 1, k - 1)").alias("context"), "n")
+    once, twice = (F.count(F.when(F.col("n") == c, 1)) for c in (1, 2))
+    discount = F.least(F.greatest(F.when(once + twice > 0, once / (once + 2 * twice)).otherwise(0.5), F.lit(0.1)), F.lit(0.9))
+    discounts = counts.groupBy("k", "lang").agg(discount.alias("discount"))  # a row per order and language
+    contexts = counts.groupBy("k", "lang", "context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")).join(F.broadcast(discounts), ["k", "lang"])
+    contexts = stable(contexts.withColumn("weight", F.col("discount") * F.col("kinds") / F.col("total")))
+    grams = stable(counts.join(contexts, ["k", "lang", "context"]).select("k", "lang", "gram", ((F.col("n") - F.col("discount")) / F.col("total")).alias("share")))
+    alphabet = max(2, single.select("gram").distinct().count())
+    cells = (grams.count() + contexts.count()) * len(languages)
+    return Shares(languages, grams, contexts.select("k", "lang", "context", "weight"), 1.0 / alphabet, cells)
+
+
+def in_memory(tables: Shares) -> KneserNey:
+    """The models as arrays under 64-bit hashes, for tables that are known to be small."""
+
+    def collected(rows: DataFrame, kind: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ks, points = batch.column(0).to_numpy(), _points(batch.column(2).to_pylist())
+                begins, own = np.cumsum(ks - kind) - (ks - kind), np.zeros(len(ks), np.uint64)
+                for k in range(1, ORDER + 1):
+                    own[ks == k] = _slots(points, begins[ks == k], k, kind, BITS)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own.view(np.int64)), batch.column(3)], ["k", "lang", "hash", "value"])
+
+        table = rows.mapInArrow(hashed, "k int, lang int, hash bigint, value double").toArrow()
+        k, lang, own, value = (table[c].to_numpy() for c in ("k", "lang", "hash", "value"))
+        out = {}
+        for order in range(1, ORDER + 1):
+            here = k == order
+            hashes, at = np.unique(own[here].view(np.uint64), return_inverse=True)
+            # the row behind the last is for what is not found; languages that lack an n-gram or a context have the same there
+            dense = np.full((len(hashes) + 1, len(tables.languages)), float(kind), np.float32)
+            dense[at, lang[here]] = value[here]
+            out[order] = hashes, dense
+        return out
+
+    own, contexts = collected(tables.grams, 0), collected(tables.contexts, 1)
+    return KneserNey(tables.languages, BITS, {k: (*own[k], *contexts[k]) for k in own}, tables.floor)
 
-    def slots(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ks, points = batch.column(0).to_numpy(), _points(batch.column(2).to_pylist())
-            begins, own, ctx = np.cumsum(ks) - ks, np.zeros(len(ks), np.int64), np.zeros(len(ks), np.int64)
-            for k in range(1, ORDER + 1):
-                here = ks == k
-                own[here], ctx[here] = (_slots(points, begins[here], k, c, bits) for c in (0, 1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, pa.int64()), pa.array(ctx, pa.int64()), batch.column(3)],
-                                             ["k", "lang", "own", "ctx", "n"])
-
-    hashed = counts.mapInArrow(slots, "k int, lang string, own bigint, ctx bigint, n bigint").groupBy("k", "lang", "own", "ctx").agg(F.sum("n").alias("n"))
-    table = hashed.toArrow()  # at most languages * ORDER * slots rows
-    k, n = (table[c].to_numpy() for c in ("k", "n"))
-    lang = np.searchsorted(languages, table["lang"].to_numpy(zero_copy_only=False).astype(str))
-    own, ctx = (table[c].to_numpy().astype(np.uint64) for c in ("own", "ctx"))
-    size, orders = len(languages), {}
-    for order in range(1, ORDER + 1):
-        here = k == order
-        hashes, at = np.unique(own[here], return_inverse=True)
-        contexts, cat = np.unique(ctx[here], return_inverse=True)
-        count = np.zeros((len(hashes), size))
-        total, kinds = np.zeros((len(contexts), size)), np.zeros((len(contexts), size))
-        of = lang[here]
-        np.add.at(count, (at, of), n[here])
-        np.add.at(total, (cat, of), n[here])
-        np.add.at(kinds, (cat, of), 1)
-        once, twice = ((count == c).sum(0) for c in (1, 2))
-        discount = np.where(once + twice > 0, once / np.maximum(1, once + 2 * twice), 0.5)
-        discount = np.clip(discount, 0.1, 0.9)
-        context_of = np.zeros(len(hashes), np.int64)
-        context_of[at] = cat
-        base = total[context_of]
-        share = np.where(base > 0, np.maximum(count - discount, 0) / np.maximum(base, 1), 0.0)
-        weight = np.where(total > 0, discount * kinds / np.maximum(total, 1), 1.0)
-        share, weight = np.vstack([share, np.zeros(size)]), np.vstack([weight, np.ones(size)])
-        orders[order] = hashes, share.astype(np.float32), contexts, weight.astype(np.float32)
-    alphabet = max(2, len(orders[1][0]))
-    return KneserNey(languages, bits, orders, 1.0 / alphabet)
+
+def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang") -> KneserNey:
+    """Models in memory from all ``training`` rows with text and language."""
+    return in_memory(shares(training, text_col, lang_col))
 
 
 _WORDS: dict[str, dict[str, bytes]] = {}
@@ -189,12 +207,16 @@ def _remembered(model: str) -> dict[str, bytes]:
     return _WORDS[model]
 
 
+def _working(docs: DataFrame, id_col: str, text_col: str, passed: tuple[Column, ...]) -> DataFrame:
+    extra = [c.alias(f"x{i}") for i, c in enumerate(passed)]
+    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("body"), *extra)
+
+
 def cross_entropies(docs: DataFrame, model: KneserNey, id_col: str, text_col: str, *passed: Column) -> DataFrame:
     """``(id, n_letters, ce array<double>, ...)``: bits per character of whole texts under each language."""
     sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast(model)  # bounded by SLOTS
-    extra = [c.alias(f"x{i}") for i, c in enumerate(passed)]
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("body"), *extra)
+    shared = sc.broadcast(model)  # bounded by BROADCAST_CELLS
+    rows = _working(docs, id_col, text_col, passed)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -222,7 +244,61 @@ def cross_entropies(docs: DataFrame, model: KneserNey, id_col: str, text_col: st
     return rows.mapInArrow(run, f"id bigint, n_letters bigint, ce array<double>{kinds}")
 
 
-def identify(docs: DataFrame, in_training: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def _word_logs(words: DataFrame, tables: Shares) -> DataFrame:
+    """``words`` (word, rows) with ``logs``: sum of log2 p over each word's characters and its end, by language."""
+    places = range(len(tables.languages))
+
+    def dense(rows: DataFrame, key: str, value: str) -> DataFrame:
+        return rows.groupBy(key).agg(F.array(*[F.max(F.when(F.col("lang") == i, F.col(value))) for i in places]).alias(value))
+
+    grams = stable(words.select("word", F.explode(_grams(F.col("word"))).alias("gram")).groupBy("word", "gram").agg(F.count(F.lit(1)).alias("times")))
+    needed = {ORDER: stable(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("rows")))}
+    for k in range(ORDER - 1, 0, -1):
+        needed[k] = needed[k + 1].select(F.expr("substring(gram, 2)").alias("gram")).distinct()
+    below = None
+    for k in range(1, ORDER + 1):  # every join key has at most as many rows as there are characters
+        here = needed[k].withColumns({"context": F.substr("gram", F.lit(1), F.lit(k - 1)), "shorter": F.expr("substring(gram, 2)")})
+        here = here.join(dense(tables.grams.filter(F.col("k") == k), "gram", "share"), "gram", "left")
+        here = here.join(dense(tables.contexts.filter(F.col("k") == k), "context", "weight"), "context", "left")
+        here = here.withColumn("below", F.array(*[F.lit(tables.floor)] * len(places))) if below is None else here.join(
+            below.select(F.col("gram").alias("shorter"), F.col("p").alias("below")), "shorter")
+        p = [F.coalesce(F.get("share", F.lit(i)), F.lit(0.0)) + F.coalesce(F.get("weight", F.lit(i)), F.lit(1.0)) * F.get("below", F.lit(i)) for i in places]
+        below = stable(here.select("gram", F.array(*p).alias("p"), *["rows"] * (k == ORDER)))
+    scored = lookup_join(grams, below, ["gram"], "rows").groupBy("word").agg(
+        F.array(*[F.sum(F.col("times") * F.log2(F.get("p", F.lit(i)))) for i in places]).alias("logs"))
+    return stable(words.join(scored, "word"))
+
+
+def cross_entropies_by_join(docs: DataFrame, tables: Shares, id_col: str, text_col: str, *passed: Column) -> DataFrame:
+    """As ``cross_entropies``, for models of any size: distinct words are scored by joins and joined to the texts that hold them."""
+    rows = _working(docs, id_col, text_col, passed)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for a in range(0, batch.num_rows, 500):
+                part = batch.slice(a, 500)
+                texts = [words_of(b.decode()) for b in part.column(1).to_pylist()]
+                counts = [Counter(words) for words in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(range(row, row + len(texts)), pa.int64()), part.column(0), pa.array([sum(map(len, w)) for w in texts], pa.int64()), pa.array(map(len, texts), pa.int64()),
+                     pa.array([list(c) for c in counts], pa.list_(pa.string())), pa.array([list(c.values()) for c in counts], pa.list_(pa.int64())), *[part.column(k) for k in range(2, part.num_columns)]],
+                    ["row", "id", "n_letters", "n_words", "words", "times", *[f"x{i}" for i in range(part.num_columns - 2)]])
+                row += len(texts)
+
+    extra = rows.dtypes[2:]
+    held = stable(rows.mapInArrow(run, "row bigint, id bigint, n_letters bigint, n_words bigint, words array<string>, times array<bigint>" + "".join(f", {c} {t}" for c, t in extra)))
+    facts = held.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
+    words = stable(facts.groupBy("word").agg(F.count(F.lit(1)).alias("rows")))
+    places = range(len(tables.languages))
+    totals = lookup_join(facts, _word_logs(words, tables), ["word"], "rows").groupBy("row").agg(
+        F.array(*[F.sum(F.col("times") * F.get("logs", F.lit(i))) for i in places]).alias("totals"))
+    ce = [-F.coalesce(F.get("totals", F.lit(i)), F.lit(0.0)) / F.greatest(F.lit(1), F.col("n_letters") + F.col("n_words")) for i in places]
+    return held.join(totals, "row", "left").select("id", "n_letters", F.array(*ce).alias("ce"), *[c for c, _ in extra])
+
+
+def identify(docs: DataFrame, in_training: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+             broadcast_cells: int = BROADCAST_CELLS) -> DataFrame:
     """``(doc_id, lang_pred, score, rejected)`` of every row.
 
     Models, temperature and rejection limits are learned from all rows of ``docs`` where ``in_training`` holds and text and
@@ -230,12 +306,13 @@ def identify(docs: DataFrame, in_training: Column, id_col: str = "doc_id", text_
     ``score`` is its share in the softmax of the negative cross-entropies, at the temperature that fits all training rows
     best. ``rejected`` marks texts whose cross-entropy is above nearly all training texts of the predicted language.
     NULL texts and texts without letters, and any text if nothing could be learned, are ``und`` with score 0 and rejected.
-    Repeated and NULL ids are rows like any other.
+    Repeated and NULL ids are rows like any other. Models of more than ``broadcast_cells`` cells stay tables and are joined.
     """
     spark = docs.sparkSession
-    model = fit(docs.filter(in_training), text_col, lang_col)
-    names = F.array(*map(F.lit, model.languages)) if model.languages else F.expr("cast(array() as array<string>)")
-    rows = cross_entropies(docs, model, id_col, text_col, F.coalesce(in_training, F.lit(False)), F.col(lang_col).cast("string"))
+    tables = shares(docs.filter(in_training), text_col, lang_col)
+    names = F.array(*map(F.lit, tables.languages)) if tables.languages else F.expr("cast(array() as array<string>)")
+    score, model = (cross_entropies, in_memory(tables)) if tables.cells <= broadcast_cells else (cross_entropies_by_join, tables)
+    rows = score(docs, model, id_col, text_col, F.coalesce(in_training, F.lit(False)), F.col(lang_col).cast("string"))
     best = F.array_min("ce")
     rows = rows.withColumns({"best": best, "at": F.array_position("ce", best)})
     rows.select("id", "n_letters", "ce", "best", "x0", "x1", F.when((F.col("n_letters") > 0) & (F.size("ce") > 0), F.try_element_at(names, F.col("at").cast("int"))).alias("pred")

@@ -49,6 +49,54 @@ def test_kneser_ney_sums_to_one(frame):
     assert np.allclose(model.log_probabilities(["ab", "bb", "a"]), alone) and (np.array(alone) < 0).all()
 
 
+def kneser_ney_truth(rows, word):
+    """log2 p of a word and its end under each language, from dictionaries of whole n-grams."""
+    e, out, seen = language.EDGE, [], {}
+    for lang, text in rows:
+        for w in language.words_of(text):
+            padded = e * 3 + w + e
+            for i in range(len(w) + 1):
+                seen.setdefault(lang, Counter())[padded[i:i + 4]] += 1
+    floor = 1 / len({g[-1] for c in seen.values() for g in c})
+    for lang in sorted(seen):
+        levels = {4: seen[lang]}
+        for k in (3, 2, 1):
+            levels[k] = Counter(g[1:] for g in levels[k + 1])
+        total, padded = 0.0, e * 3 + word + e
+        for i in range(len(word) + 1):
+            p = floor
+            for k in range(1, 5):
+                n, gram = levels[k], padded[i + 4 - k:i + 4]
+                once, twice = (sum(v == c for v in n.values()) for c in (1, 2))
+                d = min(0.9, max(0.1, once / (once + 2 * twice) if once + twice else 0.5))
+                inside = [v for g, v in n.items() if g[:-1] == gram[:-1]]
+                if inside:
+                    p = max(n[gram] - d, 0) / sum(inside) * (gram in n) + d * len(inside) / sum(inside) * p
+            total += np.log2(p)
+        out.append(total)
+    return out
+
+
+def test_language_models_merge_no_ngrams(spark, frame):
+    r = random.Random(5)
+    langs = [f"l{k:02}" for k in range(60)]  # 2^16 slots per order, were they shared out by language
+    spoken = [(lang, " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(30))) for lang in langs]
+    model = language.fit(frame([(k, t) for k, (_, t) in enumerate(spoken)], langs))
+    assert all((share <= 1).all() for _, share, _, _ in model.orders.values())
+    words = ["unseen", "q", *spoken[0][1].split()[:3]]
+    for word, got in zip(words, model.log_probabilities(words)):
+        assert np.allclose(got, kneser_ney_truth(spoken, word), rtol=1e-4)
+
+
+def test_language_by_join_equals_arrays(spark, frame):
+    rows = [(k, "the quick brown fox jumps") for k in range(8)] + [(20 + k, "der schnelle braune fuchs springt") for k in range(8)]
+    odd = [(50, None), (51, ""), (52, "123"), (None, "the fox"), (53, "der fuchs"), (53, "der fuchs"), (54, "the brown fox zzz " * 500)]
+    docs = frame(rows + odd, ["en"] * 8 + ["de"] * 8 + [None] * len(odd))
+    arrays, joined = (sorted(map(tuple, language.identify(docs, F.col("doc_id") < 50, broadcast_cells=cells).collect()), key=repr) for cells in (1 << 22, 0))
+    assert [x[:2] + x[3:] for x in arrays] == [x[:2] + x[3:] for x in joined]
+    assert np.allclose([x[2] for x in arrays], [x[2] for x in joined], atol=1e-5)
+
+
 def toxic_text(r, toxic):
     words = ["".join(r.choice("aeioulnrst") for _ in range(r.randint(2, 8))) for _ in range(r.randint(5, 120))]
     if toxic:
