@@ -234,6 +234,18 @@ def test_shards_are_even_and_keep_groups_together(frame):
     assert sharding.assign_shards(frame([])).count() == 0
 
 
+def test_a_text_is_in_one_shard_if_it_fits(frame):
+    texts = ["hot"] * 330 + [f"half {k}" for k in range(3) for _ in range(60)] + [f"three {k}" for k in range(60) for _ in range(3)] + [f"one {k}" for k in range(310)]
+    random.Random(2).shuffle(texts)
+    got = sharding.assign_shards(frame(list(enumerate(texts))), shards=10).collect()
+    sizes, where = Counter(x["shard"] for x in got), {}
+    assert set(sizes.values()) == {100}
+    for x in got:
+        where.setdefault(texts[x["doc_id"]], set()).add(x["shard"])
+    assert len(where.pop("hot")) == 4  # 330 rows over shards of 100
+    assert {len(s) for s in where.values()} == {1}
+
+
 def test_pipeline_equals_its_stages(spark):
     import corpus_pipeline as p
 
