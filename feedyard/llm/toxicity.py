@@ -204,12 +204,13 @@ def _log_odds(bags: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarr
     return np.clip(odds * support / (support + 4), -3, 6).astype(np.float32)
 
 
-def train(texts: list[str], labels: list[int], seed: int = SEED) -> Network | None:
-    """Fit a network on labelled texts; None if one label is missing.
+def train(texts: list[str], labels: list[int], seed: int = SEED, weights: tuple[float, float] = (1.0, 1.0)) -> Network | None:
+    """Fit a network on labelled texts; None if one label is missing. ``weights``: how many rows a text of label 0 and of label 1 stands for.
 
     Half of the texts give the embeddings their first dimension, the log-odds of words and n-grams. The other half train
     the recurrent part: a toxic text is taught by its highest window so far, a clean one by its two highest and by
-    one at random; windows are chosen anew every round. The first half then calibrates the highest logit of a text.
+    one at random; windows are chosen anew every round. The first half then calibrates the highest logit of a text,
+    by ``weights``, so the score is at the shares of all rows.
     """
     y = np.array(labels, np.float32)
     if len(set(labels)) < 2:
@@ -260,7 +261,7 @@ def train(texts: list[str], labels: list[int], seed: int = SEED) -> Network | No
                     value -= (RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
     held = [k for k in first if len(docs[k])]
     top = np.array([s.max() for s in _score_cuts(net, embedded, [cuts[k] for k in held])])
-    net.scale, net.shift = _calibrate(top, y[held])
+    net.scale, net.shift = _calibrate(top, y[held], np.where(y[held] > 0, weights[1], weights[0]))
     return net
 
 
@@ -272,13 +273,14 @@ def _score_cuts(net: Network, embedded: np.ndarray, cuts: list[tuple[np.ndarray,
     return np.split(logits, np.cumsum(sizes)[:-1])
 
 
-def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic fit of the label to the highest logit, by Newton's method with a weak prior."""
+def _calibrate(x: np.ndarray, y: np.ndarray, rows: np.ndarray | None = None) -> tuple[float, float]:
+    """Logistic fit of the label to the highest logit, by Newton's method with a weak prior; ``rows``: how many rows each stands for."""
+    share = np.ones(len(x)) if rows is None else rows * (len(rows) / rows.sum())
     middle, spread = x.mean(), x.std() + 1e-6
     z, w = np.stack([(x - middle) / spread, np.ones(len(x))], 1), np.zeros(2)
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        w -= np.clip(np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + 0.5 * np.eye(2), z.T @ (p - y) + np.array([0.5, 0]) * w), -1, 1)
+        w -= np.clip(np.linalg.solve((z * (share * p * (1 - p))[:, None]).T @ z + 0.5 * np.eye(2), z.T @ (share * (p - y)) + np.array([0.5, 0]) * w), -1, 1)
     scale = max(float(w[0] / spread), 1e-3)
     return scale, float(w[1] - w[0] * middle / spread)
 
@@ -287,6 +289,7 @@ def fit(docs: DataFrame, labels: DataFrame, in_training: Column, id_col: str = "
         rows: int = SAMPLE_ROWS, max_bytes: int = SAMPLE_BYTES) -> Network | None:
     """Train on a bounded sample: at most ``rows`` rows per label, in an order by hash of the id, of texts of at most ``max_bytes``.
 
+    Both labels are counted over all training rows, and the score is calibrated at their true shares.
     ``in_training`` is a condition on the column ``doc_id`` of the labels. Of several labels of one id the highest counts.
     """
     marks = labels.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter(
@@ -296,7 +299,9 @@ def fit(docs: DataFrame, labels: DataFrame, in_training: Column, id_col: str = "
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), body.alias("body")).filter(F.octet_length("body") <= max_bytes)
     sample = texts.join(F.broadcast(chosen[0].union(chosen[1])), "doc_id").groupBy("doc_id").agg(F.min("body").alias("body"), F.max("label").alias("label"))
     found = sorted(sample.toLocalIterator(), key=lambda r: r["doc_id"])
-    return train([r["body"] for r in found], [r["label"] for r in found])
+    there = {r["label"]: r["count"] for r in marks.groupBy("label").count().collect()}
+    weights = tuple(max(1.0, there.get(k, 0) / rows) for k in (0, 1))
+    return train([r["body"] for r in found], [r["label"] for r in found], weights=weights)
 
 
 class _Scorer:

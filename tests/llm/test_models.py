@@ -141,6 +141,22 @@ def test_toxicity_learns(spark, frame):
     assert {x["predicted"] for x in toxicity.rate_toxicity(frame(rows[:5]), none, F.lit(True)).collect()} == {0}
 
 
+def test_toxicity_is_calibrated_at_the_true_shares(spark, frame, monkeypatch):
+    rng = np.random.default_rng(1)
+    clean, toxic = rng.standard_normal(9000), rng.standard_normal(1000) + 1.5
+    def fitted(some, *rows):
+        return toxicity._calibrate(np.concatenate([some, toxic]), np.repeat([0.0, 1.0], [len(some), 1000]), *rows)
+    scale, shift = fitted(clean)
+    assert np.allclose(fitted(clean[:1000], np.repeat([9.0, 1.0], 1000)), (scale, shift), atol=0.2)
+    assert fitted(clean[:1000])[1] > shift + 1.5  # what an even sample gives without its weights
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels, **more: seen.append((labels.count(0), labels.count(1), more["weights"])))
+    labels = spark.createDataFrame([(k, int(k < 5)) for k in range(35)], "doc_id bigint, toxic int")
+    for rows in (5, 100):
+        toxicity.fit(frame([(k, f"text {k}") for k in range(35)]), labels, F.lit(True), rows=rows)
+    assert seen == [(5, 5, (6.0, 1.0)), (30, 5, (1.0, 1.0))]
+
+
 def test_windows_cover_the_text():
     for n in (1, 31, 32, 33, 48, 49, 500):
         starts = toxicity.windows(n)
