@@ -29,7 +29,12 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("c_custkey", chunk.alias("chunk"), line.alias("line"), header.alias("header"))
 
 
-def write(rows: DataFrame, folder: str, zipped: bool = False) -> None:
+# Of three files one begins as usual, one with an underscore and one with a dot.
+PREFIXES = ("", "_", ".")
+ANY_REGEX = FEED_REGEX.replace("^", "^[_.]?")
+
+
+def write(rows: DataFrame, folder: str, zipped: bool = False, prefixed: bool = False) -> None:
     """One file per chunk; each is written by one task and holds at most fifty lines."""
     def put(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("c_custkey")
@@ -43,13 +48,13 @@ def write(rows: DataFrame, folder: str, zipped: bool = False) -> None:
             data, name = buffer.getvalue(), f"customers_{chunk}.zip"
         else:
             data, name = text.encode(), f"customers_{chunk}.txt"
-        write_bytes(f"{folder}/{name}", data)
+        write_bytes(f"{folder}/{PREFIXES[chunk // 3 % 3] if prefixed else ''}{name}", data)
         return pd.DataFrame({"n": [len(data)]})
 
     rows.groupBy("chunk").applyInPandas(put, "n bigint").agg(F.sum("n")).collect()
 
 
-def dropped(spark: SparkSession, sf_dir: str, zipped: bool = False) -> str:
+def dropped(spark: SparkSession, sf_dir: str, zipped: bool = False, prefixed: bool = False) -> str:
     folder = work_dir(spark, "drop")
-    write(customers(spark, sf_dir), folder, zipped)
+    write(customers(spark, sf_dir), folder, zipped, prefixed)
     return folder

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 from feedyard.checks import dropzone, views as v
 from feedyard.functions.fingerprints import enrich_listing
 from feedyard.functions.paths import base_name
-from feedyard.operators import bronze, config_sync, drift, logs, waterfall
+from feedyard.functions.requests import parse_request
+from feedyard.operators import bronze, config_sync, drift, logs, selectors, waterfall
 from feedyard.plans import ingest as plan
 from feedyard.session import stable, work_dir
-from feedyard.sources import archives, configs, delimited
+from feedyard.sources import archives, configs, delimited, listing
 from feedyard.sources.listing import list_files as list_dir
 
 QUERIES, ORACLES = {}, {}
@@ -40,6 +41,15 @@ def list_files(spark, sf_dir):
     return list_dir(spark, dropzone.dropped(spark, sf_dir)).select("file_name", "size")
 
 
+_ANY = "['', '_', '.'][chunk // 3 % 3 + 1] || 'customers_' || chunk || '.txt'"
+
+
+@query(v.sql("", f"SELECT {_ANY} AS file_name, (sum(length(line) + 1) + max(length(header)) + 1)::BIGINT AS size FROM v_cust GROUP BY 1", _CUST))
+def list_all_names(spark, sf_dir):
+    """Names that begin with an underscore or a dot are deliveries like any other."""
+    return list_dir(spark, dropzone.dropped(spark, sf_dir, prefixed=True)).select("file_name", "size")
+
+
 @query(v.sql("", "SELECT DISTINCT 'customers_' || chunk || '.txt' AS file_name, header AS first_line, replace(replace(header, '|', ','), ' ', '') AS column_list FROM v_cust", _CUST))
 def read_headers(spark, sf_dir):
     heads = delimited.read_headers(list_dir(spark, dropzone.dropped(spark, sf_dir)), "|")
@@ -113,6 +123,19 @@ def ingest_batch(spark, sf_dir):
     return rows.select("custkey", "name", "nation", "segment", F.col("`d.e`").alias("de"), "src_file_name")
 
 
+@query(v.sql("", _ROWS.replace("'customers_' || chunk || '.txt'", _ANY), _CUST))
+def ingest_all_names(spark, sf_dir):
+    """Files of every name are asked for by path, found in the listing, and loaded."""
+    folder = dropzone.dropped(spark, sf_dir, prefixed=True)
+    listed = enrich_listing(list_dir(spark, folder)).withColumn("feed_key", F.lit("customers"))
+    asked = listed.groupBy("feed_key", F.concat(F.lit("req_"), F.crc32(F.col("file_name").cast("binary")) % 4).alias("request_id")).agg(
+        F.to_json(F.struct(F.lit("ADHOC").alias("request_type"), F.collect_list("file_name").alias("file_paths"))).alias("request_json"))
+    paths = selectors.select_explicit(parse_request(asked).withColumn("source_dir", F.lit(listing.qualified(spark, folder))))
+    refs = paths.join(listed, ["feed_key", "file_path"]).select("file_path", "file_name", "file_fingerprint")
+    rows = plan.read_batch(spark, plan.Feed("customers", dropzone.ANY_REGEX, dropzone.FEED_SPEC), refs, "batch_001", "req_1", "run_1", v.NOW).rows
+    return rows.select("custkey", "name", "nation", "segment", F.col("`d.e`").alias("de"), "src_file_name")
+
+
 @query(v.sql("", _ROWS.replace(".txt", ".zip"), _CUST))
 def ingest_zip(spark, sf_dir):
     rows = _ingest(spark, sf_dir, zipped=True).rows

@@ -15,6 +15,7 @@ from feedyard.functions.text import blank_to_null, col_q
 from feedyard.operators import bronze, drift, logs
 from feedyard.session import stable
 from feedyard.sources import archives, delimited
+from feedyard.sources.listing import is_hidden
 
 
 class LoadFailed(RuntimeError):
@@ -66,12 +67,18 @@ def _groups(heads: DataFrame, keys: list[str]) -> list:
 
 
 def _plain_rows(spark: SparkSession, heads: DataFrame, feed: Feed) -> list[DataFrame]:
+    """One scan per header; files with names that Spark's sources leave out are read by tasks that open them."""
     keys = ["columns"] if feed.has_header else ["width"]
-    return [
-        delimited.scan_delimited(spark, list(g["paths"]), feed.delimiter, feed.has_header,
-                                 list(g["columns"]) if feed.has_header else None, None if feed.has_header else g["width"])
-        for g in _groups(heads, keys)
-    ]
+    hidden = heads.filter(is_hidden(base_name(F.col("file_path"))))
+    parts = []
+    for g in _groups(heads.filter(~is_hidden(base_name(F.col("file_path")))), keys):
+        parts.append(delimited.scan_delimited(spark, list(g["paths"]), feed.delimiter, feed.has_header,
+                                              list(g["columns"]) if feed.has_header else None, None if feed.has_header else g["width"]))
+    for g in hidden.select(*keys).distinct().collect():
+        columns, width = (list(g["columns"]), None) if feed.has_header else (None, g["width"])
+        same = F.col("columns") == F.array(*map(F.lit, columns)).cast("array<string>") if feed.has_header else F.col("width") == width
+        parts.append(delimited.scan_hidden(hidden.filter(same), feed.delimiter, feed.has_header, columns, width))
+    return parts
 
 
 def _zip_rows(spark: SparkSession, zipped: DataFrame, members: DataFrame, feed: Feed) -> list[DataFrame]:

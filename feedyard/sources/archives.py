@@ -8,11 +8,9 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from feedyard.sources.delimited import HEAD_BYTES, first_line
+from feedyard.sources.delimited import BATCH_LINES, read_first_line
 from feedyard.sources.remote import open_input
 
-BATCH_LINES = 10_000
-
 
 def is_text_member(name: str) -> bool:
     return not name.endswith("/") and name.lower().endswith(".txt")
@@ -33,7 +31,7 @@ def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _head(z: zipfile.ZipFile, member: str) -> str:
     with z.open(member) as raw:
-        return first_line(raw.read(HEAD_BYTES))
+        return read_first_line(raw)
 
 
 def _lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

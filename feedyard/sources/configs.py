@@ -5,15 +5,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feedyard.functions.paths import base_name
 from feedyard.sources.delimited import read_headers
-from feedyard.sources.listing import list_files, plain_path
+from feedyard.sources.listing import is_hidden, list_files, plain_path
 
 
 def scan_config(spark: SparkSession, directory: str) -> DataFrame:
     """Raw rows of all ``*.csv`` files of a folder by column name, with their file, its time and row order.
 
-    Files may differ in columns: those of one header are read together and united by name.
+    Names that begin with ``_`` or ``.`` are drafts, not configuration. Files may differ in columns: those of one header are read together and united by name.
     """
-    files = list_files(spark, directory).filter(F.lower("file_name").endswith(".csv"))
+    files = list_files(spark, directory).filter(F.lower("file_name").endswith(".csv") & ~is_hidden(F.col("file_name")))
     heads = read_headers(files, ",").filter(F.col("error").isNull() & (F.size("columns") > 0))
     # one entry per distinct header, with the files that have it
     groups = heads.groupBy("first_line").agg(F.collect_list("file_path").alias("paths")).collect()

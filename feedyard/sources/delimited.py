@@ -1,9 +1,11 @@
 """Delimited text: headers, rows and line numbers."""
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from feedyard.functions.text import col_q, strip
@@ -12,6 +14,11 @@ from feedyard.sources.listing import plain_path
 from feedyard.sources.remote import open_input
 
 HEAD_BYTES = 1024 * 1024
+# A first line may be longer than one read, but not without end: a file whose line exceeds this fails by itself.
+HEAD_LIMIT = 64 * HEAD_BYTES
+BLOCK_BYTES = 64 << 20
+READ_BYTES = 1 << 20
+BATCH_LINES = 10_000
 META = ("_file_path", "_block_start", "_row_id")
 
 
@@ -20,14 +27,25 @@ def first_line(data: bytes) -> str:
     return lines[0] if lines else ""
 
 
+def read_first_line(source) -> str:
+    """The first line of an open binary file, read on to its end."""
+    data = b""
+    while len(data) <= HEAD_LIMIT:
+        piece = source.read(HEAD_BYTES)
+        data += piece
+        if not piece or b"\n" in piece or b"\r" in piece:
+            return first_line(data)
+    raise ValueError(f"no line end within the first {HEAD_LIMIT} bytes")
+
+
 def _heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
         for path in pdf["file_path"]:
             try:
                 with open_input(path) as f:
-                    rows.append((path, first_line(f.read(HEAD_BYTES)), None))
-            except OSError as exc:
+                    rows.append((path, read_first_line(f), None))
+            except (OSError, ValueError) as exc:  # Arrow reports an unknown scheme as a ValueError
                 rows.append((path, None, f"{type(exc).__name__}: {exc}"))
         yield pd.DataFrame(rows, columns=["file_path", "first_line", "error"])
 
@@ -39,10 +57,10 @@ def split_header(line, sep: str):
 
 
 def read_headers(files: DataFrame, sep: str, has_header: bool = True) -> DataFrame:
-    """First line and column names of each file, from its first megabyte only.
+    """First line and column names of each file, read up to the end of that line only.
 
     Small reads spread over tasks, so headers never cost a scan of the data. A file that cannot be
-    opened keeps its row, with the error.
+    opened, or whose first line does not end, keeps its row, with the error.
     """
     heads = files.select("file_path").mapInPandas(_heads, "file_path string, first_line string, error string")
     names = split_header(F.col("first_line"), sep) if has_header else F.array().cast("array<string>")
@@ -77,6 +95,79 @@ def scan_delimited(spark: SparkSession, paths: list[str], sep: str, has_header:
     )
 
 
+_LINE_END = re.compile(rb"\r\n|\n|\r")
+
+
+def block_lines(source, start: int, end: int) -> Iterator[bytes]:
+    """Lines of an open binary file that begin in ``[start, end)``, without their ends; each line belongs to one block."""
+    source.seek(max(0, start - 1))
+    at, data, skipping, final = max(0, start - 1), b"", start > 0, False
+    while True:
+        begin = 0
+        for m in _LINE_END.finditer(data):
+            if m.end() == len(data) and m.group() == b"\r" and not final:
+                break  # its line feed may be in the next read
+            if not skipping:
+                if at + begin >= end:
+                    return
+                yield data[begin:m.start()]
+            skipping, begin = False, m.end()
+        at, data = at + begin, data[begin:]
+        if final:
+            break
+        piece = source.read(READ_BYTES)
+        final = not piece
+        data += piece
+    if data and not skipping and at < end:
+        yield data
+
+
+def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        rows = []
+        for path in pdf["file_path"]:
+            with open_input(path) as f:
+                rows += [(path, start) for start in range(0, max(1, f.size()), BLOCK_BYTES)]
+        yield pd.DataFrame(rows, columns=["file_path", "start"])
+
+
+def _block_rows(has_header: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array([path] * len(held)), pa.array([start] * len(held), pa.int64()), pa.array(range(number - len(held), number), pa.int64()),
+                                               pa.array([x.decode("utf-8", "replace") for x in held], pa.string())], ["file_path", "start", "row", "line"])
+
+        for batch in batches:
+            for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                held, number = [], 0
+                with open_input(path) as f:
+                    for k, line in enumerate(block_lines(f, start, start + BLOCK_BYTES)):
+                        if (has_header and start == 0 and k == 0) or not line.strip():
+                            continue
+                        held.append(line)
+                        number += 1
+                        if len(held) == BATCH_LINES:
+                            yield out()
+                            held = []
+                if held:
+                    yield out()
+    return run
+
+
+def scan_hidden(files: DataFrame, sep: str, has_header: bool, columns: list[str] | None = None, width: int | None = None) -> DataFrame:
+    """``scan_delimited`` of ``files`` (file_path) that Spark's own sources leave out because of their names.
+
+    Blocks of a file are read by tasks of their own and parsed by the same CSV parser; the columns are those of ``scan_delimited``.
+    """
+    names = final_names(columns) if columns else [f"_c{i}" for i in range(width or 1)]
+    blocks = files.select("file_path").mapInPandas(_blocks, "file_path string, start bigint")
+    lines = blocks.repartition("file_path", "start").mapInArrow(_block_rows(has_header), "file_path string, start bigint, row bigint, line string")
+    cells = F.from_csv("line", F.lit(", ".join(f"c{i} string" for i in range(len(names)))), {"sep": sep})
+    return lines.withColumn("_v", cells).select(
+        *[F.col(f"_v.c{i}").alias(n) for i, n in enumerate(names) if n is not None],
+        F.col("file_path").alias("_file_path"), F.col("start").alias("_block_start"), F.col("row").alias("_row_id"))
+
+
 def number_lines(rows: DataFrame, has_header: bool, name: str = "src_row_number") -> DataFrame:
     """Add the 1-based line number within the source file; a header counts as line one.
 

@@ -12,25 +12,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedyard.functions.fingerprints import enrich_listing
-from feedyard.functions.paths import base_name
 from feedyard.operators import bronze
 from feedyard.operators.upsert import src, upsert
 from feedyard.operators.waterfall import latest_by_identity
 from feedyard.plans.ingest import Feed, LoadFailed, read_batch
+from feedyard.sources.listing import stream_files
 
-BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 WINDOW = "48 hours"
 
 
-def arriving_files(spark: SparkSession, directory: str, per_batch: int | None = None) -> DataFrame:
-    """New files of a folder as listing rows; contents are not read."""
-    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE)
-    if per_batch:
-        reader = reader.option("maxFilesPerTrigger", per_batch)
-    found = reader.load(directory)
-    name = base_name(F.col("path"))
-    return found.select(name.alias("name"), name.alias("file_name"), F.col("path").alias("file_path"), F.col("length").alias("size"),
-                        F.unix_millis("modificationTime").alias("modificationTime"))
+def arriving_files(spark: SparkSession, directory: str, log: str, per_batch: int | None = None) -> DataFrame:
+    """New files of a folder as listing rows, whatever they are called; contents are not read."""
+    return stream_files(spark, directory, log, per_batch)
 
 
 def drop_known_files(events: DataFrame, ts: str = "ts_event", within: str = WINDOW) -> DataFrame:
@@ -73,7 +66,7 @@ def ingest_arrivals(spark: SparkSession, feed: Feed, directory: str, bronze_path
             return
         bronze.write_load(rows, bronze_path, f"{stream}-{number}")
 
-    run_batches(arriving_files(spark, directory, per_batch), step, checkpoint)
+    run_batches(arriving_files(spark, directory, f"{checkpoint}/arrivals", per_batch), step, checkpoint)
 
 
 def track_latest(stream: DataFrame, path: str, checkpoint: str, hours: int = 48) -> None:

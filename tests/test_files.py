@@ -44,6 +44,94 @@ def test_listing_is_flat(spark, drop):
     assert sorted(r["name"] for r in list_files(spark, str(drop)).collect()) == ["h1.txt", "h3.txt", "h4.txt", "with blank+plus%20.txt", "z1.zip", "z2.zip", "z3.zip"]
 
 
+@pytest.fixture
+def hidden(tmp_path):
+    d = tmp_path / "hidden"
+    d.mkdir()
+    (d / "_x.txt").write_text("report_id|report_status\n1|a\n\n2|\"b|c\"\n")
+    (d / ".y.txt").write_bytes(b"report_id|report_status\r\n3|d\r\n")
+    (d / "z.txt").write_text("report_id|report_status\n4|e\n")
+    (d / "_sub").mkdir()
+    return d
+
+
+def test_every_name_is_listed_and_loaded(spark, hidden, tmp_path):
+    refs = _refs(spark, hidden)
+    assert sorted(r["file_name"] for r in refs.collect()) == [".y.txt", "_x.txt", "z.txt"]
+    feed = ingest.Feed("f", r"^([_.]?\w+)\.(txt|zip)$", "1|vendor_code|string;2|file_extension|string")
+    rows = ingest.read_batch(spark, feed, refs, "b", None, None, NOW).rows
+    assert sorted((r["report_id"], r["report_status"], r["src_file_name"]) for r in rows.collect()) == [
+        ("1", "a", "_x.txt"), ("2", "b|c", "_x.txt"), ("3", "d", ".y.txt"), ("4", "e", "z.txt")]
+    assert rows.filter("src_file_fingerprint IS NULL").count() == 0
+    where = {"bronze_path": f"file:{tmp_path}/b", "checkpoint": f"file:{tmp_path}/c"}
+    flows.ingest_arrivals(spark, feed, f"file:{hidden}", now=NOW, **where)
+    (hidden / "_late.txt").write_text("report_id\n5\n")
+    for _ in range(2):
+        flows.ingest_arrivals(spark, feed, f"file:{hidden}", now=NOW, **where)
+    assert sorted(r["report_id"] for r in bronze.read_bronze(spark, where["bronze_path"]).collect()) == ["1", "2", "3", "4", "5"]
+
+
+def test_listing_of_partitions(spark, tmp_path):
+    for y, m in (("2024", "01"), ("2024", "02"), ("2025", "01")):
+        (tmp_path / f"year={y}" / f"month={m}").mkdir(parents=True)
+        (tmp_path / f"year={y}" / f"month={m}" / f"_{y}{m}.txt").write_text("x")
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "plain" / "no.txt").write_text("x")
+    rows = list_files(spark, f"file:{tmp_path}", partitions=True).collect()
+    assert sorted((r["name"], r["year"], r["month"], r["size"]) for r in rows) == [("_202401.txt", "2024", "01", 1), ("_202402.txt", "2024", "02", 1), ("_202501.txt", "2025", "01", 1)]
+    assert list_files(spark, f"file:{tmp_path}").count() == 0
+    with pytest.raises(Exception, match="none"):
+        list_files(spark, f"file:{tmp_path}/none").count()
+
+
+def test_a_stream_reader_goes_on_from_its_log(tmp_path):
+    from feedyard.sources import filesource
+    d, log = tmp_path / "d", tmp_path / "log"
+    d.mkdir()
+
+    def reader():
+        return filesource._StreamReader({"path": f"file:{d}", "log": f"file:{log}", "per_batch": "2"})
+
+    taken, offset = [], 0
+    for k in range(130):
+        (d / f"_{k}.txt").write_text(str(k))
+        one = reader() if k % 7 == 0 else one  # as after a restart
+        end = one.latestOffset()["n"]
+        for part in one.partitions({"n": offset}, {"n": end}):
+            taken += [r for b in one.read(part) for r in b.column("name").to_pylist()]
+        offset = end
+    assert sorted(taken) == sorted(f"_{k}.txt" for k in range(130))
+    assert reader().latestOffset() == {"n": offset} and (log / "all-0000000100.json").exists()
+
+
+def test_lines_of_blocks(tmp_path):
+    import io
+    import random
+    rng = random.Random(3)
+    old = delimited.READ_BYTES
+    try:
+        for _ in range(300):
+            delimited.READ_BYTES = rng.randint(1, 9)
+            data = "".join(rng.choice(["a", "bc", "\n", "\r", "\r\n", ""]) for _ in range(rng.randint(0, 40))).encode()
+            size = rng.randint(1, 12)
+            got = [x for start in range(0, max(1, len(data)), size) for x in delimited.block_lines(io.BytesIO(data), start, start + size)]
+            assert got == [x for x in data.splitlines()], (data, size)
+    finally:
+        delimited.READ_BYTES = old
+
+
+def test_long_headers(spark, tmp_path, monkeypatch):
+    long = "|".join(f"column_{i:06d}" for i in range(160_000))
+    (tmp_path / "long.txt").write_text(long + "\n1|2\n")
+    files = spark.createDataFrame([(f"file:{tmp_path}/long.txt",), ("nosuch://bucket/a b.txt",)], "file_path string")
+    rows = {r["file_path"][:4]: r for r in delimited.read_headers(files, "|").collect()}
+    assert len(rows["file"]["first_line"]) == len(long) > 2 << 20 and rows["file"]["columns"][-1] == "column_159999"
+    assert rows["nosu"]["error"]
+    monkeypatch.setattr(delimited, "HEAD_LIMIT", 1 << 20)
+    with open(tmp_path / "long.txt", "rb") as f, pytest.raises(ValueError, match="no line end"):
+        delimited.read_first_line(f)
+
+
 def test_headers_and_missing_files(spark, drop):
     files = spark.createDataFrame([(f"file:{drop}/h3.txt",), (f"file:{drop}/gone.txt",)], "file_path string")
     rows = {r["file_path"].rsplit("/", 1)[1]: r for r in delimited.read_headers(files, "|").collect()}
