@@ -7,7 +7,7 @@ from feedyard.checks import dropzone, views as v
 from feedyard.checks.loading import _CUST, _ROWS, _feed
 from feedyard.operators import bronze, lineage
 from feedyard.session import work_dir
-from feedyard.streaming import flows
+from feedyard.streaming import flows, tracking
 
 QUERIES, ORACLES = {}, {}
 
@@ -58,20 +58,23 @@ def stream_dedup(spark, sf_dir):
   FROM (SELECT *, CASE WHEN file_fingerprint = '' THEN file_path ELSE file_fingerprint END AS identity FROM v_event_log WHERE stage_name = 'INGEST_CONTROL'))
 WHERE rn = 1 AND stage_status = 'STARTED' AND ts_event >= (SELECT max(ts_event) FROM v_event_log WHERE stage_name = 'INGEST_CONTROL') - INTERVAL 48 HOUR"""))
 def stream_blocked(spark, sf_dir):
-    out = work_dir(spark, "latest")
-    flows.track_latest(_log_stream(spark, sf_dir).filter("stage_name = 'INGEST_CONTROL'"), out, work_dir(spark, "cp"))
-    return flows.current_blocked(spark, out)
+    """The state of the stream itself, after four micro-batches."""
+    checkpoint = work_dir(spark, "latest")
+    tracking.track_latest(_log_stream(spark, sf_dir).filter("stage_name = 'INGEST_CONTROL'"), checkpoint)
+    return tracking.current_blocked(spark, checkpoint)
 
 
-@query(v.sql("event_log", """SELECT date_trunc('hour', ts_event) AS hour_start, stage_name, stage_status, count(*) AS cnt FROM v_event_log
-WHERE date_trunc('hour', ts_event) + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(ts_event)) FROM v_event_log) - INTERVAL 1 HOUR GROUP BY 1, 2, 3"""))
+_COUNTS = v.sql("event_log", "SELECT date_trunc('hour', ts_event) AS hour_start, stage_name, stage_status, count(*) AS cnt FROM v_event_log GROUP BY 1, 2, 3")
+
+
+@query(_COUNTS)
 def stream_stage_counts(spark, sf_dir):
-    """All windows the watermark has closed; one micro-batch takes all files, so none of their events is late."""
-    out = work_dir(spark, "counts")
-    flows.run_to_parquet(flows.stage_counts(_log_stream(spark, sf_dir, 1_000_000)), out, work_dir(spark, "cp"))
-    return spark.read.parquet(out)
+    """All windows, closed and open, after the micro-batches; files arrive in order of time, so no event is late."""
+    out, checkpoint = work_dir(spark, "counts"), work_dir(spark, "cp")
+    tracking.count_stages(flows.stage_counts(_log_stream(spark, sf_dir, 1_000_000)), out, checkpoint)
+    return tracking.counted_stages(spark, out, checkpoint)
 
 
-@query(v.sql("event_log", "SELECT date_trunc('hour', ts_event) AS hour_start, stage_name, stage_status, count(*) AS cnt FROM v_event_log GROUP BY 1, 2, 3"))
+@query(_COUNTS)
 def stage_counts(spark, sf_dir):
     return lineage.stage_counts(v.event_log(spark, sf_dir))

@@ -17,6 +17,8 @@ def build_session(master: str | None = None, app: str = "feedyard", shuffle_part
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # split a skewed side even when an aggregate above it then needs one more shuffle
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        # streams run until their input is taken and end; old versions of state have to go within such a run
+        .config("spark.sql.streaming.stateStore.maintenanceInterval", "5s")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -13,8 +13,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from feedyard.functions.fingerprints import enrich_listing
 from feedyard.operators import bronze
-from feedyard.operators.upsert import src, upsert
-from feedyard.operators.waterfall import latest_by_identity
 from feedyard.plans.ingest import Feed, LoadFailed, read_batch
 from feedyard.sources.listing import stream_files
 
@@ -67,33 +65,3 @@ def ingest_arrivals(spark: SparkSession, feed: Feed, directory: str, bronze_path
         bronze.write_load(rows, bronze_path, f"{stream}-{number}")
 
     run_batches(arriving_files(spark, directory, f"{checkpoint}/arrivals", per_batch), step, checkpoint)
-
-
-def track_latest(stream: DataFrame, path: str, checkpoint: str, hours: int = 48) -> None:
-    """Keep the latest status per identity, forgetting what is older than the window.
-
-    Each micro-batch is reduced to one row per identity before it meets the state, so an identity of
-    very many events costs no large group. The state is a snapshot per micro-batch; the one of the
-    highest number is current, and a repeated micro-batch rewrites its own.
-    """
-    def step(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        last = latest_by_identity(batch).select("identity", "ts_event", "event_id", "stage_status")
-        if number == 0:
-            state = last
-        else:
-            newer = F.struct(src("ts_event"), src("event_id")) > F.struct("ts_event", "event_id")
-            sets = {c: src(c) for c in ("ts_event", "event_id", "stage_status")}
-            state = upsert(spark.read.parquet(f"{path}/v={number - 1}"), last, ["identity"], [(newer, sets)])
-        newest = state.agg(F.max("ts_event").alias("newest")).first()["newest"]
-        kept = state.filter(F.col("ts_event") >= F.lit(newest) - F.make_dt_interval(hours=F.lit(hours)))
-        kept.write.mode("overwrite").parquet(f"{path}/v={number}")
-
-    run_batches(stream, step, checkpoint)
-
-
-def current_blocked(spark: SparkSession, path: str) -> DataFrame:
-    """Identities whose latest tracked status is a start without an end."""
-    states = spark.read.parquet(path)
-    newest = states.agg(F.max("v").alias("v")).first()["v"]
-    return states.filter((F.col("v") == newest) & (F.col("stage_status") == "STARTED")).select("identity")
