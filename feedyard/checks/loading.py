@@ -198,7 +198,7 @@ def ingest_lifecycle(spark, sf_dir):
         done = plan.load(spark, _feed(), refs.filter(even), table, log, f"batch_00{n}", None, f"run_{n}", v.NOW)
         done = done.select("file_fingerprint", F.col("cnt_row_bronze").alias("cnt"), F.lit(n).alias("load_no"))
         counts = done if counts is None else counts.unionByName(done)
-    blocked = waterfall.blocked_identities(spark.read.parquet(f"{log}/file_log"), v.NOW).select(F.col("identity").alias("file_fingerprint"), F.lit(True).alias("blocked"))
+    blocked = waterfall.blocked_identities(logs.read_log(spark, f"{log}/file_log", table), v.NOW).select(F.col("identity").alias("file_fingerprint"), F.lit(True).alias("blocked"))
     sizes = plan.read_batch(spark, _feed(), refs, "batch_000", None, None, v.NOW).rows.groupBy(F.col("src_file_fingerprint").alias("file_fingerprint")).agg(F.count(F.lit(1)).alias("n"))
     every = refs.join(sizes, "file_fingerprint").withColumn("load_no", F.explode(F.array(F.lit(1), F.lit(2))))
     joined = every.join(counts.withColumn("loaded", F.lit(True)), ["file_fingerprint", "load_no"], "left").join(blocked, "file_fingerprint", "left")
@@ -282,4 +282,4 @@ def append_log(spark, sf_dir):
     rows = logs.file_log(v.event_log(spark, sf_dir), v.EVENTS_NOW)
     logs.append_log(rows, path)
     logs.append_log(rows.filter("stage_name = 'NONE'"), path)
-    return spark.read.parquet(path).select("event_id", "feed_key", "file_path", "file_fingerprint", "stage_name", "stage_status")
+    return logs.read_log(spark, path).select("event_id", "feed_key", "file_path", "file_fingerprint", "stage_name", "stage_status")

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feedyard import schemas
 from feedyard.functions.text import col_q
+from feedyard.operators import commits
 from feedyard.operators.skew import lookup_join
 
 
@@ -25,44 +26,20 @@ def add_lineage(rows: DataFrame, files: DataFrame, feed_key: str, request_id: st
     )
 
 
-LOAD = "load_id"  # folder level of a bronze table, one value per load; not a column of its rows
-
-
 def append_bronze(rows: DataFrame, path: str, partition_cols: list[str] | None = None) -> None:
     """Append; columns may differ from earlier appends."""
     writer = rows.write.mode("append")
     (writer.partitionBy(*partition_cols) if partition_cols else writer).parquet(path)
 
 
-def write_load(rows: DataFrame, path: str, load_id: str, partition_cols: list[str] | None = None) -> None:
-    """Write one load into a folder of its own; the same load written again replaces itself."""
-    writer = rows.write.mode("overwrite")
-    (writer.partitionBy(*partition_cols) if partition_cols else writer).parquet(f"{path}/{LOAD}={load_id}")
-
-
 def read_load(spark: SparkSession, path: str, load_id: str) -> DataFrame:
     """What one load wrote; nothing else of the table is read."""
-    return spark.read.parquet(f"{path}/{LOAD}={load_id}")
+    return spark.read.parquet(commits.part_path(path, load_id))
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", True).parquet(path).drop(LOAD)
-
-
-def known_columns(spark: SparkSession, path: str) -> list[str] | None:
-    """Business columns as the last load left them beside the table; None before the first load."""
-    try:
-        rows = spark.read.option("recursiveFileLookup", True).json(f"{path}/_columns", schema="n bigint, name string").orderBy("n").collect()
-    except Exception as exc:
-        if "PATH_NOT_FOUND" not in str(exc):
-            raise
-        return None
-    return [r["name"] for r in rows]
-
-
-def keep_columns(spark: SparkSession, path: str, columns: list[str]) -> None:
-    rows = spark.createDataFrame(list(enumerate(columns)), "n bigint, name string")
-    rows.coalesce(1).write.mode("overwrite").json(f"{path}/_columns")
+    """The rows of a bronze table that count, columns of all loads united."""
+    return commits.committed(spark.read.option("mergeSchema", True).parquet(path), commits.manifests(spark, path))
 
 
 def partition_columns(spec: str | None) -> list[str]:

@@ -55,6 +55,19 @@ def mark_loaded(inventory: DataFrame, loads: DataFrame) -> DataFrame:
     return upsert(inventory, loads, ["file_fingerprint"], [(F.lit(True), sets)], insert=False)
 
 
+def with_loads(inventory: DataFrame, loaded: DataFrame) -> DataFrame:
+    """The inventory as the committed loads leave it: known files are marked, files that came by a stream are new rows.
+
+    ``loaded`` is one row per fingerprint with inventory columns, as ``commits.loaded_files`` gives them.
+    """
+    sets = {
+        "load_status": F.lit("LOADED_BRONZE"), "cnt_row_bronze": src("cnt_row_bronze"), "request_id": src("request_id"),
+        "dispatch_run_id": src("dispatch_run_id"), "status_reason": F.lit("bronze load completed"),
+    }
+    rows = loaded.select("file_fingerprint", *[c for c in schemas.names(schemas.INVENTORY) if c != "file_fingerprint"])
+    return upsert(inventory, rows, ["file_fingerprint"], [(F.lit(True), sets)])
+
+
 def loaded_ok() -> Column:
     return (F.col("load_status") == "LOADED_BRONZE") & (F.coalesce("cnt_row_bronze", F.lit(0)) > 0)
 

@@ -1,10 +1,11 @@
 """Log records and notifications."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedyard import schemas
 from feedyard.functions.text import blank_to_null
+from feedyard.operators import commits
 
 
 def new_id() -> Column:
@@ -83,10 +84,17 @@ def valid_notification(severity: Column, category: Column) -> Column:
     return F.upper(F.trim(severity)).isin(*schemas.SEVERITIES) & F.upper(F.trim(category)).isin(*schemas.CATEGORIES)
 
 
-def append_log(df: DataFrame, path: str) -> None:
-    """Append to a log; nothing is written for no rows."""
-    if not df.isEmpty():
-        df.write.mode("append").parquet(path)
+def append_log(df: DataFrame, path: str, load_id: str | None = None) -> None:
+    """Append to a log; nothing is written for no rows. The rows of a load replace those of its earlier attempt."""
+    if load_id:
+        commits.write_part(df, path, load_id)
+    elif not df.isEmpty():
+        df.write.mode("append").parquet(commits.part_path(path, commits.NO_LOAD))
+
+
+def read_log(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
+    """The rows of a log that count; ``table`` is the bronze table whose loads wrote to it."""
+    return commits.committed(spark.read.parquet(path), commits.manifests(spark, table) if table else None)
 
 
 def recent(log: DataFrame, n: int, now=None, hours: int | None = None, severity: str | None = None) -> DataFrame:

@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 import time
-import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -12,7 +11,7 @@ from feedyard.functions.filenames import parse_filename
 from feedyard.functions.fingerprints import file_fingerprint
 from feedyard.functions.paths import base_name
 from feedyard.functions.text import blank_to_null, col_q
-from feedyard.operators import bronze, drift, logs
+from feedyard.operators import bronze, commits, drift, logs
 from feedyard.session import stable
 from feedyard.sources import archives, delimited
 from feedyard.sources.listing import is_hidden
@@ -188,37 +187,51 @@ def start_log(feed: Feed, refs: DataFrame, batch_id: str, request_id: str | None
 def load(spark: SparkSession, feed: Feed, refs: DataFrame, bronze_path: str, log_dir: str, batch_id: str, request_id: str | None,
          run_id: str | None, now, partition_cols: list[str] | None = None, seed: list[str] | None = None,
          policy: str = "FIRST_FILE", load_id: str | None = None) -> DataFrame:
-    """Ingest into a bronze folder and append the logs; returns the counts to mark in the inventory.
+    """Ingest into a bronze folder, write the logs and commit; returns the counts to mark in the inventory.
 
-    The start is logged before any file is read, the end with a later time, so a load that dies leaves its files as
-    started. Every load has its own folder, from which alone its rows are counted.
+    The start is logged before any file is read, so a load that dies leaves its files as started. Rows, logs and file
+    states are parts of this load only; they count from the moment its manifest is written, which is the last step
+    (``operators.commits``). ``load_id`` defaults to a name made of the batch and its files: a load that is repeated
+    replaces what its first attempt left. Columns of ``refs`` beyond path, name and fingerprint, such as size
+    and time, go into the manifest.
     """
     began = time.monotonic()
-    load_id = load_id or uuid.uuid4().hex
+    refs = stable(refs)
+    load_id = load_id or commits.load_name(feed.feed_key, request_id, run_id, batch_id, refs)
+    listed, refs = refs, refs.select("file_path", "file_name", "file_fingerprint")
 
     def ended():
         return F.lit(now).cast("timestamp") + F.make_dt_interval(secs=F.lit(max(0.001, time.monotonic() - began)))
 
-    refs = stable(refs.select("file_path", "file_name", "file_fingerprint"))
-    logs.append_log(start_log(feed, refs, batch_id, request_id, run_id, now), f"{log_dir}/file_log")
-    existing = bronze.known_columns(spark, bronze_path)
-    if existing is None:
-        existing = drift.initial_columns(policy, seed)
+    def commit(results: DataFrame, columns: list[str], at: Column) -> None:
+        more = [c for c in listed.columns if c not in results.columns]
+        files = results.join(listed.select("file_path", *more), "file_path") if more else results
+        status = F.when(F.col("succeeded"), "LOADED_BRONZE").otherwise("DISCOVERED")
+        reason = F.when(F.col("succeeded"), "bronze load completed").otherwise(F.coalesce("parse_reason", F.lit("discovered")))
+        commits.publish(files.withColumns({
+            "load_status": status, "status_reason": reason, "ended": at, "ts_discovered": F.lit(now).cast("timestamp"), "promote_status": F.lit("NOT_READY"),
+            **{c: F.lit("N") for c in ("flg_latest", "flg_superseded", "flg_legit_for_silver")}}), bronze_path, load_id, columns)
+
+    logs.append_log(start_log(feed, refs, batch_id, request_id, run_id, now), f"{log_dir}/file_log", f"{load_id}.{commits.BEGAN}")
+    known = commits.known_columns(spark, bronze_path, but=load_id)
+    existing = drift.initial_columns(policy, seed) if known is None else known
     try:
         batch = read_batch(spark, feed, refs, batch_id, request_id, run_id, now)
     except LoadFailed as exc:
-        logs.append_log(start_log(feed, refs, batch_id, request_id, run_id, ended(), "FAILED", f"ingest failed: {exc}"), f"{log_dir}/file_log")
+        at = ended()
+        logs.append_log(start_log(feed, refs, batch_id, request_id, run_id, at, "FAILED", f"ingest failed: {exc}"), f"{log_dir}/file_log", load_id)
+        files = parse_filename(refs.withColumn("feed_key", F.lit(feed.feed_key)), feed.regex, feed.capture_spec)
+        commit(files.withColumns({"succeeded": F.lit(False), "request_id": F.lit(request_id), "dispatch_run_id": F.lit(run_id)}), existing, at)
         raise
     rows = drift.evolve_business(batch.rows, existing)
-    bronze.write_load(rows, bronze_path, load_id, partition_cols)
-    bronze.keep_columns(spark, bronze_path, drift.united(existing, drift.business_columns(rows)))
+    commits.write_part(rows, bronze_path, load_id, partition_cols)
     counts = stable(bronze.bronze_counts(bronze.read_load(spark, bronze_path, load_id)))
     at = ended()
     run = report(feed, batch, counts, existing, bronze_path, batch_id, request_id, run_id, at)
-    logs.append_log(run.file_log, f"{log_dir}/file_log")
-    logs.append_log(run.schema_changes, f"{log_dir}/schema_change_log")
-    logs.append_log(run.notifications, f"{log_dir}/notifications")
-    status = logs.batch_status(run.results)
-    logs.append_log(logs.job_log(status, at, request_id=request_id, task_name="ingest_batch",
-                                 dispatch_run_id=run_id), f"{log_dir}/job_log")
-    return run.results.filter("succeeded").select("file_fingerprint", F.col("cnt_row_written").alias("cnt_row_bronze"), "request_id", "dispatch_run_id")
+    results = stable(run.results)
+    status = logs.batch_status(results)
+    for name, table in (("file_log", run.file_log), ("schema_change_log", run.schema_changes), ("notifications", run.notifications),
+                        ("job_log", logs.job_log(status, at, request_id=request_id, task_name="ingest_batch", dispatch_run_id=run_id))):
+        logs.append_log(table, f"{log_dir}/{name}", load_id)
+    commit(results.withColumn("cnt_row_bronze", F.col("cnt_row_written")), drift.united(existing, drift.business_columns(rows)), at)
+    return results.filter("succeeded").select("file_fingerprint", F.col("cnt_row_written").alias("cnt_row_bronze"), "request_id", "dispatch_run_id")

@@ -9,11 +9,9 @@ import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from feedyard.functions.fingerprints import enrich_listing
-from feedyard.operators import bronze
-from feedyard.plans.ingest import Feed, LoadFailed, read_batch
+from feedyard.plans.ingest import Feed, LoadFailed, load
 from feedyard.sources.listing import stream_files
 
 WINDOW = "48 hours"
@@ -40,28 +38,41 @@ def run_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> None:
         availableNow=True).start().awaitTermination()
 
 
-def run_batches(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    query = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return query
+def run_batches(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, again: bool = False) -> None:
+    """Run micro-batches until the input is taken. With ``again`` the query is started anew until it finds nothing: for a source that gives
+    a bounded part of its input at a time.
+    """
+    ran = True
+
+    def noting(batch: DataFrame, number: int) -> None:
+        nonlocal ran
+        ran = True
+        step(batch, number)
+
+    while ran:
+        ran = False
+        stream.writeStream.foreachBatch(noting).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        ran = ran and again
 
 
-def ingest_arrivals(spark: SparkSession, feed: Feed, directory: str, bronze_path: str, checkpoint: str, now,
-                    per_batch: int | None = None, run_id: str | None = None) -> None:
-    """Load files as they arrive.
+def ingest_arrivals(spark: SparkSession, feed: Feed, directory: str, bronze_path: str, log_dir: str, checkpoint: str, now,
+                    per_batch: int | None = None, run_id: str | None = None, **how) -> None:
+    """Load files as they arrive, each micro-batch as one load with all that a load writes: rows, logs, drift, columns, file states.
 
-    Each micro-batch has its own load folder below the bronze path, named by the stream's checkpoint and the number,
-    and replaces it when it is repeated after a failure, so no file is loaded twice and no other stream's rows are
-    touched. A micro-batch of which no file can be read is passed over; its files carry no rows.
+    A load is named by the stream's checkpoint and the number of the micro-batch. One that died and is repeated replaces
+    its parts, and only its manifest, written last, makes them count, so no file is loaded or logged twice and no other
+    stream's rows are touched. Files that cannot be read are logged as failed, also when that is all of a micro-batch. ``how``
+    are further arguments of ``plans.ingest.load``.
     """
     stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
     def step(batch: DataFrame, number: int) -> None:
-        listed = enrich_listing(batch).select("file_path", "file_name", "file_fingerprint")
+        if batch.isEmpty():
+            return
         try:
-            rows = read_batch(batch.sparkSession, feed, listed, f"batch_{number:03d}", f"stream_{number}", run_id, now).rows
+            load(batch.sparkSession, feed, enrich_listing(batch), bronze_path, log_dir, f"batch_{number:03d}", f"stream_{number}", run_id, now,
+                 load_id=f"{stream}-{number}", **how)
         except LoadFailed:
-            return
-        bronze.write_load(rows, bronze_path, f"{stream}-{number}")
+            pass  # it is logged, and its files are marked as failed
 
-    run_batches(arriving_files(spark, directory, f"{checkpoint}/arrivals", per_batch), step, checkpoint)
+    run_batches(arriving_files(spark, directory, f"{checkpoint}/arrivals", per_batch), step, checkpoint, again=bool(per_batch))

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedyard.functions.fingerprints import enrich_listing
-from feedyard.operators import bronze
+from feedyard import schemas
+from feedyard.operators import bronze, commits, inventory, logs
 from feedyard.plans import ingest
 from feedyard.sources import archives, configs, delimited
 from feedyard.sources.listing import list_files
@@ -63,7 +64,7 @@ def test_every_name_is_listed_and_loaded(spark, hidden, tmp_path):
     assert sorted((r["report_id"], r["report_status"], r["src_file_name"]) for r in rows.collect()) == [
         ("1", "a", "_x.txt"), ("2", "b|c", "_x.txt"), ("3", "d", ".y.txt"), ("4", "e", "z.txt")]
     assert rows.filter("src_file_fingerprint IS NULL").count() == 0
-    where = {"bronze_path": f"file:{tmp_path}/b", "checkpoint": f"file:{tmp_path}/c"}
+    where = {"bronze_path": f"file:{tmp_path}/b", "log_dir": f"file:{tmp_path}/logs", "checkpoint": f"file:{tmp_path}/c"}
     flows.ingest_arrivals(spark, feed, f"file:{hidden}", now=NOW, **where)
     (hidden / "_late.txt").write_text("report_id\n5\n")
     for _ in range(2):
@@ -186,7 +187,7 @@ def test_a_load_counts_its_own_rows_and_frees_its_files(spark, drop, tmp_path):
         done = ingest.load(spark, FEED, refs, table, log, f"batch_00{n}", None, None, NOW)
         assert sorted(r["cnt_row_bronze"] for r in done.collect()) == [1, 2]
     assert bronze.read_bronze(spark, table).count() == 6
-    events = spark.read.parquet(f"{log}/file_log")
+    events = logs.read_log(spark, f"{log}/file_log", table)
     assert blocked_identities(events, NOW).count() == 0
     assert events.filter("stage_status = 'STARTED'").agg(F.max("ts_event")).first()[0] < events.filter("stage_status <> 'STARTED'").agg(F.min("ts_event")).first()[0]
     only_started = ingest.start_log(FEED, refs.filter("file_name = 'h1.txt'"), "batch_003", None, None, "2026-01-15 13:00:00")
@@ -195,7 +196,7 @@ def test_a_load_counts_its_own_rows_and_frees_its_files(spark, drop, tmp_path):
 
 def test_two_streams_into_one_table(spark, drop, tmp_path):
     for k in (1, 2):
-        flows.ingest_arrivals(spark, FEED, f"file:{drop}", f"file:{tmp_path}/b", f"file:{tmp_path}/c{k}", NOW)
+        flows.ingest_arrivals(spark, FEED, f"file:{drop}", f"file:{tmp_path}/b", f"file:{tmp_path}/logs", f"file:{tmp_path}/c{k}", NOW)
     assert bronze.read_bronze(spark, f"file:{tmp_path}/b").count() == 14
 
 
@@ -256,10 +257,60 @@ def test_config_files_of_different_columns(spark, tmp_path):
 
 
 def test_stream_takes_each_file_once(spark, drop, tmp_path):
-    where = {"bronze_path": f"file:{tmp_path}/b", "checkpoint": f"file:{tmp_path}/c"}
+    where = {"bronze_path": f"file:{tmp_path}/b", "log_dir": f"file:{tmp_path}/logs", "checkpoint": f"file:{tmp_path}/c"}
     flows.ingest_arrivals(spark, FEED, f"file:{drop}", now=NOW, **where)
     assert bronze.read_bronze(spark, where["bronze_path"]).count() == 7
     (drop / "late.txt").write_text("report_id\n10\n")
     flows.ingest_arrivals(spark, FEED, f"file:{drop}", now=NOW, **where)
     flows.ingest_arrivals(spark, FEED, f"file:{drop}", now=NOW, **where)
     assert bronze.read_bronze(spark, where["bronze_path"]).count() == 8
+
+
+def test_a_load_that_dies_and_is_repeated_leaves_one_of_each(spark, drop, tmp_path, monkeypatch):
+    table, log = f"file:{tmp_path}/bronze", f"file:{tmp_path}/logs"
+    refs = _refs(spark, drop).filter("file_name IN ('h1.txt', 'h3.txt', 'z3.zip')")
+    seed = ["report_id", "report_status"]
+    where = {"spark": spark, "feed": FEED, "refs": refs, "bronze_path": table, "log_dir": log, "batch_id": "batch_001", "request_id": "r", "run_id": "d", "now": NOW,
+             "policy": "SEED", "seed": seed}
+    with monkeypatch.context() as broken:
+        broken.setattr(commits, "publish", lambda *a: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(OSError, match="killed"):
+            ingest.load(**where)
+    assert commits.manifests(spark, table) is None and commits.known_columns(spark, table) is None
+    assert bronze.read_bronze(spark, table).count() == 0  # written, but not committed
+    assert {r["stage_status"] for r in logs.read_log(spark, f"{log}/file_log", table).collect()} == {"STARTED"}
+    assert ingest.load(**where).count() == 2
+    assert bronze.read_bronze(spark, table).count() == 3
+    drift = {r["file_name"]: r["status_reason"] for r in logs.read_log(spark, f"{log}/schema_change_log", table).collect()}
+    assert drift == {"h1.txt": "source columns match target schema", "h3.txt": "missing_in_file=report_status; new_in_file=d.e,x (y)/z"}
+    events = logs.read_log(spark, f"{log}/file_log", table)
+    assert events.filter("stage_status = 'STARTED'").count() == 3 and events.filter("stage_status <> 'STARTED'").count() == 5
+    assert commits.known_columns(spark, table) == ["report_id", "report_status", "d.e", "x (y)/z"]
+    # the next load is compared with the columns of all loads, whichever of them came first
+    ingest.load(**{**where, "refs": _refs(spark, drop).filter("file_name LIKE 'with%'"), "batch_id": "batch_002"})
+    last = logs.read_log(spark, f"{log}/schema_change_log", table).filter("file_name LIKE 'with%'").first()
+    assert last["status_reason"] == "missing_in_file=report_status,d.e,x (y)/z"
+    files = {r["file_name"]: r for r in commits.loaded_files(spark, table).collect()}
+    assert sorted(files) == ["h1.txt", "h3.txt", "with blank+plus%20.txt"] and files["h1.txt"]["cnt_row_bronze"] == 2
+    nothing = spark.createDataFrame([], schemas.INVENTORY)
+    state = inventory.with_loads(nothing, commits.loaded_files(spark, table))
+    assert {(r["file_name"], r["load_status"]) for r in state.collect()} == {(n, "LOADED_BRONZE") for n in files}
+
+
+def test_a_load_in_which_all_fails_is_committed_as_failed(spark, drop, tmp_path):
+    table, log = f"file:{tmp_path}/bronze", f"file:{tmp_path}/logs"
+    refs = _refs(spark, drop).filter("file_name = 'z3.zip'")
+    with pytest.raises(ingest.LoadFailed):
+        ingest.load(spark, FEED, refs, table, log, "batch_001", "r", "d", NOW)
+    assert [r["stage_status"] for r in logs.read_log(spark, f"{log}/file_log", table).orderBy("ts_event").collect()] == ["STARTED", "FAILED"]
+    assert commits.loaded_files(spark, table).count() == 0 and commits.known_columns(spark, table) == []
+    assert ingest.load(spark, FEED, _refs(spark, drop).filter("file_name = 'h1.txt'"), table, log, "batch_002", "r", "d", NOW).count() == 1
+
+
+def test_a_stream_in_small_batches(spark, drop, tmp_path):
+    where = {"bronze_path": f"file:{tmp_path}/b", "log_dir": f"file:{tmp_path}/logs", "checkpoint": f"file:{tmp_path}/c"}
+    flows.ingest_arrivals(spark, FEED, f"file:{drop}", now=NOW, per_batch=3, **where)
+    assert bronze.read_bronze(spark, where["bronze_path"]).count() == 7
+    events = logs.read_log(spark, f"{tmp_path}/logs/file_log", where["bronze_path"])
+    assert events.filter("stage_status = 'STARTED'").count() == 7 and events.select("request_id").distinct().count() == 3
+    assert [r["file_name"] for r in events.filter("stage_status = 'FAILED'").collect()] == ["z3.zip"]
