@@ -9,7 +9,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from feedyard.llm.common import running_sum, source_key, written
-from feedyard.session import stable
 
 FAN = 3
 # A superblock is an aligned run of FAN ** LEVELS nodes of one tree: what one call of the Python functions holds.
@@ -80,7 +79,8 @@ class Tree:
         self.tables = [self._blocked(nodes)]
         tops = []
         while True:
-            top = stable(self.tables[-1].select("tree", "block", "pos", "n", "node").groupBy("tree", "block").applyInPandas(self._reduce(), "tree bigint, pos bigint, n bigint, node binary"))
+            blocks = self.tables[-1].select("tree", "block", "pos", "n", "node").groupBy("tree", "block")
+            top = written(blocks.applyInPandas(self._reduce(), "tree bigint, pos bigint, n bigint, node binary"), "merkle-tops")
             tops.append(top.filter("n = 1").select("tree", "node"))
             most = -(-most // self.size)
             if most <= 1:
@@ -156,7 +156,7 @@ def manifest(docs: DataFrame, received: Column | None = None, fan: int = FAN, le
     placed = running_sum(leaves.join(trees, ["nameless", "name"]).select("tree", "n", "doc_id", "node", "returned"), "tree", [F.col("doc_id"), F.col("node")], {})
     documents = Tree(placed.withColumnRenamed("place", "pos"), most, fan, levels)
     # subroots are the leaves of one more tree
-    subroots = stable(documents.roots.select(F.lit(0).cast("bigint").alias("tree"), F.col("tree").alias("pos"), F.lit(count).cast("bigint").alias("n"), "node"))
+    subroots = documents.roots.select(F.lit(0).cast("bigint").alias("tree"), F.col("tree").alias("pos"), F.lit(count).cast("bigint").alias("n"), "node")
     top = Tree(subroots, count, fan, levels)
     apex = top.roots.select("tree", F.lit("").alias("path"), F.lit("").alias("subroot"), F.lower(F.hex("node")).alias("root"))
 
@@ -169,5 +169,5 @@ def manifest(docs: DataFrame, received: Column | None = None, fan: int = FAN, le
         return pd.DataFrame({"doc_id": members["doc_id"], "leaf": leaves, "subroot": outer["subroot"], "root": outer["root"], "path": paths,
                              "proof_sha256": [digest(siblings(p)) for p in paths], "folded_root": folded, "verified": [f == outer["root"] for f in folded]})
 
-    outside = stable(top.unfold(apex, place_source, "tree bigint, path string, subroot string, root string"))
+    outside = written(top.unfold(apex, place_source, "tree bigint, path string, subroot string, root string"), "merkle-sources")
     return documents.unfold(outside, prove, "doc_id bigint, leaf string, subroot string, root string, path string, proof_sha256 string, folded_root string, verified boolean")
