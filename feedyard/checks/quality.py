@@ -3,9 +3,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedyard.checks import views as v
-from feedyard.operators import inventory, quality as q
+from feedyard import schemas
+from feedyard.checks import dropzone, loading, views as v
+from feedyard.functions.fingerprints import enrich_listing
+from feedyard.operators import commits, inventory, quality as q
 from feedyard.operators.quality import Rule
+from feedyard.plans import ingest
+from feedyard.session import stable, work_dir
+from feedyard.sources.listing import list_files
 
 QUERIES, ORACLES = {}, {}
 
@@ -225,3 +230,61 @@ FROM (SELECT *, CASE file_size % 5 WHEN 0 THEN 'FAILED' WHEN 1 THEN 'QUARANTINED
 def adjudicate_dq(spark, sf_dir):
     status = F.element_at(F.array(F.lit("FAILED"), F.lit("QUARANTINED"), F.lit("WARNED"), F.lit("PASSED"), F.lit(None).cast("string")), F.pmod("file_size", F.lit(5)).cast("int") + 1)
     return inventory.adjudicate(v.inventory(spark, sf_dir).withColumn("dq_status", status)).select("file_fingerprint", "promote_status", "status_reason")
+
+
+# Rules as a file of them says it: a file that fails, rows that go, rows set aside, warnings, a skipped rule, two that wait for each other, one switched off.
+_RULE_LINES = (
+    ("key_number", 1, "", "CAST(custkey AS INT) IS NOT NULL", "FAIL", ""), ("good_block", 1, "", "CAST(custkey AS INT) % 400 <> 13", "FAIL", ""),
+    ("low_nation", 2, "", "coalesce(CAST(nation AS INT), 0) < 20", "drop", "15"), ("no_three", 2, "", "CAST(custkey AS INT) % 10 <> 3", "quarantine", "5"),
+    ("named", 3, "key_number", "name IS NOT NULL AND length(segment) < 10", "WARN", "40"), ("after_drop", 3, "low_nation", "name IS NOT NULL", "WARN", ""),
+    ("ping", 3, "pong", "true", "WARN", ""), ("pong", 3, "ping", "true", "WARN", ""))
+_STAGE = """v_all AS (SELECT *, chunk % 3 <> 2 AS ruled, c_custkey % 400 <> 13 AS a, coalesce(try_cast(nation AS INT), 0) < 20 AS b, c_custkey % 10 <> 3 AS c FROM v_cust),
+v_f1 AS (SELECT chunk, ruled, count(*) AS n, count(*) FILTER (NOT a) > 0 AS failed, 100.0 * count(*) FILTER (NOT b) / count(*) > 15 AS drops,
+  100.0 * count(*) FILTER (NOT c) / count(*) > 5 AS holds FROM v_all GROUP BY ALL),
+v_rows2 AS (SELECT x.*, f.failed, f.drops, f.holds, CASE WHEN NOT x.ruled THEN 'KEPT' WHEN failed THEN 'ABORTED' WHEN drops AND NOT b THEN 'DROPPED' WHEN holds AND NOT c THEN 'QUARANTINED'
+  ELSE 'KEPT' END AS word FROM v_all x JOIN v_f1 f USING (chunk)),
+v_f2 AS (SELECT chunk, any_value(ruled) AS ruled, any_value(failed) AS failed, any_value(drops) AS drops, any_value(holds) AS holds, count(*) FILTER (word = 'KEPT') AS kept,
+  count(*) FILTER (word = 'QUARANTINED') AS held, count(*) FILTER (word = 'QUARANTINED' AND NOT b) AS also_b, count(*) FILTER (word = 'KEPT' AND coalesce(length(segment) < 10, false) = false) AS odd FROM v_rows2 GROUP BY chunk),
+v_f3 AS (SELECT *, kept > 0 AND 100.0 * odd / kept > 40 AS warns FROM v_f2)"""
+
+
+@query(v.sql("", """SELECT 'customers_' || chunk || '.txt' AS file_name, CASE WHEN NOT ruled THEN 'NOT_EVALUATED' WHEN failed THEN 'FAILED' WHEN holds THEN 'QUARANTINED' WHEN drops OR warns THEN 'WARNED' ELSE 'PASSED' END AS dq_status,
+  CASE WHEN ruled AND failed THEN 'DISCOVERED' ELSE 'LOADED_BRONZE' END AS load_status, CASE WHEN NOT (ruled AND failed) THEN kept END AS cnt, CASE WHEN ruled THEN held ELSE 0 END AS quarantined,
+  CASE WHEN ruled THEN held + also_b ELSE 0 END AS violations, CASE WHEN NOT ruled THEN 0 WHEN failed THEN 2 ELSE 8 END AS results,
+  CASE WHEN NOT ruled THEN 0 WHEN failed THEN 1 ELSE drops::INT + holds::INT + warns::INT END AS notices,
+  CASE WHEN ruled AND failed THEN 'FAILED' ELSE 'SUCCEEDED' END AS ended,
+  CASE WHEN NOT ruled OR (NOT failed AND NOT holds AND kept > 0) THEN 'READY_FOR_SILVER' ELSE 'NOT_READY' END AS promote_status,
+  CASE WHEN ruled THEN 1 ELSE 0 END AS cycles FROM v_f3""", loading._CUST + ",\n" + _STAGE))
+def dq_stage(spark, sf_dir):
+    """From a file of rules over two loads, of a feed with rules and of one without, to the adjudicated inventory."""
+    raw = spark.createDataFrame([("ruled", n, str(t), d, "validity", x, a, p, "") for n, t, d, x, a, p in _RULE_LINES] + [("ruled", "off", "1", "", "validity", "false", "FAIL", "", "N")],
+                                "feed_key string, rule_name string, rule_tier string, depends_on string, rule_type string, rule_expression string, action_on_failure string, threshold_pct string, is_active string")
+    rules = q.read_rules(raw, "dq_rules.csv", v.NOW)
+    refs = stable(enrich_listing(list_files(spark, dropzone.dropped(spark, sf_dir))))
+    third = F.pmod(F.regexp_extract("file_name", r"_(\d+)\.", 1).cast("int"), F.lit(3)) == 2
+    log, out = work_dir(spark, "logs"), None
+    for feed, part in (("ruled", refs.filter(~third)), ("free", refs.filter(third))):
+        table = work_dir(spark, f"bronze-{feed}")
+        ingest.load(spark, ingest.Feed(feed, dropzone.FEED_REGEX, dropzone.FEED_SPEC), part, table, log, "batch_001", f"req_{feed}", "run_1", v.NOW,
+                    policy="SEED", seed=["custkey", "name", "nation", "segment"], rules=rules)
+        done = commits.manifests(spark, table)
+
+        def counted(path, name, rows=None):
+            rows = commits.committed(spark.read.parquet(path), done) if rows is None else rows
+            return rows.groupBy("file_fingerprint").agg(F.count(F.lit(1)).alias(name))
+
+        state = inventory.adjudicate(inventory.with_loads(spark.createDataFrame([], schemas.INVENTORY), commits.loaded_files(spark, table)))
+        events = commits.committed(spark.read.parquet(f"{log}/file_log"), done).filter(F.col("feed_key") == feed)
+        ended = events.filter("stage_name = 'INGEST_CONTROL' AND stage_status <> 'STARTED'").select("file_fingerprint", F.col("stage_status").alias("ended"))
+        told = commits.committed(spark.read.parquet(f"{log}/notifications"), done)
+        named = told.filter("event_type LIKE 'DQ%' AND category = 'INGESTION'").select(F.get_json_object("details_json", "$.file_name").alias("file_name")).groupBy("file_name").agg(
+            F.count(F.lit(1)).alias("notices"))
+        parts = [counted(f"{table}_quarantine", "quarantined"), counted(f"{log}/dq_violations", "violations"), counted(f"{log}/dq_results", "results")] if feed == "ruled" else []
+        cycles = told.filter(F.col("event_type") == "DQ_DEPENDENCY_CYCLE").count()
+        for p in (ended, *parts):
+            state = state.join(p, "file_fingerprint", "left")
+        state = state.join(named, "file_name", "left")
+        zero = [F.coalesce(F.col(c) if c in state.columns else F.lit(None), F.lit(0)).cast("bigint").alias(c) for c in ("quarantined", "violations", "results", "notices")]
+        rows = state.select("file_name", "dq_status", "load_status", F.col("cnt_row_bronze").alias("cnt"), "ended", "promote_status", F.lit(cycles).alias("cycles"), *zero)
+        out = rows if out is None else out.unionByName(rows)
+    return out

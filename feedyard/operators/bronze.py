@@ -9,20 +9,20 @@ from feedyard.operators import commits
 from feedyard.operators.skew import lookup_join
 
 
-def add_lineage(rows: DataFrame, files: DataFrame, feed_key: str, request_id: str | None, run_id: str | None, now) -> DataFrame:
-    """Business columns as text, followed by the technical columns.
+def add_lineage(rows: DataFrame, files: DataFrame, feed_key: str, request_id: str | None, run_id: str | None, now, also: tuple[str, ...] = ()) -> DataFrame:
+    """Business columns as text, followed by the technical columns; columns named by ``also`` stay as they are, behind them.
 
     ``files`` is ``(file_path, file_name, file_fingerprint)``, one row per file of this load; a batch
     is bounded by its file limit, so Spark's own size check decides on the join.
     """
-    meta = {"_file_path", "_block_start", "_row_id"}
+    meta = {"_file_path", "_block_start", "_row_id", *also}
     business = [c for c in rows.columns if c not in meta and c not in schemas.names(schemas.BRONZE_TECHNICAL)]
     known = files.select(F.col("file_path").alias("_file_path"), F.col("file_name").alias("_n"), F.col("file_fingerprint").alias("_fp"))
     return rows.join(known, "_file_path", "left").select(
         *[col_q(c).cast("string").alias(c) for c in business],
         F.lit(feed_key).cast("string").alias("feed_key"), F.lit(request_id).cast("string").alias("request_id"),
         F.lit(run_id).cast("string").alias("dispatch_run_id"), F.col("_n").alias("src_file_name"), F.col("_file_path").alias("src_file_path"),
-        F.col("_fp").alias("src_file_fingerprint"), F.lit(now).cast("timestamp").alias("ts_ingest"),
+        F.col("_fp").alias("src_file_fingerprint"), F.lit(now).cast("timestamp").alias("ts_ingest"), *also,
     )
 
 

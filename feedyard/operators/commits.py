@@ -18,7 +18,7 @@ LOAD = "load_id"  # folder level of a table, one value per load; not a column of
 MANIFESTS = "_loads"
 # Rows of a log that belong to no load, and of the part that a load writes before it reads anything.
 NO_LOAD, BEGAN = "none", "begun"
-MANIFEST = schemas.INVENTORY + ", succeeded boolean, ended timestamp, columns array<string>"
+MANIFEST = schemas.INVENTORY + ", dq_status string, succeeded boolean, ended timestamp, columns array<string>"
 
 
 def load_name(feed_key: str, request_id: str | None, run_id: str | None, batch_id: str, refs: DataFrame) -> str:
@@ -90,10 +90,14 @@ def known_columns(spark: SparkSession, table: str, but: str | None = None) -> li
 
 
 def loaded_files(spark: SparkSession, table: str) -> DataFrame | None:
-    """The last successful load of each file, with inventory columns and ``ended``; None before the first load."""
+    """What the last load that decided about a file made of it, with inventory columns, ``dq_status`` and ``ended``; None before the first load.
+
+    A file is decided by a load that brought its rows and by one whose rules it failed; one that could not be read is not.
+    """
     rows = manifests(spark, table)
     if rows is None:
         return None
     cells = [n for n in schemas.names(MANIFEST) if n not in ("file_fingerprint", "columns", "succeeded")]
-    last = rows.filter(~is_head() & F.col("succeeded")).groupBy("file_fingerprint").agg(F.max_by(F.struct(*cells), F.struct("ended", LOAD)).alias("last"))
+    decided = rows.filter(~is_head() & (F.col("succeeded") | (F.col("dq_status") == "FAILED")))
+    last = decided.groupBy("file_fingerprint").agg(F.max_by(F.struct(*cells), F.struct("ended", LOAD)).alias("last"))
     return last.select("file_fingerprint", "last.*")

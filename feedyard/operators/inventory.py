@@ -58,14 +58,18 @@ def mark_loaded(inventory: DataFrame, loads: DataFrame) -> DataFrame:
 def with_loads(inventory: DataFrame, loaded: DataFrame) -> DataFrame:
     """The inventory as the committed loads leave it: known files are marked, files that came by a stream are new rows.
 
-    ``loaded`` is one row per fingerprint with inventory columns, as ``commits.loaded_files`` gives them.
+    ``loaded`` is one row per fingerprint with inventory columns and ``dq_status``, as ``commits.loaded_files`` gives them. Files
+    of no load have the status they had; ``dq_status`` is added where the inventory has none yet.
     """
-    sets = {
+    if "dq_status" not in inventory.columns:
+        inventory = inventory.withColumn("dq_status", F.lit(None).cast("string"))
+    marks = {
         "load_status": F.lit("LOADED_BRONZE"), "cnt_row_bronze": src("cnt_row_bronze"), "request_id": src("request_id"),
-        "dispatch_run_id": src("dispatch_run_id"), "status_reason": F.lit("bronze load completed"),
+        "dispatch_run_id": src("dispatch_run_id"), "status_reason": F.lit("bronze load completed"), "dq_status": src("dq_status"),
     }
-    rows = loaded.select("file_fingerprint", *[c for c in schemas.names(schemas.INVENTORY) if c != "file_fingerprint"])
-    return upsert(inventory, rows, ["file_fingerprint"], [(F.lit(True), sets)])
+    failed = {"dq_status": src("dq_status"), "status_reason": src("status_reason")}
+    rows = loaded.select("file_fingerprint", "dq_status", *[c for c in schemas.names(schemas.INVENTORY) if c != "file_fingerprint"])
+    return upsert(inventory, rows, ["file_fingerprint"], [(src("load_status") == "LOADED_BRONZE", marks), (F.lit(True), failed)])
 
 
 def loaded_ok() -> Column:

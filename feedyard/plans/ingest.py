@@ -12,6 +12,7 @@ from feedyard.functions.fingerprints import file_fingerprint
 from feedyard.functions.paths import base_name
 from feedyard.functions.text import blank_to_null, col_q
 from feedyard.operators import bronze, commits, drift, logs
+from feedyard.plans.quality import Quality, judged, run_quality, write_quality
 from feedyard.session import stable
 from feedyard.sources import archives, delimited
 from feedyard.sources.listing import is_hidden
@@ -112,8 +113,8 @@ def _unite(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [delimited.align(p, columns) for p in fixed])
 
 
-def read_batch(spark: SparkSession, feed: Feed, refs: DataFrame, batch_id: str, request_id: str | None, run_id: str | None, now) -> Batch:
-    """Read the files of ``refs`` (``file_path, file_name, file_fingerprint``).
+def read_batch(spark: SparkSession, feed: Feed, refs: DataFrame, batch_id: str, request_id: str | None, run_id: str | None, now, numbered: bool = False) -> Batch:
+    """Read the files of ``refs`` (``file_path, file_name, file_fingerprint``); with ``numbered`` the rows carry ``src_row_number``.
 
     One scan per distinct header rather than per file. A file that cannot be opened, or an archive
     without text, fails on its own and the others go on; when all fail, so does the load.
@@ -134,14 +135,20 @@ def read_batch(spark: SparkSession, feed: Feed, refs: DataFrame, batch_id: str,
     if not parts:
         failed = heads.select("error").first()
         raise LoadFailed(f"All file(s) in batch {batch_id} failed: {failed['error'] if failed else 'no files'}")
-    rows = bronze.add_lineage(_unite(parts), files, feed.feed_key, request_id, run_id, now)
+    united = _unite(parts)
+    if numbered:
+        united = delimited.number_lines(united, feed.has_header)
+    rows = bronze.add_lineage(united, files, feed.feed_key, request_id, run_id, now, also=("src_row_number",) if numbered else ())
     return Batch(rows, files, heads)
 
 
 def report(feed: Feed, batch: Batch, counts: DataFrame, target_columns: list[str], target_table: str, batch_id: str,
-           request_id: str | None, run_id: str | None, now) -> Report:
-    """Log rows of the end of a load, from the rows counted per fingerprint once they are written; ``now`` is when it ended."""
-    outcome = batch.files.join(batch.heads.select("file_path", "error", "columns", "members"), "file_path")
+           request_id: str | None, run_id: str | None, now, checked: Quality | None = None) -> Report:
+    """Log rows of the end of a load, from the rows counted per fingerprint once they are written; ``now`` is when it ended.
+
+    A file that failed the rules of ``checked`` has not succeeded, though it could be read.
+    """
+    outcome = judged(batch.files.join(batch.heads.select("file_path", "error", "columns", "members"), "file_path"), checked)
     counts = counts.withColumnRenamed("src_file_fingerprint", "file_fingerprint")
     ids = {"request_id": F.lit(request_id).cast("string"), "dispatch_run_id": F.lit(run_id).cast("string")}
     done = outcome.join(counts, "file_fingerprint", "left").withColumns({
@@ -186,7 +193,7 @@ def start_log(feed: Feed, refs: DataFrame, batch_id: str, request_id: str | None
 
 def load(spark: SparkSession, feed: Feed, refs: DataFrame, bronze_path: str, log_dir: str, batch_id: str, request_id: str | None,
          run_id: str | None, now, partition_cols: list[str] | None = None, seed: list[str] | None = None,
-         policy: str = "FIRST_FILE", load_id: str | None = None) -> DataFrame:
+         policy: str = "FIRST_FILE", load_id: str | None = None, rules: DataFrame | None = None) -> DataFrame:
     """Ingest into a bronze folder, write the logs and commit; returns the counts to mark in the inventory.
 
     The start is logged before any file is read, so a load that dies leaves its files as started. Rows, logs and file
@@ -194,6 +201,9 @@ def load(spark: SparkSession, feed: Feed, refs: DataFrame, bronze_path: str, log
     (``operators.commits``). ``load_id`` defaults to a name made of the batch and its files: a load that is repeated
     replaces what its first attempt left. Columns of ``refs`` beyond path, name and fingerprint, such as size
     and time, go into the manifest.
+
+    Where ``rules``, the rule table, has active rules for the feed, they decide which rows are loaded: failing rows go, or into the table
+    ``<bronze_path>_quarantine``; of a file that fails none are. Results, violations and notices are parts of the load, the status of each file is in its manifest.
     """
     began = time.monotonic()
     refs = stable(refs)
@@ -207,7 +217,8 @@ def load(spark: SparkSession, feed: Feed, refs: DataFrame, bronze_path: str, log
         more = [c for c in listed.columns if c not in results.columns]
         files = results.join(listed.select("file_path", *more), "file_path") if more else results
         status = F.when(F.col("succeeded"), "LOADED_BRONZE").otherwise("DISCOVERED")
-        reason = F.when(F.col("succeeded"), "bronze load completed").otherwise(F.coalesce("parse_reason", F.lit("discovered")))
+        failed = F.col("error") if "error" in results.columns else F.lit(None).cast("string")
+        reason = F.when(F.col("succeeded"), "bronze load completed").otherwise(F.coalesce(failed, "parse_reason", F.lit("discovered")))
         commits.publish(files.withColumns({
             "load_status": status, "status_reason": reason, "ended": at, "ts_discovered": F.lit(now).cast("timestamp"), "promote_status": F.lit("NOT_READY"),
             **{c: F.lit("N") for c in ("flg_latest", "flg_superseded", "flg_legit_for_silver")}}), bronze_path, load_id, columns)
@@ -216,21 +227,25 @@ def load(spark: SparkSession, feed: Feed, refs: DataFrame, bronze_path: str, log
     known = commits.known_columns(spark, bronze_path, but=load_id)
     existing = drift.initial_columns(policy, seed) if known is None else known
     try:
-        batch = read_batch(spark, feed, refs, batch_id, request_id, run_id, now)
+        batch = read_batch(spark, feed, refs, batch_id, request_id, run_id, now, numbered=rules is not None)
     except LoadFailed as exc:
         at = ended()
         logs.append_log(start_log(feed, refs, batch_id, request_id, run_id, at, "FAILED", f"ingest failed: {exc}"), f"{log_dir}/file_log", load_id)
         files = parse_filename(refs.withColumn("feed_key", F.lit(feed.feed_key)), feed.regex, feed.capture_spec)
         commit(files.withColumns({"succeeded": F.lit(False), "request_id": F.lit(request_id), "dispatch_run_id": F.lit(run_id)}), existing, at)
         raise
-    rows = drift.evolve_business(batch.rows, existing)
+    checked = run_quality(rules, feed.feed_key, batch.rows, str(now)[:10])
+    rows = drift.evolve_business(checked.kept if checked else batch.rows.drop("src_row_number"), existing)
     commits.write_part(rows, bronze_path, load_id, partition_cols)
     counts = stable(bronze.bronze_counts(bronze.read_load(spark, bronze_path, load_id)))
     at = ended()
-    run = report(feed, batch, counts, existing, bronze_path, batch_id, request_id, run_id, at)
-    results = stable(run.results)
+    run = report(feed, batch, counts, existing, bronze_path, batch_id, request_id, run_id, at, checked)
+    results, notices = stable(run.results), run.notifications
+    if checked:
+        told = write_quality(checked, results, feed.feed_key, f"{bronze_path}_quarantine", log_dir, load_id, at, request_id, run_id)
+        notices = notices.unionByName(told.withColumn("resolved_recipients", logs.recipients(F.lit(feed.recipients).cast("string"), None)))
     status = logs.batch_status(results)
-    for name, table in (("file_log", run.file_log), ("schema_change_log", run.schema_changes), ("notifications", run.notifications),
+    for name, table in (("file_log", run.file_log), ("schema_change_log", run.schema_changes), ("notifications", notices),
                         ("job_log", logs.job_log(status, at, request_id=request_id, task_name="ingest_batch", dispatch_run_id=run_id))):
         logs.append_log(table, f"{log_dir}/{name}", load_id)
     commit(results.withColumn("cnt_row_bronze", F.col("cnt_row_written")), drift.united(existing, drift.business_columns(rows)), at)

@@ -78,6 +78,11 @@ DQ_RESULTS = (
     "cnt_fail bigint, pct_fail double, threshold_pct double, threshold_breached string, outcome string, "
     "skip_reason string, request_id string, dispatch_run_id string, ts_evaluated timestamp"
 )
+DQ_VIOLATIONS = (
+    "violation_id string, quarantine_id string, feed_key string, file_name string, file_fingerprint string, "
+    "src_row_number bigint, rule_name string, rule_tier int, rule_type string, rule_expression string, "
+    "columns_violated string, column_values string, ts_evaluated timestamp"
+)
 
 TABLES = {
     "config": CONFIG + ", " + CONFIG_PROVENANCE,
@@ -91,6 +96,7 @@ TABLES = {
     "dispatch_state": DISPATCH_STATE,
     "dq_rules": DQ_RULES,
     "dq_results": DQ_RESULTS,
+    "dq_violations": DQ_VIOLATIONS,
 }
 
 # Allowed severities, categories and event types of notifications.

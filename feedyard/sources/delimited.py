@@ -169,17 +169,16 @@ def scan_hidden(files: DataFrame, sep: str, has_header: bool, columns: list[str]
 
 
 def number_lines(rows: DataFrame, has_header: bool, name: str = "src_row_number") -> DataFrame:
-    """Add the 1-based line number within the source file; a header counts as line one.
+    """Add the 1-based line number within the source file; a header counts as line one, blank lines do not count.
 
     Each block of a file gets its base from a running sum over the file's blocks, so a large file
-    stays spread over many tasks. The rows are checkpointed first: base and position must come from
-    the same split of the files.
+    stays spread over many tasks. Only the count and the first id of every block are checkpointed; the rows are read
+    again, in the same blocks, since the files and the split size are the same.
     """
-    held = stable(rows)
-    blocks = held.groupBy("_file_path", "_block_start").agg(F.count(F.lit(1)).alias("_len"), F.min("_row_id").alias("_first"))
+    blocks = stable(rows.groupBy("_file_path", "_block_start").agg(F.count(F.lit(1)).alias("_len"), F.min("_row_id").alias("_first")))
     before = Window.partitionBy("_file_path").orderBy("_block_start").rowsBetween(Window.unboundedPreceding, -1)
     bases = blocks.withColumn("_base", F.coalesce(F.sum("_len").over(before), F.lit(0)) - F.col("_first")).drop("_len", "_first")
-    return held.join(bases, ["_file_path", "_block_start"]).withColumn(
+    return rows.join(bases, ["_file_path", "_block_start"]).withColumn(
         name, F.col("_base") + F.col("_row_id") + (2 if has_header else 1)).drop("_base")
 
 

@@ -86,3 +86,55 @@ def test_rules_that_all_depend_on_all_before_are_ordered_at_once():
     assert [r.name for r in ordered] == names and not cyclic
     loop = [Rule("a", 1, "true", "WARN", None, ("b",)), Rule("b", 1, "true", "WARN", None, ("a",)), Rule("c", 1, "true", "WARN", None, ("a",))]
     assert in_order(loop)[1] == {"a", "b"}
+
+
+def test_quality_is_part_of_a_load(spark, tmp_path):
+    from feedyard import schemas
+    from feedyard.functions.fingerprints import enrich_listing
+    from feedyard.operators import bronze, commits, inventory, logs
+    from feedyard.plans import ingest
+    from feedyard.sources.listing import list_files
+
+    d = tmp_path / "drop"
+    d.mkdir()
+    (d / "a.txt").write_text("id|x\n1|ok\n2|\n3|odd\n4|ok\n")
+    (d / "b.txt").write_text("id|x\nboom|ok\n2|ok\n")
+    (d / "c.txt").write_text("id|x\n7|ok\n")
+    (d / "z.zip").write_bytes(b"no archive")
+    raw = [("f", "key", "1", "", "COMPLETENESS", "id <> 'boom'", "FAIL", "", ""), ("f", "full", "2", "", "COMPLETENESS", "x IS NOT NULL", "DROP", "", ""),
+           ("f", "even", "3", "", "VALIDITY", "x <> 'odd'", "QUARANTINE", "", ""), ("f", "p", "3", "q", "VALIDITY", "true", "WARN", "", ""), ("f", "q", "3", "p", "VALIDITY", "true", "WARN", "", ""),
+           ("f", "never", "1", "", "VALIDITY", "false", "FAIL", "", "N")]
+    names = "feed_key string, rule_name string, rule_tier string, depends_on string, rule_type string, rule_expression string, action_on_failure string, threshold_pct string, is_active string"
+    rules = q.read_rules(spark.createDataFrame(raw, names), "r.csv", "2026-01-15")
+    feed = ingest.Feed("f", r"^(\w+)\.(txt|zip)$", "1|vendor_code|string;2|file_extension|string", recipients="ops")
+    table, log = f"file:{tmp_path}/bronze", f"file:{tmp_path}/logs"
+    refs = enrich_listing(list_files(spark, str(d)))
+
+    def run(rules, batch, hour="12"):
+        done = ingest.load(spark, feed, refs, table, log, batch, "r", "d", f"2026-01-15 {hour}:00:00", rules=rules)
+        return {r["file_fingerprint"] for r in done.collect()}
+
+    assert len(run(rules, "batch_001")) == 2
+    run(rules, "batch_001")  # repeated: nothing is there twice
+    assert sorted((r["id"], r["x"]) for r in bronze.read_bronze(spark, table).collect()) == [("1", "ok"), ("4", "ok"), ("7", "ok")]
+    assert "src_row_number" not in bronze.read_bronze(spark, table).columns
+    held = commits.committed(spark.read.parquet(f"{table}_quarantine"), commits.manifests(spark, table)).collect()
+    assert [(r["id"], r["x"], r["src_row_number"], r["file_name"]) for r in held] == [("3", "odd", 4, "a.txt")]
+    found = logs.read_log(spark, f"{log}/dq_violations", table).collect()
+    assert [(r["rule_name"], r["columns_violated"], r["column_values"], r["quarantine_id"]) for r in found] == [("even", "x", "odd", held[0]["quarantine_id"])]
+    results = logs.read_log(spark, f"{log}/dq_results", table)
+    assert results.columns == schemas.names(schemas.DQ_RESULTS) and results.filter("file_name = 'b.txt'").count() == 1
+    files = {r["file_name"]: r for r in commits.loaded_files(spark, table).collect()}
+    assert {n: r["dq_status"] for n, r in files.items()} == {"a.txt": "QUARANTINED", "b.txt": "FAILED", "c.txt": "PASSED"}
+    assert files["b.txt"]["status_reason"] == "data quality failed: key" and files["b.txt"]["load_status"] == "DISCOVERED"
+    ended = logs.read_log(spark, f"{log}/file_log", table).filter("stage_name = 'INGEST_CONTROL' AND stage_status = 'FAILED'")
+    assert {r["file_name"] for r in ended.collect()} == {"b.txt", "z.zip"}
+    told = logs.read_log(spark, f"{log}/notifications", table).filter("event_type LIKE 'DQ%'").collect()
+    assert sorted((r["severity"], r["event_type"], r["resolved_recipients"]) for r in told) == [
+        ("ERROR", "DQ_DEPENDENCY_CYCLE", "ops"), ("ERROR", "DQ_FILE_FAILED", "ops"), ("WARNING", "DQ_ROWS_DROPPED", "ops"), ("WARNING", "DQ_ROWS_QUARANTINED", "ops")]
+    state = inventory.adjudicate(inventory.with_loads(spark.createDataFrame([], schemas.INVENTORY), commits.loaded_files(spark, table)))
+    assert {r["file_name"]: r["promote_status"] for r in state.collect()} == {"a.txt": "NOT_READY", "b.txt": "NOT_READY", "c.txt": "READY_FOR_SILVER"}
+    # a feed without rules is not evaluated, and all its rows are loaded
+    assert len(run(rules.filter("feed_key = 'other'"), "batch_002", "14")) == 3
+    assert {r["dq_status"] for r in commits.loaded_files(spark, table).collect()} == {"NOT_EVALUATED"}
+    assert bronze.read_bronze(spark, table).count() == 3 + 7
