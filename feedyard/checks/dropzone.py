@@ -34,8 +34,23 @@ PREFIXES = ("", "_", ".")
 ANY_REGEX = FEED_REGEX.replace("^", "^[_.]?")
 
 
-def write(rows: DataFrame, folder: str, zipped: bool = False, prefixed: bool = False) -> None:
-    """One file per chunk; each is written by one task and holds at most fifty lines."""
+def spoil(data: bytes, how: int) -> bytes:
+    """An archive with bytes of its first member gone (1), or with all members marked as encrypted (2)."""
+    out = bytearray(data)
+    if how == 1:
+        at = data.find(b"PK\x01\x02") // 2
+        out[at:at + 40] = bytes(40)
+    if how == 2:
+        for mark, flag in ((b"PK\x03\x04", 6), (b"PK\x01\x02", 8)):
+            at = data.find(mark)
+            while at >= 0:
+                out[at + flag] |= 1
+                at = data.find(mark, at + 1)
+    return bytes(out)
+
+
+def write(rows: DataFrame, folder: str, zipped: bool = False, prefixed: bool = False, spoilt: bool = False) -> None:
+    """One file per chunk; each is written by one task and holds at most fifty lines. With ``spoilt`` two archives of five are bad."""
     def put(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("c_custkey")
         chunk = int(pdf["chunk"].iloc[0])
@@ -45,7 +60,7 @@ def write(rows: DataFrame, folder: str, zipped: bool = False, prefixed: bool = F
             with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
                 z.writestr(f"inner/m_{chunk}.TXT", text)
                 z.writestr("inner/readme.csv", "not,read\n")
-            data, name = buffer.getvalue(), f"customers_{chunk}.zip"
+            data, name = spoil(buffer.getvalue(), chunk % 5 if spoilt else 0), f"customers_{chunk}.zip"
         else:
             data, name = text.encode(), f"customers_{chunk}.txt"
         write_bytes(f"{folder}/{PREFIXES[chunk // 3 % 3] if prefixed else ''}{name}", data)
@@ -54,7 +69,7 @@ def write(rows: DataFrame, folder: str, zipped: bool = False, prefixed: bool = F
     rows.groupBy("chunk").applyInPandas(put, "n bigint").agg(F.sum("n")).collect()
 
 
-def dropped(spark: SparkSession, sf_dir: str, zipped: bool = False, prefixed: bool = False) -> str:
+def dropped(spark: SparkSession, sf_dir: str, zipped: bool = False, prefixed: bool = False, spoilt: bool = False) -> str:
     folder = work_dir(spark, "drop")
-    write(customers(spark, sf_dir), folder, zipped, prefixed)
+    write(customers(spark, sf_dir), folder, zipped, prefixed, spoilt)
     return folder

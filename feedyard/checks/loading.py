@@ -142,6 +142,18 @@ def ingest_zip(spark, sf_dir):
     return rows.select("custkey", "name", "nation", "segment", F.col("`d.e`").alias("de"), "src_file_name")
 
 
+@query(v.sql("", """SELECT 'customers_' || chunk || '.zip' AS file_name, CASE WHEN chunk % 5 IN (1, 2) THEN 'FAILED' ELSE 'SUCCEEDED' END AS stage_status,
+  CASE WHEN chunk % 5 NOT IN (1, 2) THEN count(*) END AS cnt, CASE WHEN chunk % 5 IN (1, 2) THEN 0 ELSE count(*) END AS rows_held FROM v_cust GROUP BY chunk""", _CUST))
+def ingest_bad_archives(spark, sf_dir):
+    """Damaged and encrypted archives fail by themselves; all others of the load are loaded."""
+    refs = enrich_listing(list_dir(spark, dropzone.dropped(spark, sf_dir, zipped=True, spoilt=True)))
+    table, log = work_dir(spark, "bronze"), work_dir(spark, "logs")
+    plan.load(spark, _feed(), refs, table, log, "batch_001", "req_1", "run_1", v.NOW)
+    held = bronze.read_bronze(spark, table).groupBy(F.col("src_file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("rows_held"))
+    ended = logs.read_log(spark, f"{log}/file_log", table).filter("stage_name = 'INGEST_CONTROL' AND stage_status <> 'STARTED'")
+    return ended.join(held, "file_name", "left").select("file_name", "stage_status", F.col("cnt_row_written").alias("cnt"), F.coalesce("rows_held", F.lit(0)).alias("rows_held"))
+
+
 @query(v.sql("", f"SELECT DISTINCT 'customers' AS feed_key, 'req_1' AS request_id, 'run_1' AS dispatch_run_id, 'customers_' || chunk || '.txt' AS src_file_name, "
              f"64 AS fp_len, TIMESTAMP '{v.NOW}' AS ts_ingest FROM v_cust", _CUST))
 def bronze_lineage(spark, sf_dir):

@@ -13,7 +13,7 @@ from feedyard.functions.paths import base_name
 from feedyard.functions.text import blank_to_null, col_q
 from feedyard.operators import bronze, commits, drift, logs
 from feedyard.plans.quality import Quality, judged, run_quality, write_quality
-from feedyard.session import stable
+from feedyard.session import stable, work_dir
 from feedyard.sources import archives, delimited
 from feedyard.sources.listing import is_hidden
 
@@ -81,9 +81,15 @@ def _plain_rows(spark: SparkSession, heads: DataFrame, feed: Feed) -> list[DataF
     return parts
 
 
-def _zip_rows(spark: SparkSession, zipped: DataFrame, members: DataFrame, feed: Feed) -> list[DataFrame]:
+def _zip_lines(spark: SparkSession, members: DataFrame) -> DataFrame:
+    """The lines of all members as a table of the shared folder, so that each archive is unpacked once, whatever is asked of it."""
+    path = work_dir(spark, "members")
+    archives.scan_members(members).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _zip_rows(lines: DataFrame, members: DataFrame, feed: Feed) -> list[DataFrame]:
     """Rows of archive members, by name per member, since members may have different headers."""
-    lines = archives.scan_zip(zipped)
     heads = members.filter("columns IS NOT NULL")
     out = []
     for g in heads.groupBy("columns", "width").agg(F.count(F.lit(1)).alias("n")).collect():
@@ -116,8 +122,8 @@ def _unite(parts: list[DataFrame]) -> DataFrame:
 def read_batch(spark: SparkSession, feed: Feed, refs: DataFrame, batch_id: str, request_id: str | None, run_id: str | None, now, numbered: bool = False) -> Batch:
     """Read the files of ``refs`` (``file_path, file_name, file_fingerprint``); with ``numbered`` the rows carry ``src_row_number``.
 
-    One scan per distinct header rather than per file. A file that cannot be opened, or an archive
-    without text, fails on its own and the others go on; when all fail, so does the load.
+    One scan per distinct header rather than per file. A file that cannot be opened, or an archive without text, encrypted or
+    damaged in any member, fails on its own and the others go on; when all fail, so does the load.
     """
     files = stable(parse_filename(refs.withColumn("feed_key", F.lit(feed.feed_key)), feed.regex, feed.capture_spec))
     zipped = files.filter("file_extension = 'zip'").select("file_path")
@@ -125,13 +131,21 @@ def read_batch(spark: SparkSession, feed: Feed, refs: DataFrame, batch_id: str,
     heads = delimited.read_headers(plain, feed.delimiter, feed.has_header)
     names = delimited.split_header(F.col("first_line"), feed.delimiter)
     members = stable(archives.list_members(zipped).withColumns({"columns": names, "width": F.size(names)}))
+    lines = None
+    if not members.filter("member IS NOT NULL").isEmpty():
+        # an archive of which any member breaks off fails as a whole, by itself
+        lines = _zip_lines(spark, members.filter("member IS NOT NULL"))
+        broken = lines.filter("error IS NOT NULL").groupBy("file_path").agg(F.min("error").alias("broken"))
+        members = stable(members.join(broken, "file_path", "left").withColumn("error", F.coalesce("error", "broken")).drop("broken"))
     # the header of an archive is that of its first member
     zip_heads = members.groupBy("file_path").agg(
         F.min_by("first_line", "member").alias("first_line"), F.max("error").alias("error"), F.min_by("columns", "member").alias("columns"),
         F.min_by("width", "member").alias("width"), F.count("member").alias("members"))
     heads = stable(heads.withColumn("members", F.lit(0).cast("bigint")).unionByName(zip_heads))
     sound = heads.filter("error IS NULL")
-    parts = _plain_rows(spark, sound.filter("members = 0"), feed) + _zip_rows(spark, zipped, members.filter("member IS NOT NULL"), feed)
+    parts = _plain_rows(spark, sound.filter("members = 0"), feed)
+    if lines is not None:
+        parts += _zip_rows(lines, members.filter("member IS NOT NULL AND error IS NULL"), feed)
     if not parts:
         failed = heads.select("error").first()
         raise LoadFailed(f"All file(s) in batch {batch_id} failed: {failed['error'] if failed else 'no files'}")

@@ -314,3 +314,35 @@ def test_a_stream_in_small_batches(spark, drop, tmp_path):
     events = logs.read_log(spark, f"{tmp_path}/logs/file_log", where["bronze_path"])
     assert events.filter("stage_status = 'STARTED'").count() == 7 and events.select("request_id").distinct().count() == 3
     assert [r["file_name"] for r in events.filter("stage_status = 'FAILED'").collect()] == ["z3.zip"]
+
+
+def _damaged(path, spoil):
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("good.txt", "report_id|report_status\n20|lost\n")
+        z.writestr("bad.txt", "report_id|report_status\n" + "".join(f"{i}|{i * 7919 % 1000}\n" for i in range(30_000)))
+    data = bytearray(path.read_bytes())
+    spoil(data)
+    path.write_bytes(data)
+
+
+def test_one_bad_archive_fails_alone(spark, drop, tmp_path):
+    def cut_inside(data):
+        at = len(data) // 2
+        data[at:at + 200] = bytes(200)
+
+    def encrypt(data):
+        for mark, at in ((b"PK\x03\x04", 6), (b"PK\x01\x02", 8)):
+            k = data.find(mark)
+            while k >= 0:
+                data[k + at] |= 1
+                k = data.find(mark, k + 1)
+
+    _damaged(drop / "torn.zip", cut_inside)
+    _damaged(drop / "locked.zip", encrypt)
+    table, log = f"file:{tmp_path}/bronze", f"file:{tmp_path}/logs"
+    done = ingest.load(spark, FEED, _refs(spark, drop).filter("file_name LIKE '%.zip' OR file_name = 'h1.txt'"), table, log, "batch_001", "r", "d", NOW)
+    assert sum(r["cnt_row_bronze"] for r in done.collect()) == 5  # h1 has two rows, z1 one, z2 two
+    assert sorted({r["src_file_name"] for r in bronze.read_bronze(spark, table).select("src_file_name").collect()}) == ["h1.txt", "z1.zip", "z2.zip"]
+    ended = logs.read_log(spark, f"{log}/file_log", table).filter("stage_name = 'INGEST_CONTROL' AND stage_status = 'FAILED'").collect()
+    assert sorted(r["file_name"] for r in ended) == ["locked.zip", "torn.zip", "z3.zip"] and all("ingest failed: " in r["status_reason"] for r in ended)
+    assert [r["task_status"] for r in logs.read_log(spark, f"{log}/job_log", table).collect()] == ["PARTIAL"]
