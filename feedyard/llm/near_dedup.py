@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from feedyard.llm.common import chunks, id_text
+from feedyard.llm.common import chunks, id_text, written
 from feedyard.llm.components import components
 from feedyard.session import stable, work_dir
 
@@ -19,7 +19,8 @@ ROWS, BANDS = 4, 32  # a pair of similarity 0.75 shares no band with probability
 HASHES = ROWS * BANDS
 BATCH = 16  # signature rows compared at a time
 MISS = 1e-7  # a pair is pruned when the posterior probability of enough similarity falls below this
-BUCKET = 256  # larger buckets of several components are then split by further bands before their pairs are compared
+BLOCK = 1024  # members of a bucket that meet as one block inside a task
+NEAREST = 2  # pairs of two components of a bucket that are tried first
 BROADCAST_IDS = 250_000  # so many node numbers (2 MB) at most are sent to every executor; more are joined by shuffle
 SEED = 20_231
 MEMO = 400_000  # word hashes remembered per Python worker
@@ -170,13 +171,6 @@ class _Corpus:
         keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.col("sig").substr(k * size + 1, F.lit(size))))
         return self.nodes.select(F.explode(keys).alias("key"), "node")
 
-    def finer(self, members: DataFrame) -> DataFrame:
-        """Split buckets: members meet again where they share one more band."""
-        size = 4 * ROWS
-        wide = members.select("key", "node", "root").join(self.nodes.select("node", "sig"), "node")
-        keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(F.col("key"), k, F.col("sig").substr(k * size + 1, F.lit(size))))
-        return wide.select(F.explode(keys).alias("key"), "node", "root")
-
 
 def _mixed(members: DataFrame) -> DataFrame:
     """Members of buckets that hold several components, with the size of the bucket."""
@@ -188,18 +182,90 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
 
 
-def _across(members: DataFrame) -> DataFrame:
-    one, other = (members.select("key", F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
-    return one.join(other, "key").filter("a > b and root_a <> root_b").select("a", "b")
+def _group_pairs(own: np.ndarray, node: np.ndarray, root: np.ndarray, n: np.ndarray, sig: np.ndarray, nearest: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different components, of one block or of two, that signatures do not rule out; with ``nearest`` the best of each two components."""
+    first = own == own.min()
+    same = first.all()
+    left, right = np.flatnonzero(first), np.arange(len(own)) if same else np.flatnonzero(~first)
+    least, found = least_matches(), []
+    step = max(1, (1 << 17) // max(1, len(right)))
+    for begin in range(0, len(left), step):
+        some = left[begin:begin + step]
+        can = root[some][:, None] != root[right][None, :]
+        can &= SIMILARITY[1] * np.minimum(n[some][:, None], n[right][None, :]) >= SIMILARITY[0] * np.maximum(n[some][:, None], n[right][None, :])
+        if same:
+            can &= some[:, None] < right[None, :]
+        i, j = np.nonzero(can)
+        i, j = some[i], right[j]
+        matches = np.zeros(len(i), np.int64)
+        for k, need in enumerate(least):
+            at = slice(k * BATCH, (k + 1) * BATCH)
+            matches += (sig[i, at] == sig[j, at]).sum(axis=1)
+            alive = matches >= need
+            i, j, matches = i[alive], j[alive], matches[alive]
+        found.append((i, j, matches))
+    i, j, matches = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+    if nearest is not None and len(i):
+        low, high = np.minimum(root[i], root[j]), np.maximum(root[i], root[j])
+        by = np.lexsort((-matches, high, low))
+        low, high, i, j = low[by], high[by], i[by], j[by]
+        starts = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])]))
+        rank = np.arange(len(i)) - np.repeat(starts, np.diff(np.concatenate([starts, [len(i)]])))
+        i, j = i[rank < nearest], j[rank < nearest]
+    return np.maximum(node[i], node[j]), np.minimum(node[i], node[j])
+
+
+def _meet(nearest: int | None):
+    """Rows ``(key, i, j, own, node, root, n, sig)`` sorted by the first three: each such group is compared by itself."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def pairs():
+            table = pa.Table.from_batches(held)
+            own, node, root, n = (table.column(c).to_numpy() for c in ("own", "node", "root", "n"))
+            sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u4").reshape(-1, HASHES)
+            a, b = _group_pairs(own, node, root, n, sig, nearest)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            groups = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")], axis=1)
+            edges = [0, *(np.flatnonzero((groups[1:] != groups[:-1]).any(axis=1)) + 1).tolist(), len(groups)]
+            for begin, end in zip(edges, edges[1:]):
+                if begin == end:
+                    continue
+                here = tuple(groups[begin].tolist())
+                if here != at and held:
+                    yield pairs()
+                    held = []
+                at = here
+                held.append(batch.slice(begin, end - begin))
+        if held:
+            yield pairs()
+    return run
+
+
+def _across(corpus: _Corpus, mixed: DataFrame, nearest: int | None = None) -> DataFrame:
+    """Distinct pairs ``(a, b)`` of ``mixed`` (key, node, root, held) of one bucket and different components that may be similar enough.
+
+    The members of a bucket are dealt into blocks of about BLOCK, and every two blocks meet in one call, which compares
+    signatures; only pairs that pass become rows. A bucket of m members is sent m / BLOCK times.
+    """
+    blocks = F.ceil(F.col("held") / BLOCK).cast("int")
+    rows = mixed.join(corpus.nodes.select("node", "n", "sig"), "node").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "root", "n", "sig")
+    dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.mapInArrow(_meet(nearest), "a bigint, b bigint").distinct()
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept, tag)`` of every row; ``tag`` is a hash of the text.
 
     Rows with one shingle set are one node. Every node is compared with two members of each of its buckets: the
-    smallest node, which joins a large group of near copies by one pair per member, and one drawn by hash, by which
-    groups without a common centre grow together. What is left in different components of one bucket is compared pair
-    by pair; buckets above BUCKET are split by further bands first. So no pair of different texts is left out, and no
+    smallest by number and the smallest by hash. Both orders are the same in all buckets, so a large group of near
+    copies meets few leaders however many bands it shares. What is left in different components of one bucket meets inside tasks,
+    block against block, and only pairs that their signatures do not rule out become rows: first the nearest of each two
+    components, then all that are still apart. So no pair of different texts is left out, and no
     group is expanded into all its pairs. Candidates are pruned on signatures and confirmed on full sets.
 
     NULL and empty texts, and texts of white space, have no shingles and are linked with nothing: each is its own
@@ -208,7 +274,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     corpus = _Corpus(docs, id_col, text_col)
     bands = corpus.bands()
-    leaders = bands.groupBy("key").agg(F.min("node").alias("first"), F.min(F.struct(F.xxhash64("key", "node"), "node")).alias("drawn"),
+    leaders = bands.groupBy("key").agg(F.min("node").alias("first"), F.min(F.struct(F.xxhash64("node"), "node")).alias("drawn"),
                                        F.count(F.lit(1)).alias("held")).filter("held > 1")
     members = stable(bands.join(leaders, "key").select("key", "node", "first", F.col("drawn.node").alias("drawn")))
     met = members.select("node", F.explode(F.array("first", "drawn")).alias("other")).filter("node <> other")
@@ -216,14 +282,17 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = corpus.links(compared)
     root = components(links)
 
-    labelled = members.select("key", "node").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = stable(_mixed(labelled))
-    pairs = _across(mixed.filter(F.col("held") <= BUCKET)).union(_across(_mixed(corpus.finer(mixed.filter(F.col("held") > BUCKET)))))
-    more = stable(pairs.distinct().join(compared, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
+    # what is left in different components of one bucket: the nearest pairs of each two first, since these join most, then all
+    for nearest in (NEAREST, None):
+        labelled = members.select("key", "node").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        more = stable(_across(corpus, _mixed(labelled), nearest).join(compared, ["a", "b"], "left_anti"))
+        if more.isEmpty():
+            continue
         found = corpus.links(more)
+        compared = stable(compared.union(more))
         if not found.isEmpty():
-            root = components(links.union(found))
+            links = stable(links.union(found))
+            root = components(links)
 
     low = root.join(corpus.nodes.select("node", "low"), "node").groupBy("root").agg(F.min("low").alias("component"))
     verdict = corpus.nodes.select("node", "digest", "low").join(root, "node", "left").join(low, "root", "left").select(
@@ -236,5 +305,6 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component; columns and other rows as they are. Repeated rows of the one that stays all stay."""
     bad = near_components(docs, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("_llm_id"), F.col("tag").alias("_llm_tag")).distinct()
+    bad = written(bad, "near-copies")  # a table of known size: a short one is broadcast, so documents are not shuffled
     return docs.join(bad, docs[id_col].cast("bigint").eqNullSafe(bad["_llm_id"])
                      & (F.xxhash64(F.coalesce(docs[text_col], F.lit("")).cast("binary")) == bad["_llm_tag"]), "left_anti")

@@ -104,7 +104,7 @@ def test_near_components_by_brute_force(frame):
 
 def test_large_group_of_near_copies_and_a_cloud_below_the_limit(frame, monkeypatch):
     """A bucket above the limit is split, and chains are followed, without all pairs of a group."""
-    monkeypatch.setattr(near_dedup, "BUCKET", 8)
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
     r = random.Random(9)
     base = " ".join(f"b{r.randrange(5000)}" for _ in range(150))
     rows = list(enumerate(copies(r, base, 60, 1) + copies(r, base, 60, 6)))
