@@ -189,6 +189,16 @@ def align(df: DataFrame, columns: list[str]) -> DataFrame:
                      *[c for c in META if c in have])
 
 
+def schema_seeds(files: DataFrame, sep: str) -> DataFrame:
+    """``(file_path, columns, error)`` of seed files: the names of each one's header line, without byte order mark and blanks.
+
+    Only first lines are read, by tasks; a file that cannot be read has its error and no columns.
+    """
+    line = strip(F.ltrim(F.coalesce("first_line", F.lit("")), F.lit("\ufeff")))
+    heads = files.select("file_path").mapInPandas(_heads, "file_path string, first_line string, error string")
+    return heads.select("file_path", F.when(F.col("error").isNull(), split_header(line, sep)).alias("columns"), "error")
+
+
 def read_schema_seed(spark: SparkSession, path: str, sep: str) -> list[str]:
     """Column names from a seed file: one header line, UTF-8 with or without byte order mark."""
     from pyspark.errors import AnalysisException

@@ -239,6 +239,9 @@ def test_archives(spark, drop):
 def test_schema_seed(spark, tmp_path, text, sep, want):
     (tmp_path / "seed.txt").write_text(text, encoding="utf-8")
     assert delimited.read_schema_seed(spark, f"file:{tmp_path}/seed.txt", sep) == want
+    files = spark.createDataFrame([(f"file:{tmp_path}/seed.txt",), (f"file:{tmp_path}/none.txt",)], "file_path string")
+    rows = {r["file_path"][-8:]: r for r in delimited.schema_seeds(files, sep).collect()}
+    assert rows["seed.txt"]["columns"] == want and rows["none.txt"]["columns"] is None and rows["none.txt"]["error"]
 
 
 def test_schema_seed_must_exist(spark, tmp_path):
