@@ -201,11 +201,19 @@ def retention(spark, sf_dir):
 
 # ---- composites ------------------------------------------------------------------------------
 
-def _intake(spark, sf_dir):
-    """Feeds ask in turn for everything of two years, for a discovery, or with a broken request."""
+def _intake(spark, sf_dir, sub_keys=False):
+    """Feeds ask in turn for everything of two years, for a discovery, or with a broken request.
+
+    With ``sub_keys`` each feed has two more, one whose pattern fits no file and one, later by name, with the pattern of all files.
+    """
     n = F.regexp_extract("feed_key", r"\d+", 0).cast("int")
     config = v.feeds(spark, sf_dir).withColumns({"batch_max_size_gb": F.lit(1.0), "notify_recipients": F.lit("ops")})
-    ask = config.select(
+    asking = config
+    if sub_keys:
+        wide = {"batch_max_files": F.lit(10_000), "notify_recipients": F.lit("others"), "sched_lookback_minutes": F.lit(5)}
+        config = config.unionByName(config.withColumns({"feed_sub_key": F.lit("A"), "src_file_regex": F.lit(r"^no such (\d+)$"), "src_file_capture_spec": F.lit("1|vendor_code|string"), **wide}))
+        config = config.unionByName(asking.withColumns({"feed_sub_key": F.lit("Z"), **wide}))
+    ask = asking.select(
         "feed_key", F.concat(F.lit("req_"), "feed_key").alias("request_id"), F.concat(F.lit(v.ROOT + "/"), "feed_key", F.lit("/source")).alias("source_dir"),
         F.when(F.pmod(n, F.lit(5)) == 4, "nonsense").when(F.pmod(n, F.lit(5)) == 3, '{"request_type":"DISCOVERY"}').otherwise(
             '{"request_type":"BACKFILL","selector_type":"FILE_MODIFIED_TS","modified_from_ts":"1996-01-01","modified_to_ts":"1997-12-31T23:59:59Z"}').alias("request_json"))
@@ -226,16 +234,27 @@ v_made AS (SELECT feed_key, least(max((rn - 1) // max_files + 1), 20) AS batches
 _INTAKE_VIEWS = "known ingest_log feeds"
 
 
-@query(v.sql(_INTAKE_VIEWS, """SELECT feed_key, 'req_' || feed_key AS request_id, CASE WHEN fn % 5 = 4 THEN 'request_json must be a JSON object' WHEN fn % 5 = 3 THEN 'DISCOVERY_ONLY'
+_INTAKE_SQL = v.sql(_INTAKE_VIEWS, """SELECT feed_key, 'req_' || feed_key AS request_id, CASE WHEN fn % 5 = 4 THEN 'request_json must be a JSON object' WHEN fn % 5 = 3 THEN 'DISCOVERY_ONLY'
     WHEN coalesce(eligible, 0) > 0 THEN 'READY_TO_PROCESS' ELSE 'NO_ELIGIBLE_FILES' END AS status,
   coalesce(requested, 0) AS cnt_requested, coalesce(eligible, 0) AS cnt_final_eligible, coalesce(batches, 0) AS batch_count
-FROM v_feeds LEFT JOIN v_sums USING (feed_key) LEFT JOIN v_made USING (feed_key)""", _INTAKE))
+FROM v_feeds LEFT JOIN v_sums USING (feed_key) LEFT JOIN v_made USING (feed_key)""", _INTAKE)
+
+
+@query(_INTAKE_SQL)
 def request_intake(spark, sf_dir):
     """Sizes stay far below the byte limit here, so the count limit alone makes the batches."""
     s = _intake(spark, sf_dir).summary
     return s.select("feed_key", "request_id", F.coalesce("request_error", "status_code").alias("status"), "cnt_requested", "cnt_final_eligible", "batch_count")
 
 
+@query(_INTAKE_SQL)
+def request_sub_keys(spark, sf_dir):
+    """Feeds of three sub keys give the rows of feeds of one: each file is of the one it fits, nothing is counted twice."""
+    s = _intake(spark, sf_dir, sub_keys=True).summary
+    return s.select("feed_key", "request_id", F.coalesce("request_error", "status_code").alias("status"), "cnt_requested", "cnt_final_eligible", "batch_count")
+
+
+
 @query(v.sql(_INTAKE_VIEWS, """SELECT feed_key, status_code, coalesce(len(requested), 0) AS requested, coalesce(len(eligible), 0) AS eligible, array_to_string(eligible, ',') AS eligible_paths, coalesce(batches, 0) AS batches FROM (
   SELECT feed_key, CASE WHEN fn % 5 = 3 THEN 'DISCOVERY_ONLY' WHEN count(*) FILTER (eligible) > 0 THEN 'READY_TO_PROCESS' ELSE 'NO_ELIGIBLE_FILES' END AS status_code,
     list(file_path ORDER BY file_path) AS requested, coalesce(list(file_path ORDER BY file_path) FILTER (eligible), []) AS eligible FROM v_marked2 GROUP BY feed_key, fn)

@@ -70,11 +70,26 @@ def name_template(spec: str | Column) -> Column:
 
 
 def name_rules(config: DataFrame) -> DataFrame:
-    """Per feed the pattern and template, worked out on the configuration before it meets any file."""
-    return config.select("feed_key", name_pattern(F.col("src_file_regex")).alias("name_pattern"),
+    """Per feed, and sub key where there are any, the pattern and template, worked out on the configuration before it meets any file."""
+    sub = ["feed_sub_key"] if "feed_sub_key" in config.columns else []
+    return config.select("feed_key", *sub, name_pattern(F.col("src_file_regex")).alias("name_pattern"),
                          name_template(F.col("src_file_capture_spec")).alias("name_template"))
 
 
+def parse_by_config(df: DataFrame, config: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Parse names by the rules of their feed in ``config``; one row per ``keys``, which name the rows of ``df``.
+
+    A feed may have several sub keys, each with a pattern: a file is of the first, by name, whose pattern it fits, and of the
+    first where it fits none. ``feed_sub_key`` says which.
+    """
+    parsed = parse_by_rules(df.join(name_rules(config), "feed_key", how))
+    if "feed_sub_key" not in config.columns or config.groupBy("feed_key").count().filter("count > 1").isEmpty():
+        return parsed
+    rest = F.struct(*[F.col(c) for c in parsed.columns if c not in keys])
+    order = F.struct(F.col("parse_status") != "PARSED", F.coalesce("feed_sub_key", F.lit("")))
+    return parsed.groupBy(*keys).agg(F.min_by(rest, order).alias("_own")).select(*keys, "_own.*")
+
+
 def parse_filename(df: DataFrame, regex: str, capture_spec: str,
                    file_name: str = "file_name", feed_key: str = "feed_key") -> DataFrame:
     """Parse the names of one feed; see :func:`parse_by_rules`."""

@@ -64,10 +64,12 @@ def select_paths(requests: DataFrame, parsed: DataFrame, config: DataFrame, now)
 
     ``requests`` is the output of ``parse_request`` with ``request_id`` and ``source_dir``; faulty
     requests select nothing. The listing is read once: one equi-join on the feed, with the request's
-    own window as a filter.
+    own window as a filter. Where configuration and files name sub keys, a file meets the window of its own.
     """
     now = _as_ts(now)
-    feeds = config.select("feed_key", F.col("sched_selector_type").alias("_sel"), F.col("sched_lookback_minutes").alias("_look"))
+    apart = "feed_sub_key" in config.columns and "feed_sub_key" in parsed.columns
+    own = F.coalesce("feed_sub_key", F.lit("")) if apart else F.lit("")
+    feeds = config.select("feed_key", own.alias("_sub"), F.col("sched_selector_type").alias("_sel"), F.col("sched_lookback_minutes").alias("_look"))
     sound = requests.filter(F.col("request_error").isNull())
     names = F.col("request_type").isin("ADHOC", "DISCOVERY") & F.col("request_paths").isNotNull()
     scans = sound.filter(~names & (F.col("request_type") != "ADHOC")).join(feeds, "feed_key", "left")
@@ -77,14 +79,14 @@ def select_paths(requests: DataFrame, parsed: DataFrame, config: DataFrame, now)
     ).otherwise(F.coalesce(F.col("selector_type"), F.lit("FILE_DATE")))
     since = _minus(now, lookback(F.col("lookback_minutes"), F.col("_look")))
     windows = scans.select(
-        "feed_key", "request_id", (F.col("request_type") == "DISCOVERY").alias("_all"), (selector == "FILE_DATE").alias("_by_date"),
+        "feed_key", "request_id", "_sub", (F.col("request_type") == "DISCOVERY").alias("_all"), (selector == "FILE_DATE").alias("_by_date"),
         F.when(incremental, F.to_date(since)).otherwise(F.col("date_from")).alias("_d0"),
         F.when(incremental, F.to_date(now)).otherwise(F.col("date_to")).alias("_d1"),
         F.when(incremental, since).otherwise(F.col("ts_from")).alias("_t0"),
         F.when(incremental, F.lit("9999-12-31 00:00:00").cast("timestamp")).otherwise(F.col("ts_to")).alias("_t1"),
     )
-    files = parsed.select("feed_key", "file_path", "parse_status", "file_date", "src_mtime_ms")
-    hits = files.join(windows, "feed_key").filter(
+    files = parsed.select("feed_key", "file_path", "parse_status", "file_date", "src_mtime_ms", own.alias("_own"))
+    hits = files.join(windows, "feed_key").filter(F.coalesce(F.col("_sub") == F.col("_own"), F.lit(True))).filter(
         F.when(F.col("_all"), True).when(F.col("_by_date"), in_dates(F.col("_d0"), F.col("_d1")))
         .otherwise(mtime_ts(F.col("src_mtime_ms")).between(F.col("_t0"), F.col("_t1")))
     ).select("feed_key", "request_id", "file_path")

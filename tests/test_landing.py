@@ -206,3 +206,16 @@ def test_positions_match_a_window(spark):
     from pyspark.sql import Window
     want = df.withColumn("position", (F.row_number().over(Window.partitionBy("g").orderBy("o")) - 1).cast("bigint"))
     assert got.select("g", "o", "position").exceptAll(want).count() == 0 and got.count() == 3000
+
+
+def test_a_file_is_of_the_first_sub_key_that_it_fits(spark):
+    from feedyard.functions.filenames import parse_by_config
+
+    config = spark.createDataFrame([("f", "b", r"^in-(\d+)\.txt$", "1|file_part_seq|int"), ("f", "a", r"^out-(\w+)\.txt$", "1|vendor_code|string"),
+                                    ("f", "c", r"^(\w+)-.*\.txt$", "1|vendor_code|string"), ("g", "x", r"^(\w+)\.txt$", "1|vendor_code|string")],
+                                   "feed_key string, feed_sub_key string, src_file_regex string, src_file_capture_spec string")
+    files = spark.createDataFrame([("f", n) for n in ("in-7.txt", "out-q.txt", "in-x.txt", "none")] + [("g", "one.txt"), ("h", "of no feed")], "feed_key string, file_name string")
+    got = {r["file_name"]: r for r in parse_by_config(files.withColumn("file_path", F.col("file_name")), config, ["feed_key", "file_path"], "left").collect()}
+    assert len(got) == 6
+    assert {n: r["feed_sub_key"] for n, r in got.items()} == {"in-7.txt": "b", "out-q.txt": "a", "in-x.txt": "c", "none": "a", "one.txt": "x", "of no feed": None}
+    assert got["in-7.txt"]["file_part_seq"] == 7 and got["in-x.txt"]["vendor_code"] == "in" and got["none"]["parse_status"] == "PARSE_FAILED"
