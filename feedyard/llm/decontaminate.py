@@ -7,8 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from feedyard.llm.common import id_text
-from feedyard.session import stable
+from feedyard.llm.common import id_text, written
 
 WINDOW = 13
 # Words of test items in one automaton (some 100 MB in a task); more items make more automata, each over all documents.
@@ -225,7 +224,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     """``docs`` without contaminated rows; columns and other rows as they are."""
     bad = decontaminate(docs, benchmark, id_col, text_col, **settings).filter("contaminated").select(
         F.col("doc_id").alias("_llm_id"), F.col("tag").alias("_llm_tag")).distinct()
-    bad = stable(bad)
+    bad = written(bad, "contaminated")  # a table of known size: a short one is broadcast, so documents are not shuffled
     return docs.join(bad, docs[id_col].cast("bigint").eqNullSafe(bad["_llm_id"])
                      & (F.xxhash64(F.coalesce(docs[text_col], F.lit("")).cast("binary")) == bad["_llm_tag"]), "left_anti")
 

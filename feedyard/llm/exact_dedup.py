@@ -25,6 +25,9 @@ def normalised(text_col: str) -> Column:
 def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
+# Bytes of the table per state store, up to one store per shuffle partition.
+STORE_BYTES = 64 << 20
+
 
 def _locator(id_col: str) -> Column:
     """Orders rows by id (NULL last), then by where they stand; no two rows of a table are equal in it."""
@@ -43,9 +46,13 @@ def update_state(spark: SparkSession, path: str, state_dir: str, id_col: str = "
     up a third of all rows sends one row per task.
     """
     names = spark.read.parquet(path).schema
-    before = {k: spark.conf.get(k, None) for k in ROCKSDB}
+    # a small table needs no store per shuffle partition: each is a RocksDB of its own, with memory and files; a state keeps the number it began with
+    size = int(str(spark.read.parquet(path)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    stores = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // STORE_BYTES)))
+    settings = ROCKSDB | {"spark.sql.shuffle.partitions": str(stores)}
+    before = {k: spark.conf.get(k, None) for k in settings}
     try:
-        for k, v in ROCKSDB.items():
+        for k, v in settings.items():
             spark.conf.set(k, v)
         # the last letter as a pattern: a stream takes a single file only through one
         rows = spark.readStream.schema(names).option("maxBytesPerTrigger", str(bytes_per_trigger)).parquet(f"{path[:-1]}[{path[-1]}]")

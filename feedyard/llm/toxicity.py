@@ -374,8 +374,22 @@ def rate_toxicity(docs: DataFrame, labels: DataFrame, in_training: Column, id_co
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, in_training: Column, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """``docs`` without the rows predicted toxic; columns and other rows as they are."""
-    bad = rate_toxicity(docs, labels, in_training, id_col, text_col, **settings).filter("predicted = 1").select(
-        F.col("doc_id").alias("_llm_id"), F.col("tag").alias("_llm_tag")).distinct()
-    return docs.join(bad, docs[id_col].cast("bigint").eqNullSafe(bad["_llm_id"])
-                     & (F.xxhash64(F.coalesce(docs[text_col], F.lit("")).cast("binary")) == bad["_llm_tag"]), "left_anti")
+    """``docs`` without the rows predicted toxic; columns and other rows as they are.
+
+    Every row is scored where it is read and passed on or not: nothing is shuffled or joined. NULL and empty texts stay, and
+    so does everything if there was nothing to learn from; NULL and repeated ids and repeated rows are judged by their own text.
+    """
+    net = fit(docs, labels, in_training, id_col, text_col, **settings)
+    if net is None:
+        return docs
+    shared, at = docs.sparkSession.sparkContext.broadcast(net), docs.columns.index(text_col)  # a fixed size
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(shared.value)
+        for batch in batches:
+            text = batch.column(at).cast(pa.string()).fill_null("").cast(pa.binary())
+            rows = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows), pa.int64()), text], ["id", "body"])
+            got = [s for _, bodies in chunks([rows]) for s in scorer([b.decode() for b in bodies])]
+            yield batch.filter(pa.array([s < THRESHOLD for s in got], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

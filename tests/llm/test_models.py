@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from feedyard.llm import decontaminate, language, secrets, sharding, toxicity
+from feedyard.llm import decontaminate, language, queries, secrets, sharding, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -264,11 +264,42 @@ def test_a_text_is_in_one_shard_if_it_fits(frame):
 
 def test_pipeline_equals_its_stages(spark):
     import corpus_pipeline as p
+    from test_dedup import near_truth
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    final = p.run(spark, SF).select("doc_id").toPandas()["doc_id"].tolist()
-    assert len(final) == len(set(final)) and set(final) < {r["doc_id"] for r in docs.select("doc_id").collect()}
+    final = sorted(map(tuple, p.run(spark, SF).collect()))
     assert [name for name, _ in p.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "decontamination", "bpe"]
-    left = docs.join(spark.createDataFrame([(i,) for i in final], "doc_id bigint"), "doc_id").collect()
-    from test_dedup import near_truth
+    kept = docs
+    for name, stage in p.STAGES[:-1]:
+        before, out = kept, stage(spark, kept, SF)
+        assert out.columns == docs.columns
+        kept = spark.createDataFrame(out.collect(), docs.schema)
+        gone = before.exceptAll(kept).collect()
+        assert kept.exceptAll(before).count() == 0
+        if name == "toxicity":
+            bad = toxicity.rate_toxicity(docs, spark.read.parquet(f"{SF}/labels.parquet"), ~queries.fold(3, 1)).filter("predicted = 1")
+            assert {r["doc_id"] for r in gone} == {r["doc_id"] for r in bad.collect()}
+    assert final == sorted(map(tuple, p.to_tokens(spark, kept, SF).collect()))
+    left = kept.collect()
     assert all(i == c for i, _, c in near_truth([(r["doc_id"], r["text"]) for r in left]))
+
+
+def test_pipeline_stages_take_any_rows(spark):
+    """NULLs, empty and long texts, repeated rows and other columns with the names that operators use inside."""
+    import corpus_pipeline as p
+
+    extra = {c: F.lit("own") for c in ("kept", "tag", "key", "body", "id", "_llm_row")}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    calm = " ".join(f"calm{k % 977} word{k}" for k in range(30_000))
+    rows = [(None, None), (None, "lone words of nobody here"), (10**7, ""), (10**7 + 1, None), (10**7 + 2, calm), (10**7 + 3, "twice said by one"), (10**7 + 3, "twice said by one")]
+    edge = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], docs.schema)
+    docs = docs.unionByName(edge).withColumns(extra)
+    want = {"toxicity": 7, "exact_dedup": 4, "near_dedup": 7, "decontamination": 7}  # one empty text and one of the repeated rows stay
+    for name, stage in p.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.schema.names == docs.columns
+        mine = [r for r in out.collect() if r["doc_id"] is None or r["doc_id"] >= 10**7]
+        assert len(mine) == want[name] and all(r["tag"] == r["_llm_row"] == "own" for r in mine), name
+        assert stage(spark, docs.limit(0), SF).count() == 0
+    tokens = p.to_tokens(spark, docs, SF).filter("doc_id is null or doc_id >= 10000000")
+    assert tokens.count() == 7 and p.to_tokens(spark, docs.limit(0), SF).count() == 0
