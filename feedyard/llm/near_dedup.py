@@ -15,12 +15,13 @@ from feedyard.session import stable, work_dir
 
 WORDS = 5
 SIMILARITY = (3, 4)  # at least three quarters
-ROWS, BANDS = 4, 32  # a pair of similarity 0.75 shares no band with probability (1 - 0.75 ** 4) ** 32 < 6e-6
+BAND_BITS = 5  # the low bits of a bucket's key name its band
+ROWS, BANDS = 4, 1 << BAND_BITS  # a pair of similarity 0.75 shares no band with probability (1 - 0.75 ** 4) ** 32 < 6e-6
 HASHES = ROWS * BANDS
 BATCH = 16  # signature rows compared at a time
 MISS = 1e-7  # a pair is pruned when the posterior probability of enough similarity falls below this
 BLOCK = 1024  # members of a bucket that meet as one block inside a task
-NEAREST = 2  # pairs of two components of a bucket that are tried first
+BLOCK_SHINGLES = 1 << 21  # shingles (16 MB) that the members of a block hold together, a longer text aside
 BROADCAST_IDS = 250_000  # so many node numbers (2 MB) at most are sent to every executor; more are joined by shuffle
 SEED = 20_231
 MEMO = 400_000  # word hashes remembered per Python worker
@@ -118,14 +119,18 @@ def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array([s.tobytes() for s in found], pa.binary())], ["node", "own", "hashes"])
 
 
+def _similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets are similar enough."""
+    if len(x) > len(y):
+        x, y = y, x
+    both = int((y.take(np.searchsorted(y, x), mode="clip") == x).sum())
+    return SIMILARITY[1] * both >= SIMILARITY[0] * (len(x) + len(y) - both)
+
+
 def _confirm(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b, hashes_a, hashes_b) that are similar enough on their full sets."""
     for batch in batches:
-        ok = []
-        for one, other in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            x, y = np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            ok.append(SIMILARITY[1] * both >= SIMILARITY[0] * (len(x) + len(y) - both))
+        ok = [_similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
         keep = pa.array(ok, pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in (0, 1)], ["a", "b"])
 
@@ -150,44 +155,86 @@ class _Corpus:
     def side(self, table: DataFrame, name: str, *columns: str) -> DataFrame:
         return table.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """``(node, hashes)`` of the nodes in ``ids(node)``, made from their texts."""
+        wanted = stable(self.pick(self.nodes.select("node", "low", "digest"), ids, "node"))
+        texts = self.pick(self.texts, wanted.select("node", "low"), F.col("id").eqNullSafe(F.col("low")))
+        sets = texts.select("node", "body").mapInArrow(_sets, "node bigint, own binary, hashes binary")
+        # an id may repeat with other texts, and repeated rows give a set twice
+        return sets.join(wanted.select("node", "digest"), "node").filter("own = digest").select("node", "hashes").dropDuplicates(["node"])
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of the distinct ``pairs(a, b)`` that are similar enough."""
         near = stable(self.pick(self.nodes.select("node", "n", "sig"), _ends(pairs), "node"))
         met = pairs.join(self.side(near, "a", "n", "sig"), "a").join(self.side(near, "b", "n", "sig"), "b")
         met = met.filter(SIMILARITY[1] * F.least("n_a", "n_b") >= SIMILARITY[0] * F.greatest("n_a", "n_b"))
         alive = stable(met.select("a", "b", "sig_a", "sig_b").mapInArrow(_prune, "a bigint, b bigint"))
-        wanted = stable(self.pick(self.nodes.select("node", "low", "digest"), _ends(alive), "node"))
-        texts = self.pick(self.texts, wanted.select("node", "low"), F.col("id").eqNullSafe(F.col("low")))
-        sets = texts.select("node", "body").mapInArrow(_sets, "node bigint, own binary, hashes binary")
-        # an id may repeat with other texts, and repeated rows give a set twice
-        sets = sets.join(wanted.select("node", "digest"), "node").filter("own = digest").select("node", "hashes").dropDuplicates(["node"])
-        sets = stable(sets)
+        sets = stable(self.sets(_ends(alive)))
         full = alive.join(self.side(sets, "a", "hashes"), "a").join(self.side(sets, "b", "hashes"), "b")
         return stable(full.select("a", "b", "hashes_a", "hashes_b").mapInArrow(_confirm, "a bigint, b bigint"))
 
     def bands(self) -> DataFrame:
-        """``(key, node)``, one row per band."""
+        """``(key, node, n)``, one row per band."""
         size = 4 * ROWS
-        keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.col("sig").substr(k * size + 1, F.lit(size))))
-        return self.nodes.select(F.explode(keys).alias("key"), "node")
 
+        def key(k):
+            return F.shiftleft(F.xxhash64(F.col("sig").substr(k * size + 1, F.lit(size))), BAND_BITS).bitwiseOR(k.cast("bigint"))
+
+        return self.nodes.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), key)).alias("key"), "node", "n")
 
-def _mixed(members: DataFrame) -> DataFrame:
-    """Members of buckets that hold several components, with the size of the bucket."""
-    seen = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("held")).filter("low <> high")
-    return members.join(seen.select("key", "held"), "key")
+    def across(self, members: DataFrame) -> DataFrame:
+        """Links ``(a, b)`` between different components of a bucket of ``members(key, node, n, root)``: enough of them to join all that are linked.
+
+        The members of a bucket are dealt into blocks, and every two blocks meet in one call, so a bucket of m members is sent
+        about m / BLOCK times. The first meeting is on signatures alone and leaves the members that some pair needs;
+        the second has their full sets and confirms pairs, most alike first, leaving out those that links found there already join. Pairs never become rows.
+        A pair is looked at in the first band that it shares, once.
+        """
+        held = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("held"), F.sum("n").alias("weight"))
+        held = held.filter("low <> high").select("key", F.ceil(F.greatest(F.col("held") / BLOCK, F.col("weight") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+        rows = members.join(held, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        rows = rows.join(self.nodes.select("node", "sig"), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "root", "n", "sig")
+        met = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        suspects = stable(met.mapInArrow(_suspects, "key bigint, i int, j int, own int, node bigint, root bigint, n bigint"))
+        ids = stable(suspects.select("node").distinct())
+        sets = stable(self.pick(self.nodes.select("node", "sig"), ids, "node").join(self.sets(ids), "node"))
+        met = suspects.join(sets, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        return stable(met.select("key", "i", "j", "own", "node", "root", "n", "sig", "hashes").mapInArrow(_settle, "a bigint, b bigint"))
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
 
 
-def _group_pairs(own: np.ndarray, node: np.ndarray, root: np.ndarray, n: np.ndarray, sig: np.ndarray, nearest: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of different components, of one block or of two, that signatures do not rule out; with ``nearest`` the best of each two components."""
-    first = own == own.min()
-    same = first.all()
+def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each (key, i, j); the input is sorted by these."""
+    at, held = None, []
+    for batch in batches:
+        named = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")], axis=1)
+        edges = [0, *(np.flatnonzero((named[1:] != named[:-1]).any(axis=1)) + 1).tolist(), len(named)]
+        for begin, end in zip(edges, edges[1:]):
+            if begin == end:
+                continue
+            here = tuple(named[begin].tolist())
+            if here != at and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            at = here
+            held.append(batch.slice(begin, end - begin))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _candidates(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Positions of pairs of different components that signatures do not rule out, with their matches; of one block or of two, in pieces of bounded size."""
+    own, root, n = (group.column(c).to_numpy() for c in ("own", "root", "n"))
+    sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), "<u4").reshape(-1, HASHES)
+    band = group.column("key")[0].as_py() % BANDS
+    same = group.column("i")[0].as_py() == group.column("j")[0].as_py()
+    first = own == group.column("i")[0].as_py()
     left, right = np.flatnonzero(first), np.arange(len(own)) if same else np.flatnonzero(~first)
-    least, found = least_matches(), []
+    least = least_matches()
     step = max(1, (1 << 17) // max(1, len(right)))
     for begin in range(0, len(left), step):
         some = left[begin:begin + step]
@@ -203,59 +250,46 @@ def _group_pairs(own: np.ndarray, node: np.ndarray, root: np.ndarray, n: np.ndar
             matches += (sig[i, at] == sig[j, at]).sum(axis=1)
             alive = matches >= need
             i, j, matches = i[alive], j[alive], matches[alive]
-        found.append((i, j, matches))
-    i, j, matches = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
-    if nearest is not None and len(i):
-        low, high = np.minimum(root[i], root[j]), np.maximum(root[i], root[j])
-        by = np.lexsort((-matches, high, low))
-        low, high, i, j = low[by], high[by], i[by], j[by]
-        starts = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])]))
-        rank = np.arange(len(i)) - np.repeat(starts, np.diff(np.concatenate([starts, [len(i)]])))
-        i, j = i[rank < nearest], j[rank < nearest]
-    return np.maximum(node[i], node[j]), np.minimum(node[i], node[j])
-
-
-def _meet(nearest: int | None):
-    """Rows ``(key, i, j, own, node, root, n, sig)`` sorted by the first three: each such group is compared by itself."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, []
-
-        def pairs():
-            table = pa.Table.from_batches(held)
-            own, node, root, n = (table.column(c).to_numpy() for c in ("own", "node", "root", "n"))
-            sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u4").reshape(-1, HASHES)
-            a, b = _group_pairs(own, node, root, n, sig, nearest)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-        for batch in batches:
-            groups = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")], axis=1)
-            edges = [0, *(np.flatnonzero((groups[1:] != groups[:-1]).any(axis=1)) + 1).tolist(), len(groups)]
-            for begin, end in zip(edges, edges[1:]):
-                if begin == end:
-                    continue
-                here = tuple(groups[begin].tolist())
-                if here != at and held:
-                    yield pairs()
-                    held = []
-                at = here
-                held.append(batch.slice(begin, end - begin))
-        if held:
-            yield pairs()
-    return run
-
-
-def _across(corpus: _Corpus, mixed: DataFrame, nearest: int | None = None) -> DataFrame:
-    """Distinct pairs ``(a, b)`` of ``mixed`` (key, node, root, held) of one bucket and different components that may be similar enough.
-
-    The members of a bucket are dealt into blocks of about BLOCK, and every two blocks meet in one call, which compares
-    signatures; only pairs that pass become rows. A bucket of m members is sent m / BLOCK times.
-    """
-    blocks = F.ceil(F.col("held") / BLOCK).cast("int")
-    rows = mixed.join(corpus.nodes.select("node", "n", "sig"), "node").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "root", "n", "sig")
-    dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(_meet(nearest), "a bigint, b bigint").distinct()
+        shared = (sig[i] == sig[j]).reshape(-1, BANDS, ROWS).all(axis=2)
+        mine = shared.argmax(axis=1) == band
+        yield i[mine], j[mine], matches[mine]
+
+
+def _suspects(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Those rows of each group that stand in some pair which signatures do not rule out."""
+    for group in _groups(batches):
+        needed = np.zeros(len(group), bool)
+        for i, j, _ in _candidates(group):
+            needed[i] = needed[j] = True
+        if needed.any():
+            yield from group.filter(pa.array(needed)).drop_columns(["sig"]).combine_chunks().to_batches()
+
+
+def _settle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links that join the components of each group, confirmed on full sets; at most one fewer than the group has components."""
+    for group in _groups(batches):
+        node, root = group.column("node").to_numpy(), group.column("root").to_numpy()
+        parts, part = np.unique(root, return_inverse=True)
+        up = list(range(len(parts)))
+        sets = [np.frombuffer(b, np.uint64) for b in group.column("hashes").to_pylist()]
+
+        def find(x: int) -> int:
+            while up[x] != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
+
+        i, j, matches = (np.concatenate(x) for x in zip(*_candidates(group)))
+        likely = np.argsort(-matches, kind="stable")
+        links = []
+        for x, y in zip(i[likely].tolist(), j[likely].tolist()):
+            one, other = find(part[x]), find(part[y])
+            if one != other and _similar(sets[x], sets[y]):
+                up[one] = other
+                links.append((max(node[x], node[y]), min(node[x], node[y])))
+        if links:
+            a, b = zip(*links)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -264,9 +298,8 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rows with one shingle set are one node. Every node is compared with two members of each of its buckets: the
     smallest by number and the smallest by hash. Both orders are the same in all buckets, so a large group of near
     copies meets few leaders however many bands it shares. What is left in different components of one bucket meets inside tasks,
-    block against block, and only pairs that their signatures do not rule out become rows: first the nearest of each two
-    components, then all that are still apart. So no pair of different texts is left out, and no
-    group is expanded into all its pairs. Candidates are pruned on signatures and confirmed on full sets.
+    block against block, where pairs are pruned on signatures and confirmed on full sets; only links that join components
+    become rows. So no component is left apart from another that it is linked with, and no group is expanded into its pairs.
 
     NULL and empty texts, and texts of white space, have no shingles and are linked with nothing: each is its own
     component. ``component_id`` is the smallest id of the component, NULL ids aside; it is NULL, and the row kept, where
@@ -276,23 +309,16 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bands = corpus.bands()
     leaders = bands.groupBy("key").agg(F.min("node").alias("first"), F.min(F.struct(F.xxhash64("node"), "node")).alias("drawn"),
                                        F.count(F.lit(1)).alias("held")).filter("held > 1")
-    members = stable(bands.join(leaders, "key").select("key", "node", "first", F.col("drawn.node").alias("drawn")))
+    members = stable(bands.join(leaders, "key").select("key", "node", "n", "first", F.col("drawn.node").alias("drawn")))
     met = members.select("node", F.explode(F.array("first", "drawn")).alias("other")).filter("node <> other")
     compared = stable(met.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct())
     links = corpus.links(compared)
     root = components(links)
 
-    # what is left in different components of one bucket: the nearest pairs of each two first, since these join most, then all
-    for nearest in (NEAREST, None):
-        labelled = members.select("key", "node").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        more = stable(_across(corpus, _mixed(labelled), nearest).join(compared, ["a", "b"], "left_anti"))
-        if more.isEmpty():
-            continue
-        found = corpus.links(more)
-        compared = stable(compared.union(more))
-        if not found.isEmpty():
-            links = stable(links.union(found))
-            root = components(links)
+    labelled = members.select("key", "node", "n").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    found = corpus.across(labelled)
+    if not found.isEmpty():
+        root = components(links.union(found))
 
     low = root.join(corpus.nodes.select("node", "low"), "node").groupBy("root").agg(F.min("low").alias("component"))
     verdict = corpus.nodes.select("node", "digest", "low").join(root, "node", "left").join(low, "root", "left").select(
