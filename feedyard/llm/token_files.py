@@ -21,7 +21,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from feedyard.llm.bpe import BytePairCodec
+from feedyard.llm.bpe import WORDS_KEPT, BytePairCodec
 from feedyard.llm.common import chunks, id_text
 from feedyard.session import stable, work_dir
 
@@ -32,10 +32,12 @@ NO_ID = -(1 << 63)  # how a NULL identifier is written
 
 
 class LibraryCodec(BytePairCodec):
-    """Splits and remembers words as the parent does; new words are encoded by the tokenizers library."""
+    """Splits words as the parent does; new words are encoded by the tokenizers library and remembered as the bytes that a file holds."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, width: int) -> None:
         super().__init__(path)
+        self.kind = f"<u{width}"
+        self.packed: dict[str, bytes] = {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -46,10 +48,28 @@ class LibraryCodec(BytePairCodec):
     def merge_words(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
 
+    def pack_many(self, texts: list[str]) -> list[bytes]:
+        """Little-endian ids of each text; a word met before costs one look-up, whatever its tokens."""
+        if len(self.packed) > WORDS_KEPT:
+            self.packed.clear()
+        split = [self.words(t) for t in texts]
+        new = list(set().union(*split).difference(self.packed))
+        for word, ids in zip(new, self.merge_words(new)):
+            self.packed[word] = np.array(ids, self.kind).tobytes()
+        return [b"".join(map(self.packed.__getitem__, words)) for words in split]
+
+
+def id_width(path: str, end_id: int) -> int:
+    """Bytes of an id: two if all ids of the tokenizer's file and the end id fit, else four."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    top = max([end_id, *spec["model"]["vocab"].values(), *(t["id"] for t in spec.get("added_tokens", []))])
+    return 2 if top < 1 << 16 else 4
+
 
 @lru_cache(maxsize=2)
-def library_codec(path: str) -> LibraryCodec:
-    return LibraryCodec(path)
+def library_codec(path: str, end_id: int) -> LibraryCodec:
+    return LibraryCodec(path, id_width(path, end_id))
 
 
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -77,8 +97,8 @@ class ShardWriter:
         self.sink.write(frame)
         self.table.append(struct.pack("<III", len(frame), len(content), xxhash.xxh64_intdigest(content) & 0xFFFFFFFF))
 
-    def add(self, doc_id: int | None, tokens: np.ndarray) -> None:
-        content = tokens.astype(f"<u{self.width}").tobytes()
+    def add(self, doc_id: int | None, content: bytes) -> None:
+        """Append a document of little-endian ids."""
         self._frame(self.press.compress(content), content)
         self.ids.append(NO_ID if doc_id is None else doc_id)
 
@@ -132,8 +152,9 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, folder: str, id_c
     and empty texts hold only the end id. An empty table has an empty manifest.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c, at, writer, total = library_codec(tokenizer), TaskContext.get(), None, 0
-        width = 2 if max(end_id, len(c.token_bytes) - 1) < 1 << 16 else 4
+        c, at, writer, total = library_codec(tokenizer, end_id), TaskContext.get(), None, 0
+        width = np.dtype(c.kind).itemsize
+        end = end_id.to_bytes(width, "little")
         fs, base = file_system(folder)
         name = f"shard-{at.partitionId():06d}-{at.taskAttemptId()}.tok"
         sink = None
@@ -142,9 +163,9 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, folder: str, id_c
                 fs.create_dir(base, recursive=True)
                 sink = fs.open_output_stream(f"{base}/{name}")
                 writer = ShardWriter(sink, width)
-            for i, tokens in zip(ids, c.encode_many([b.decode() for b in bodies])):
-                writer.add(i, np.array([*tokens, end_id]))
-                total += len(tokens) + 1
+            for i, content in zip(ids, c.pack_many([b.decode() for b in bodies])):
+                writer.add(i, content + end)
+                total += len(content) // width + 1
         if writer is not None:
             writer.close()
             sink.close()
