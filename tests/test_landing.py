@@ -147,6 +147,14 @@ def test_path_lists_partition_the_requested_set(spark):
     assert [len(r["paths"]) for r in chunked] == [2, 2, 2] and sum((r["paths"] for r in chunked), []) == whole
 
 
+def test_rows_of_path_lists_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(waterfall, "CHUNK_BYTES", 100)
+    flags = _classified(spark, False).withColumn("file_path", F.concat(F.lit("x" * 60), "file_path"))
+    rows = waterfall.path_lists(flags, 50).filter("list_name = 'arr_paths_requested'").orderBy("chunk_no").collect()
+    assert all(sum(map(len, r["paths"][1:])) <= 100 for r in rows) and 3 <= len(rows) <= 6
+    assert sum((r["paths"] for r in rows), []) == sorted(r["file_path"] for r in flags.collect())
+
+
 def _next_fit(sizes, max_files, max_bytes):
     """Brute force: one batch number per file, in order."""
     out, count, total, number = [], 0, 0, 1
