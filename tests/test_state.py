@@ -4,7 +4,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from feedyard import schemas
-from feedyard.operators import config_sync, drift, inventory
+from feedyard.functions.fingerprints import packed, unpacked
+from feedyard.operators import config_sync, drift, inventory, upsert as ups
 from feedyard.operators.upsert import delete_where, src, update_where, upsert
 
 
@@ -139,3 +140,36 @@ def test_schema_growth_and_policy(spark):
     assert drift.initial_columns("FIRST_FILE", ["a"]) == [] and drift.initial_columns("AUTO", None) == [] and drift.initial_columns("SEED", ["a"]) == ["a"]
     with pytest.raises(FileNotFoundError):
         drift.initial_columns("SEED", None)
+
+
+def test_large_sources_meet_the_target_in_one_join(spark, monkeypatch):
+    """A source above the broadcast bound gives the same snapshot; unknown and equal-looking keys stay apart."""
+    digest = "0" * 63 + "a"
+    target = spark.createDataFrame([(digest, "a", 1), (None, "b", 2), ("fp", "c", 3), (digest.upper(), "d", 4), ("fp", "e", 5)], "k string, v string, n int")
+    source = spark.createDataFrame([(digest, 10), (None, 20), ("new", 30), ("fp", 40)], "k string, n int")
+    clauses = [(ups.src("n") > 30, {"v": F.lit("big"), "n": ups.src("n")}), (F.lit(True), {"n": ups.src("n")})]
+    small = [[sorted(map(repr, ups.upsert(target, source, ["k"], clauses, insert).collect())) for insert in (True, False)]]
+    monkeypatch.setattr(ups, "BROADCAST_ROWS", 0)
+    large = [[sorted(map(repr, ups.upsert(target, source, ["k"], clauses, insert).collect())) for insert in (True, False)]]
+    assert small == large
+    plan = ups.upsert(target, source, ["k"], clauses)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FullOuter") == 1 and "LeftAnti" not in plan
+    with pytest.raises(Exception, match="several source rows"):
+        ups.upsert(target, source.union(source), ["k"], clauses).select("v").collect()
+
+
+def test_fingerprints_travel_packed_and_come_back(spark):
+    texts = ["0f" * 32, "0F" * 32, "0f" * 31, "x" * 31, "", None, "ab" * 31 + "a\n"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("p", packed(F.col("t")))
+    got = rows.select("t", unpacked(F.col("p")).alias("back"), "p").collect()
+    assert all(r["t"] == r["back"] for r in got) and len({bytes(r["p"]) for r in got}) == len(texts)
+    assert len(next(bytes(r["p"]) for r in got if r["t"] == texts[0])) == 33
+
+
+def test_tied_versions_end_with_the_highest_fingerprint_of_any_kind(spark):
+    for prints in (["0f" * 32, "fp_1"], ["ff" * 32, "fp_1"], ["ff" * 32, "fe" * 32], ["zz", "fp_1"], ["ff" * 32, None]):
+        rows = spark.createDataFrame([("p", "PARSED", 1, None, "same", f, "d", 1, 1, "LOADED_BRONZE", 5) for f in prints],
+            "part_group_key string, parse_status string, file_version_rank int, ts_discovered timestamp, file_name string, file_fingerprint string, "
+            "delivery_group_key string, file_part_seq int, file_part_tot int, load_status string, cnt_row_bronze bigint")
+        won = inventory.part_winners(rows).collect()
+        assert [r["file_fingerprint"] for r in won] == [max(f for f in prints if f)] and won[0]["versions"] == 2
