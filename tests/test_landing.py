@@ -9,6 +9,7 @@ from feedyard.functions.filenames import check_regex, name_pattern, name_templat
 from feedyard.functions.fingerprints import file_fingerprint
 from feedyard.functions.requests import parse_request, truthy
 from feedyard.operators import batching, selectors, skew, waterfall
+from feedyard.session import kept
 
 # A harbour's papers: the day comes first, then quay and ship, sheet and sheets joined by "of", and a revision after a tilde.
 SHEETS = (r"^(\d{8})-(quay\d+)\.(\w+)-sheet(\d+)of(\d+)(?:~(v\d+|updated))?\.(csv|zip)$",
@@ -227,3 +228,28 @@ def test_a_file_is_of_the_first_sub_key_that_it_fits(spark):
     assert len(got) == 6
     assert {n: r["feed_sub_key"] for n, r in got.items()} == {"in-7.txt": "b", "out-q.txt": "a", "in-x.txt": "c", "none": "a", "one.txt": "x", "of no feed": None}
     assert got["in-7.txt"]["file_part_seq"] == 7 and got["in-x.txt"]["vendor_code"] == "in" and got["none"]["parse_status"] == "PARSE_FAILED"
+
+
+def test_batches_come_whole_from_the_chunk_they_start_in(spark):
+    """The packed batches are those of the rows, whatever the chunk, also where batches cross its end and a fingerprint is missing."""
+    rows = spark.createDataFrame([("f", f"p{i:03d}", 10 + i * 7 % 23, None if i % 9 == 0 else f"{i:064x}") for i in range(211)] + [("g", "q", 5, "x")],
+                                 "feed_key string, file_path string, size bigint, file_fingerprint string")
+    for chunk in (3, 7, 1000):
+        one = {(r["feed_key"], r["batch_no"]): r for r in batching.pack_batches(rows, 5, 60, chunk).collect()}
+        want = {}
+        for r in batching.assign_batches(rows, 5, 60, chunk).collect():
+            want.setdefault((r["feed_key"], r["batch_no"]), []).append(r)
+        assert one.keys() == want.keys()
+        for k, members in want.items():
+            refs = [{"path": r["file_path"], **({"fingerprint": r["file_fingerprint"]} if r["file_fingerprint"] else {})} for r in sorted(members, key=lambda r: r["file_path"])]
+            assert json.loads(one[k]["batch_file_paths_json"]) == refs
+            assert (one[k]["file_count"], one[k]["total_size_bytes"]) == (len(members), sum(r["size"] for r in members))
+    plan = batching.pack_batches(rows, 5, 60)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("collect_list(struct(path") == 0
+
+
+def test_wide_rows_between_passes_are_kept_in_compressed_columns(spark):
+    df = spark.range(1000).selectExpr("concat('dbfs:/Volumes/main/landing/feed/source/', id) AS p", "id").filter("id >= 0")
+    again = kept(df)
+    assert sorted(again.collect()) == sorted(df.collect()) and all(f.endswith(".zstd.parquet") for f in again.inputFiles())
+    assert kept(df.filter("id < 0")).count() == 0
