@@ -71,6 +71,24 @@ def test_double_loads_and_retention(spark):
     assert bronze.partition_columns(" a, ,b ") == ["a", "b"] and bronze.partition_columns(None) == []
 
 
+def _adjudicable(spark):
+    """A ready file, a superseded version of it, one not loaded, one without rows, one whose name failed, whose reason claims the opposite."""
+    rows = [("11" * 32, "p1", "d1", 1, "PARSED", None, "LOADED_BRONZE", 3), ("22" * 32, "p1", "d1", 0, "PARSED", None, "LOADED_BRONZE", 3), ("33" * 32, "p2", "d2", 0, "PARSED", None, "DISCOVERED", None),
+            ("odd", "p3", "d3", 0, "PARSED", None, "LOADED_BRONZE", 0), ("55" * 32, None, None, 0, "PARSE_FAILED", "latest and ready for silver", "LOADED_BRONZE", 3), ("plain", "p4", "d4", 0, "PARSED", None, None, 7)]
+    df = spark.createDataFrame(rows, "file_fingerprint string, part_group_key string, delivery_group_key string, file_version_rank int, parse_status string, parse_reason string, load_status string, cnt_row_bronze bigint")
+    return df.select([F.col(n).cast(t).alias(n) if n in df.columns else F.lit(None).cast(t).alias(n) for n, t in schemas.fields(schemas.INVENTORY)])
+
+
+def test_finalize_keeps_only_verdicts(spark, monkeypatch):
+    wrote, keep = [], stages.kept
+    monkeypatch.setattr(stages, "kept", lambda df: wrote.append(df.columns) or keep(df))
+    done = stages.run_finalize(_adjudicable(spark), NOW, "run")
+    assert wrote == [["_print", "_verdict"]]
+    reasons = {r["file_fingerprint"]: (r["status_reason"], r["stage_status"]) for r in done.file_log.collect()}
+    assert reasons["11" * 32] == ("latest and ready for silver", "READY_FOR_SILVER") and reasons["22" * 32][0] == "superseded by newer version"
+    assert reasons["55" * 32][1] == "NOT_READY" and done.table.columns == schemas.names(schemas.INVENTORY) and done.table.count() == 6
+
+
 def test_stages_from_request_to_verdict(spark):
     """A feed's files asked for, recorded, loaded and adjudicated; a second request finds them done."""
     config = spark.createDataFrame([("f", r"^(a)_(\d{8})_(\d)_(\d)\.txt$", "1|vendor_code|string;2|file_date|date_yyyymmdd;3|file_part_seq|int;4|file_part_tot|int", "FILE_MODIFIED_TS", 1440, 10, 1.0, "ops")],
