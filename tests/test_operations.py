@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from feedyard import schemas
 from feedyard.functions.masking import mask_columns
 from feedyard.functions.text import parse_utc, quote_literal, quote_name
-from feedyard.operators import bronze, logs, rollback
+from feedyard.operators import bronze, inventory, logs, promote, rollback
 from feedyard.plans import intake, stages
 
 NOW = "2026-01-15 12:00:00"
@@ -79,6 +79,16 @@ def _adjudicable(spark):
     return df.select([F.col(n).cast(t).alias(n) if n in df.columns else F.lit(None).cast(t).alias(n) for n, t in schemas.fields(schemas.INVENTORY)])
 
 
+def test_silver_shuffles_ready_files_only(spark):
+    known = _adjudicable(spark)
+    loaded = spark.createDataFrame([(r["file_fingerprint"], str(i)) for i, r in enumerate(known.collect())] + [(None, "9"), ("plain", "x")], "src_file_fingerprint string, n string")
+    out = promote.to_silver(loaded, inventory.adjudicate(known), [("n", "k", "int"), ("src_file_fingerprint", "f", "string")])
+    assert sorted(map(repr, ((r["src_file_fingerprint"], r["k"], r["f"]) for r in out.collect()))) == sorted(map(repr, [("11" * 32, 0, "11" * 32), ("plain", 5, "plain"), ("plain", None, "plain")]))
+    joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line and "_print" in line]
+    # the verdicts are met by an inner join, so what is not ready is left out on both sides before it is shuffled
+    assert sum("Join Inner" in line for line in joins) == 1 and not any("LeftOuter" in line for line in joins)
+
+
 def test_finalize_keeps_only_verdicts(spark, monkeypatch):
     wrote, keep = [], stages.kept
     monkeypatch.setattr(stages, "kept", lambda df: wrote.append(df.columns) or keep(df))
