@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feedyard import schemas
+from feedyard.functions.fingerprints import packed, unpacked
 from feedyard.functions.text import col_q
 from feedyard.operators import commits
 from feedyard.operators.skew import lookup_join
@@ -57,11 +58,13 @@ def bronze_counts(bronze: DataFrame) -> DataFrame:
 
 
 def dedup_loads(bronze: DataFrame) -> DataFrame:
-    """Keep only the first load of each file; a file loaded by several requests would count twice."""
-    first = bronze.groupBy("src_file_fingerprint").agg(
+    """Keep only the first load of each file; a file loaded by several requests would count twice. Fingerprints travel packed."""
+    print_ = F.col("src_file_fingerprint")
+    rows = bronze.withColumn("_print", F.when(print_.isNotNull(), packed(print_))).drop("src_file_fingerprint")
+    first = rows.groupBy("_print").agg(
         F.min_by("request_id", F.struct("ts_ingest", "request_id")).alias("_first"), F.count(F.lit(1)).alias("_n"))
-    marked = lookup_join(bronze, first, ["src_file_fingerprint"], "_n")
-    return marked.filter(F.col("request_id").eqNullSafe(F.col("_first"))).drop("_first")
+    marked = lookup_join(rows, first, ["_print"], "_n").filter(F.col("request_id").eqNullSafe(F.col("_first")))
+    return marked.withColumn("src_file_fingerprint", unpacked(F.col("_print"))).select(*bronze.columns)
 
 
 def apply_retention(bronze: DataFrame, config: DataFrame, now, ts: str = "ts_ingest") -> DataFrame:

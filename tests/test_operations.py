@@ -71,6 +71,16 @@ def test_double_loads_and_retention(spark):
     assert bronze.partition_columns(" a, ,b ") == ["a", "b"] and bronze.partition_columns(None) == []
 
 
+def test_double_loads_meet_by_packed_fingerprints(spark):
+    digest = "0f" * 32
+    df = spark.createDataFrame([(digest, "r1", 1), (digest, "r2", 2), (None, "r1", 1), (None, None, 2), ("0F" * 32, "r2", 1), ("", "r3", 1), ("", "r4", 2)],
+                               "src_file_fingerprint string, request_id string, ts_ingest int")
+    out = bronze.dedup_loads(df)
+    assert out.columns == df.columns
+    assert sorted(map(repr, ((r[0], r[1]) for r in out.collect()))) == sorted(map(repr, [(digest, "r1"), (None, None), ("0F" * 32, "r2"), ("", "r3")]))
+    assert "hashpartitioning(src_file_fingerprint" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def _adjudicable(spark):
     """A ready file, a superseded version of it, one not loaded, one without rows, one whose name failed, whose reason claims the opposite."""
     rows = [("11" * 32, "p1", "d1", 1, "PARSED", None, "LOADED_BRONZE", 3), ("22" * 32, "p1", "d1", 0, "PARSED", None, "LOADED_BRONZE", 3), ("33" * 32, "p2", "d2", 0, "PARSED", None, "DISCOVERED", None),
