@@ -38,8 +38,10 @@ def _log_folder(spark, sf_dir):
     return path, log.schema
 
 
-def _log_stream(spark, sf_dir, per_trigger=1):
+def _log_stream(spark, sf_dir, per_trigger=None):
+    """A stream of the log; unless told otherwise each micro-batch takes a quarter of the files, however many they are."""
     path, schema = _log_folder(spark, sf_dir)
+    per_trigger = per_trigger or -(-len(spark.read.parquet(path).inputFiles()) // 4)
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).parquet(path)
 
 
