@@ -4,10 +4,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +18,10 @@ from feedyard.llm.common import chunks, id_text
 # White space as Unicode defines it, and the contractions that the vocabulary's splitting rule names.
 SPACES = " \t\n\x0b\x0c\r\x85\xa0  -     　"
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
-# Distinct words kept encoded per Python worker; beyond it the store starts anew.
-WORDS_KEPT = 800_000
+# Bytes of encoded words kept per Python worker, whatever their lengths; beyond it the store starts anew.
+BYTES_KEPT = 24 << 20
+# Unknown words that texts wait for at most, but for those of one text, before they are merged.
+WORDS_WAITING = 30_000
 NONE = np.int64(1) << 60  # no mergeable pair
 
 
@@ -93,7 +95,9 @@ class BytePairCodec:
         self.stop = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.split = WordSplitter()
         self.decimal = [str(i) for i in range(size)]
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.kind = "<u2" if size <= 1 << 16 else "<u4"
+        self.known: dict[str, bytes] = {}
+        self.held = 0
 
     # -- merges ---------------------------------------------------------------------------------------------------
 
@@ -231,23 +235,53 @@ class BytePairCodec:
     def merge_words(self, words: list[str]) -> list[list[int]]:
         return [ids.tolist() for ids in self.merge([w.encode() for w in words])]
 
-    def encode_many(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text. Words met before are looked up; the others of all the texts are merged together."""
-        if len(self.known) > WORDS_KEPT:
+    def _keep(self, word: str, ids: list[int]) -> None:
+        packed = np.array(ids, self.kind).tobytes()
+        self.known[word] = packed
+        self.held += sys.getsizeof(word) + sys.getsizeof(packed) + 32
+
+    def _settle(self, waiting: list[tuple[list, list[tuple[int, str]]]]) -> None:
+        """Merge the words that the texts wait for, all together, and put their ids in."""
+        new = list({word for _, gaps in waiting for _, word in gaps})
+        for word, ids in zip(new, self.merge_words(new)):
+            self._keep(word, ids)
+        for ids, gaps in waiting:
+            for i, word in gaps:
+                ids[i] = self.known[word]
+
+    def pack_many(self, texts: list[str]) -> list[bytes]:
+        """Little-endian ids of each text. Words met before are looked up; the others of many texts are merged together.
+
+        Words are kept as the bytes of their ids, and of a split text only the words not yet known outlive it.
+        """
+        if self.held > BYTES_KEPT:
             self.known.clear()
+            self.held = 0
         if not self.known:
-            self.known.update({token: (i,) for token, i in self.added.items()})
+            for token, i in self.added.items():
+                self._keep(token, [i])
         get = self.known.get
-        split = [self.words(t) for t in texts]
-        found = [list(map(get, words)) for words in split]
-        gaps = [[i for i, x in enumerate(ids) if x is None] if None in ids else () for ids in found]
-        new = list({words[i] for words, at in zip(split, gaps) for i in at})
-        for word, ids in zip(new, self.merge_words(new)):
-            self.known[word] = tuple(ids)
-        for words, ids, at in zip(split, found, gaps):
-            for i in at:
-                ids[i] = self.known[words[i]]
-        return [list(chain.from_iterable(ids)) for ids in found]
+        out, waiting, count = [], [], 0
+        for text in texts:
+            words = self.words(text)
+            ids = list(map(get, words))
+            out.append(ids)
+            if None in ids:
+                gaps = [(i, words[i]) for i, x in enumerate(ids) if x is None]
+                waiting.append((ids, gaps))
+                count += len(gaps)
+            if count >= WORDS_WAITING:
+                self._settle(waiting)
+                waiting, count = [], 0
+        self._settle(waiting)
+        return [b"".join(ids) for ids in out]
+
+    def unpack(self, packed: bytes) -> list[int]:
+        return np.frombuffer(packed, self.kind).tolist()
+
+    def encode_many(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text."""
+        return [self.unpack(x) for x in self.pack_many(texts)]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
@@ -281,12 +315,14 @@ def digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: s
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(tokenizer)
         for ids, bodies in chunks(batches):
-            coded = c.encode_many([b.decode() for b in bodies])
-            decimal = c.decimal.__getitem__
-            own = [hashlib.sha256(",".join(map(decimal, x)).encode()).hexdigest() for x in coded]
-            back = [hashlib.sha256(c.decode(x).encode()).hexdigest() for x in coded]
+            decimal, counts, own, back = c.decimal.__getitem__, [], [], []
+            for packed in c.pack_many([b.decode() for b in bodies]):
+                coded = c.unpack(packed)
+                counts.append(len(coded))
+                own.append(hashlib.sha256(",".join(map(decimal, coded)).encode()).hexdigest())
+                back.append(hashlib.sha256(c.decode(coded).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(map(len, coded), pa.int64()), pa.array(own), pa.array(back)],
+                [pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(own), pa.array(back)],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

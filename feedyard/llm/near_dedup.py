@@ -24,13 +24,13 @@ BLOCK = 1024  # members of a bucket that meet as one block inside a task
 BLOCK_SHINGLES = 1 << 21  # shingles (16 MB) that the members of a block hold together, a longer text aside
 BROADCAST_IDS = 250_000  # so many node numbers (2 MB) at most are sent to every executor; more are joined by shuffle
 SEED = 20_231
-MEMO = 400_000  # word hashes remembered per Python worker
+MEMO, MEMO_WORD = 100_000, 32  # word hashes remembered per Python worker, of words of so many bytes
 
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < MEMO:
+        if len(self) < MEMO and len(word) <= MEMO_WORD:
             self[word] = h
         return h
 
@@ -112,11 +112,12 @@ def _prune(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [shingles(b) for b in batch.column(1).to_pylist()]
+    """``(node, own, hashes)`` of each text, some texts at a time; a set goes into its column without a copy in between."""
+    for ids, bodies in chunks(batches):
+        found = [shingles(b) for b in bodies]
         yield pa.RecordBatch.from_arrays([
-            batch.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in found], pa.binary()),
-            pa.array([s.tobytes() for s in found], pa.binary())], ["node", "own", "hashes"])
+            pa.array(ids, pa.int64()), pa.array([xxhash.xxh3_128_digest(s) if len(s) else None for s in found], pa.binary()),
+            pa.array(map(memoryview, found), pa.binary())], ["node", "own", "hashes"])
 
 
 def _similar(x: np.ndarray, y: np.ndarray) -> bool:
@@ -130,7 +131,7 @@ def _similar(x: np.ndarray, y: np.ndarray) -> bool:
 def _confirm(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b, hashes_a, hashes_b) that are similar enough on their full sets."""
     for batch in batches:
-        ok = [_similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        ok = [_similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(batch.column(2), batch.column(3))]
         keep = pa.array(ok, pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in (0, 1)], ["a", "b"])
 

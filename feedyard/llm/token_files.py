@@ -21,13 +21,15 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from feedyard.llm.bpe import WORDS_KEPT, BytePairCodec
+from feedyard.llm.bpe import BytePairCodec
 from feedyard.llm.common import chunks, id_text
 from feedyard.session import stable, work_dir
 
 # Fixed values of the seekable format.
 SKIPPABLE_HEADER, SKIPPABLE_IDS, SKIPPABLE_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A51, 0x184D2A5E, 0x8F92EAB1
 CHECKSUMS = 0x80
+# Distinct words kept packed per Python worker; beyond it the store starts anew.
+WORDS_KEPT = 800_000
 NO_ID = -(1 << 63)  # how a NULL identifier is written
 
 

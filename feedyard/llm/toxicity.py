@@ -24,6 +24,8 @@ THRESHOLD = 0.7
 # Steps of a round at least; clean windows per toxic one at most.
 STEPS, CLEAN_SHARE = 120, 3
 WORDS_KEPT = 300_000
+# Words whose character parts a task holds at once.
+EMBEDDED_AT_ONCE = 1 << 13
 PAD = b"\x00"  # no word holds it
 SEED = 7
 
@@ -313,17 +315,20 @@ class _Scorer:
 
     def _forget(self) -> None:
         self.numbers: dict[bytes, int] = {PAD: 0}
-        self.table = np.zeros((2, 1024, 3 * HIDDEN), np.float32)
+        self.table = np.zeros((2, WORDS_KEPT, 3 * HIDDEN), np.float32)  # pages not written to take no memory
 
     def __call__(self, texts: list[str]) -> list[float]:
         docs = [words_of(t) for t in texts]
-        if len(self.numbers) > WORDS_KEPT:
-            self._forget()
         new = list(set().union(*docs).difference(self.numbers))
+        if len(self.numbers) + len(new) > WORDS_KEPT:
+            self._forget()
+            new = list(set().union(*docs))
         begin = len(self.numbers)
         if begin + len(new) > self.table.shape[1]:
-            self.table = np.concatenate([self.table, np.zeros((2, begin + len(new), 3 * HIDDEN), np.float32)], axis=1)
-        self.table[:, begin:begin + len(new)] = self.net.project(self.net.embed(new))
+            self.table = np.zeros((2, begin + len(new), 3 * HIDDEN), np.float32)
+        for a in range(0, len(new), EMBEDDED_AT_ONCE):
+            some = new[a:a + EMBEDDED_AT_ONCE]
+            self.table[:, begin + a:begin + a + len(some)] = self.net.project(self.net.embed(some))
         self.numbers.update(zip(new, range(begin, begin + len(new))))
         get = self.numbers.__getitem__
         at, mask, owner, short = [], [], [], []

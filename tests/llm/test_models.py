@@ -303,3 +303,16 @@ def test_pipeline_stages_take_any_rows(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0
     tokens = p.to_tokens(spark, docs, SF).filter("doc_id is null or doc_id >= 10000000")
     assert tokens.count() == 7 and p.to_tokens(spark, docs.limit(0), SF).count() == 0
+
+
+def test_scorer_embeds_few_words_at_a_time():
+    """A text of very many distinct words: their character parts are never held all at once, and the scores are those of one go."""
+    net = toxicity.train(["bad words here", "good words there"] * 20, [1, 0] * 20)
+    text = " ".join(f"w{i}x" for i in range(20_000))
+    asked, embed = [], net.embed
+    net.embed = lambda words: asked.append(len(words)) or embed(words)
+    scorer = toxicity._Scorer(net)
+    got = scorer([text, "good words"])
+    assert max(asked) <= 1 << 13 and sum(asked) >= 20_000
+    net.embed = embed
+    assert np.allclose(got, [toxicity._Scorer(net)([t])[0] for t in (text, "good words")], atol=1e-6)

@@ -1,6 +1,8 @@
 """BPE and token files against the library, edge cases and random texts."""
 import hashlib
 import random
+import sys
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -34,6 +36,30 @@ def test_encodes_and_decodes_as_the_library(codec, library):
         assert codec.decode(ids) == library.decode(want, skip_special_tokens=False)
 
 
+def test_words_are_kept_in_few_bytes(codec):
+    """Many distinct words, then long ones: what a worker keeps is small per word and counted by bytes."""
+    codec.encode_many(["warm"])
+    before, text = len(codec.known), " ".join(f"{i * 7919:x}q{i:x}" for i in range(30_000))
+    tracemalloc.start()
+    try:
+        codec.encode_many([text])
+        assert tracemalloc.get_traced_memory()[0] / (len(codec.known) - before) < 130
+    finally:
+        tracemalloc.stop()
+    r = random.Random(5)
+    for _ in range(4):
+        codec.encode_many(["".join(r.choices("abcdefghij", k=40)) * 40 for _ in range(40)])
+        assert sum(sys.getsizeof(w) + sys.getsizeof(x) for w, x in codec.known.items()) <= codec.held
+
+
+def test_store_starts_anew_beyond_its_bytes(codec, library, monkeypatch):
+    monkeypatch.setattr(bpe, "BYTES_KEPT", 20_000)
+    for n in range(6):
+        text = " ".join(f"w{n}x{i}" for i in range(150)) + " " + "z" * (1000 + n)
+        assert codec.encode_many([text])[0] == library.encode(text, add_special_tokens=False).ids
+        assert codec.held < 60_000 or n == 0
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=60))
 def test_round_trip(codec, text):
