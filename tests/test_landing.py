@@ -5,6 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from feedyard.checks import views
 from feedyard.functions.filenames import check_regex, name_pattern, name_template, parse_by_rules, parse_filename, version_rank
 from feedyard.functions.fingerprints import file_fingerprint
 from feedyard.functions.requests import parse_request, truthy
@@ -253,3 +254,11 @@ def test_wide_rows_between_passes_are_kept_in_compressed_columns(spark):
     again = kept(df)
     assert sorted(again.collect()) == sorted(df.collect()) and all(f.endswith(".zstd.parquet") for f in again.inputFiles())
     assert kept(df.filter("id < 0")).count() == 0
+
+
+def test_stored_files_bound_the_rows_of_a_task(spark, tmp_path, monkeypatch):
+    """However narrow the stored numbers are, no file of theirs holds more rows than a task should make names of."""
+    monkeypatch.setattr(views, "ROWS_PER_FILE", 700)
+    stored = views.stored(spark, str(tmp_path), "numbers", lambda: spark.range(10_000).coalesce(2))
+    sizes = [r["count"] for r in stored.groupBy(F.input_file_name().alias("file")).count().collect()]
+    assert sum(sizes) == 10_000 and max(sizes) <= 700
