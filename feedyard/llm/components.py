@@ -5,6 +5,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from feedyard.session import stable
 
+EDGES_PER_TASK = 5_000  # a round shuffles several times, and each task that writes a shuffle leaves files of its own, however few its edges
+
 
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -29,12 +31,13 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     now = stable(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = _state(now)
     for _ in range(max_rounds):
-        around = _both_ways(now)
-        large = around.join(_least(around), "a").filter("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        tasks = 1 + before[0] // EDGES_PER_TASK
+        around = _both_ways(now.coalesce(tasks))
+        large = around.join(_least(around), "a").filter("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct().coalesce(tasks)
         around = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = around.groupBy("a").agg(F.min("b").alias("m"))
         small = around.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
-        now = stable(small.distinct())
+        now = stable(small.coalesce(tasks).distinct().coalesce(tasks))
         after = _state(now)
         if after == before:
             break

@@ -22,6 +22,7 @@ BATCH = 16  # signature rows compared at a time
 MISS = 1e-7  # a pair is pruned when the posterior probability of enough similarity falls below this
 BLOCK = 1024  # members of a bucket that meet as one block inside a task
 BLOCK_SHINGLES = 1 << 21  # shingles (16 MB) that the members of a block hold together, a longer text aside
+PAIRS = 1 << 15  # pairs of a group looked at together; those that signatures leave are held with both signatures (32 MB)
 BROADCAST_IDS = 250_000  # so many node numbers (2 MB) at most are sent to every executor; more are joined by shuffle
 SEED = 20_231
 MEMO, MEMO_WORD = 100_000, 32  # word hashes remembered per Python worker, of words of so many bytes
@@ -188,7 +189,7 @@ class _Corpus:
 
         The members of a bucket are dealt into blocks, and every two blocks meet in one call, so a bucket of m members is sent
         about m / BLOCK times. The first meeting is on signatures alone and leaves the members that some pair needs;
-        the second has their full sets and confirms pairs, most alike first, leaving out those that links found there already join. Pairs never become rows.
+        the second has their full sets, which the signatures follow from, and confirms pairs, most alike first, leaving out those that links found there already join. Pairs never become rows.
         A pair is looked at in the first band that it shares, once.
         """
         held = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("held"), F.sum("n").alias("weight"))
@@ -199,9 +200,8 @@ class _Corpus:
         met = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
         suspects = stable(met.mapInArrow(_suspects, "key bigint, i int, j int, own int, node bigint, root bigint, n bigint"))
         ids = stable(suspects.select("node").distinct())
-        sets = stable(self.pick(self.nodes.select("node", "sig"), ids, "node").join(self.sets(ids), "node"))
-        met = suspects.join(sets, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-        return stable(met.select("key", "i", "j", "own", "node", "root", "n", "sig", "hashes").mapInArrow(_settle, "a bigint, b bigint"))
+        met = suspects.join(stable(self.sets(ids)), "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        return stable(met.select("key", "i", "j", "own", "node", "root", "n", "hashes").mapInArrow(_settle, "a bigint, b bigint"))
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -236,7 +236,7 @@ def _candidates(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
     first = own == group.column("i")[0].as_py()
     left, right = np.flatnonzero(first), np.arange(len(own)) if same else np.flatnonzero(~first)
     least = least_matches()
-    step = max(1, (1 << 17) // max(1, len(right)))
+    step = max(1, PAIRS // max(1, len(right)))
     for begin in range(0, len(left), step):
         some = left[begin:begin + step]
         can = root[some][:, None] != root[right][None, :]
@@ -272,7 +272,8 @@ def _settle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, root = group.column("node").to_numpy(), group.column("root").to_numpy()
         parts, part = np.unique(root, return_inverse=True)
         up = list(range(len(parts)))
-        sets = [np.frombuffer(b, np.uint64) for b in group.column("hashes").to_pylist()]
+        sets = [np.frombuffer(b.as_buffer(), np.uint64) for b in group.column("hashes")]  # not copied
+        group = group.append_column("sig", pa.array(map(signature, sets), pa.binary()))
 
         def find(x: int) -> int:
             while up[x] != x:

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from feedyard.llm.common import chunks, id_text
+from feedyard.llm.common import bounded_batches, chunks, id_text
 
 WINDOW, STRIDE = 32, 16
 HIDDEN, ATTENTION = 8, 8
@@ -387,6 +387,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, in_training: Column, id_col:
     net = fit(docs, labels, in_training, id_col, text_col, **settings)
     if net is None:
         return docs
+    bounded_batches(docs.sparkSession)
     shared, at = docs.sparkSession.sparkContext.broadcast(net), docs.columns.index(text_col)  # a fixed size
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
