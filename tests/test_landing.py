@@ -1,5 +1,7 @@
 """Filenames, requests, selection, classification and packing."""
+import hashlib
 import json
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -262,3 +264,34 @@ def test_stored_files_bound_the_rows_of_a_task(spark, tmp_path, monkeypatch):
     stored = views.stored(spark, str(tmp_path), "numbers", lambda: spark.range(10_000).coalesce(2))
     sizes = [r["count"] for r in stored.groupBy(F.input_file_name().alias("file")).count().collect()]
     assert sum(sizes) == 10_000 and max(sizes) <= 700
+
+
+def test_requested_paths_are_shuffled_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = _classified(spark, False)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(feed_key#" not in re.sub(r"hashpartitioning\(feed_key#\d+, \d+\)", "", plan)  # by the feed alone they meet the configuration
+        assert plan.count("hashpartitioning(_path#") == plan.count("hashpartitioning(_listed_path#") == plan.count("hashpartitioning(_print#") == 1
+        assert {r["file_path"] for r in rows.collect() if r["final_eligible"]} == {"d/x_2.txt"}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_listed_entries_of_one_path_stay_apart_by_feed(spark):
+    config = spark.createDataFrame([(f, r"^(x)_(\d+)\.txt$", "1|vendor_code|string") for f in ("f", "g", "h")], "feed_key string, src_file_regex string, src_file_capture_spec string")
+    listing = spark.createDataFrame([
+        ("f", "x_1.txt", "d/x_1.txt", "fp_f", 1), ("g", "x_1.txt", "d/x_1.txt", " fp_g ", 2), ("f", "x_7.txt", "d/other", "", 3), ("f", "x_1.txt", "d/x_1.txt", "fp_f", 1), ("f", "x_9.txt", None, "fp_n", 4)],
+        "feed_key string, file_name string, file_path string, file_fingerprint string, src_size bigint")
+    asked = spark.createDataFrame([(f, r, p, False) for f, r, p in (
+        ("f", "r", "d/x_1.txt"), ("f", "s", "d/x_1.txt"), ("g", "r", "d/x_1.txt"), ("h", "r", "d/x_1.txt"), ("f", "r", "d/other"), ("f", "r", None), (None, "r", "d/x_1.txt"))],
+        "feed_key string, request_id string, file_path string, force_reprocess boolean")
+    inv = spark.createDataFrame([("e", "fp_g", "LOADED_BRONZE")], "file_path string, file_fingerprint string, load_status string")
+    out = waterfall.classify(asked, listing, config, inv, spark.createDataFrame([("fp_f",)], "identity string"))
+    rows = {(r["feed_key"], r["request_id"], r["file_path"]): r for r in out.collect()}
+    assert len(rows) == 7
+    assert rows["f", "r", "d/x_1.txt"]["blocked_recent"] and rows["f", "s", "d/x_1.txt"]["src_size"] == 1
+    assert rows["g", "r", "d/x_1.txt"]["already_done"] and rows["g", "r", "d/x_1.txt"]["file_fingerprint"] == "fp_g" and rows["g", "r", "d/x_1.txt"]["src_size"] == 2
+    assert not rows["h", "r", "d/x_1.txt"]["exists_in_source"] and not rows[None, "r", "d/x_1.txt"]["exists_in_source"] and not rows["f", "r", None]["exists_in_source"]
+    named = rows["f", "r", "d/other"]
+    assert named["file_name"] == "x_7.txt" and named["final_eligible"] and named["file_fingerprint"] == hashlib.sha256(b"d/other|none|none").hexdigest()
