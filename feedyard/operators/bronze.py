@@ -52,9 +52,11 @@ def with_month(rows: DataFrame, date_column: str, name: str = "date_month") -> D
     return rows.withColumn(name, F.date_format(F.trunc(col_q(date_column).try_cast("date"), "month"), "yyyy-MM"))
 
 
-def bronze_counts(bronze: DataFrame) -> DataFrame:
-    """Rows per loaded file."""
-    return bronze.groupBy("src_file_fingerprint").agg(F.count(F.lit(1)).alias("cnt_row_bronze"))
+def bronze_counts(bronze: DataFrame, keyed: bool = False) -> DataFrame:
+    """Rows per loaded file. Fingerprints travel packed; ``keyed`` leaves them beside, as ``_print``, for joins by them."""
+    print_ = F.col("src_file_fingerprint")
+    counts = bronze.select(F.when(print_.isNotNull(), packed(print_)).alias("_print")).groupBy("_print").agg(F.count(F.lit(1)).alias("cnt_row_bronze"))
+    return counts.select(unpacked(F.col("_print")).alias("src_file_fingerprint"), "cnt_row_bronze", *(["_print"] if keyed else []))
 
 
 def dedup_loads(bronze: DataFrame) -> DataFrame:

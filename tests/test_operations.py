@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from feedyard import schemas
 from feedyard.functions.masking import mask_columns
 from feedyard.functions.text import parse_utc, quote_literal, quote_name
-from feedyard.operators import bronze, inventory, logs, promote, rollback
+from feedyard.operators import bronze, inventory, lineage, logs, promote, rollback
 from feedyard.plans import intake, stages
 
 NOW = "2026-01-15 12:00:00"
@@ -150,3 +150,23 @@ def test_config_sync_stages(spark):
     assert nothing.notifications.first()["event_type"] == "EMPTY_CONFIG"
     with pytest.raises(ValueError, match="requires src_uri"):
         stages.run_config_sync(raw([("f", "t", "N", "1", "a", 1, 0)]), None, "/", NOW, "d", require_src_uri=True, env="prod")
+
+
+def test_file_lifecycle_sends_fingerprints_packed_and_no_event_ids(spark):
+    digest = "0" * 63 + "a"
+    inv = spark.createDataFrame([("f", p, f"d/{i}", "LOADED_BRONZE", "NOT_READY", 1) for i, p in enumerate((digest, "plain", "unseen"))],
+                                "feed_key string, file_fingerprint string, file_path string, load_status string, promote_status string, cnt_row_bronze bigint")
+    log = spark.createDataFrame([(f"e{i}", p, s, t) for i, (p, s, t) in enumerate((
+        (digest, "STARTED", "2026-01-01"), (digest, "SUCCEEDED", "2026-01-02"), ("plain", "STARTED", "2026-01-03"), ("plain", "FAILED", "2026-01-03"), ("plain", None, "2026-01-02"), ("", "FAILED", "2026-01-04")))],
+        "event_id string, file_fingerprint string, stage_status string, ts string").withColumn("ts_event", F.col("ts").cast("timestamp"))
+    loaded = spark.createDataFrame([(digest,), (digest,), (None,), ("stray",)], "src_file_fingerprint string")
+    out = lineage.file_lifecycle(inv, log, bronze.bronze_counts(loaded, keyed=True))
+    got = {r["file_fingerprint"]: (r["cnt_events"], str(r["ts_first"])[:10], str(r["ts_last"])[:10], r["last_status"], r["cnt_found"]) for r in out.collect()}
+    assert got == {digest: (2, "2026-01-01", "2026-01-02", "SUCCEEDED", 2), "plain": (3, "2026-01-02", "2026-01-03", "FAILED", None), "unseen": (None, "None", "None", None, None)}
+    assert {r["file_fingerprint"]: r["cnt_found"] for r in lineage.file_lifecycle(inv, log, bronze.bronze_counts(loaded)).collect()} == {digest: 2, "plain": None, "unseen": None}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lineage.file_lifecycle(inv, log, bronze.bronze_counts(loaded, keyed=True))._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(file_fingerprint#" not in plan and plan.count("hashpartitioning(_print#") == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
