@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from feedyard import schemas
 from feedyard.functions.fingerprints import packed, unpacked
-from feedyard.operators import config_sync, drift, inventory, upsert as ups
+from feedyard.operators import config_sync, drift, inventory, skew, upsert as ups
 from feedyard.operators.upsert import delete_where, src, update_where, upsert
 
 
@@ -173,3 +173,13 @@ def test_tied_versions_end_with_the_highest_fingerprint_of_any_kind(spark):
             "delivery_group_key string, file_part_seq int, file_part_tot int, load_status string, cnt_row_bronze bigint")
         won = inventory.part_winners(rows).collect()
         assert [r["file_fingerprint"] for r in won] == [max(f for f in prints if f)] and won[0]["versions"] == 2
+
+
+def test_hot_keys_are_broadcast_up_to_a_bound(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_KEYS", 2)
+    facts = spark.createDataFrame([(k, i) for i, k in enumerate(["a"] * 5 + ["b"] * 4 + ["c"] * 3 + ["d"] * 2 + ["e", None])], "k string, i int")
+    lookup = spark.createDataFrame([("a", 5, "va"), ("b", 4, "vb"), ("c", 3, "vc"), ("d", 2, "vd"), (None, 9, "vn")], "k string, n bigint, v string")
+    out = skew.lookup_join(facts, lookup, ["k"], "n", hot_rows=1)
+    assert sorted((r["i"], r["v"]) for r in out.collect()) == [
+        (i, f"v{k}" if k and k != "e" else None) for i, k in enumerate(["a"] * 5 + ["b"] * 4 + ["c"] * 3 + ["d"] * 2 + ["e", None])]
+    assert "TakeOrderedAndProject(limit=2" in out._jdf.queryExecution().executedPlan().toString()
