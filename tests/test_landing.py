@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from feedyard.checks import views
+from feedyard.functions import filenames
 from feedyard.functions.filenames import check_regex, name_pattern, name_template, parse_by_rules, parse_filename, version_rank
 from feedyard.functions.fingerprints import file_fingerprint
 from feedyard.functions.requests import parse_request, truthy
@@ -295,3 +296,41 @@ def test_listed_entries_of_one_path_stay_apart_by_feed(spark):
     assert not rows["h", "r", "d/x_1.txt"]["exists_in_source"] and not rows[None, "r", "d/x_1.txt"]["exists_in_source"] and not rows["f", "r", None]["exists_in_source"]
     named = rows["f", "r", "d/other"]
     assert named["file_name"] == "x_7.txt" and named["final_eligible"] and named["file_fingerprint"] == hashlib.sha256(b"d/other|none|none").hexdigest()
+
+
+def test_sub_keys_are_tried_where_the_rows_are(spark, monkeypatch):
+    config = spark.createDataFrame([
+        ("f", "B", r"^(x)_(\d+)\.txt$", "1|vendor_code|string"), ("f", "A", r"^(y)_(\d+)\.txt$", "1|vendor_code|string"), ("f", None, r"^z$", "1|vendor_code|string"),
+        ("f", "C", r"^([xy])_1\.txt$", "1|lob_code|string"), ("g", "Z", r"^(x)_(\d+)\.txt$", "1|lob_code|string")], "feed_key string, feed_sub_key string, src_file_regex string, src_file_capture_spec string")
+    names = spark.createDataFrame([(f, n, f"{f}/{n}") for f in ("f", "g", "h") for n in ("x_1.txt", "y_1.txt", "y_2.txt", "none", "x_20.txt")], "feed_key string, file_name string, file_path string")
+
+    def run(how, only=()):
+        return filenames.parse_by_config(names, config, ["feed_key", "file_path"], how, only=only)
+
+    for how in ("inner", "left"):
+        near = run(how)
+        assert "hashpartitioning(feed_key#" not in re.sub(r"hashpartitioning\(feed_key#\d+, \d+\)", "", near._jdf.queryExecution().executedPlan().toString())
+        near = {(r["feed_key"], r["file_name"]): r.asDict() for r in near.collect()}
+        with monkeypatch.context() as m:
+            m.setattr(filenames, "SUB_KEYS_IN_PLACE", 0)
+            assert near == {(r["feed_key"], r["file_name"]): r.asDict() for r in run(how).collect()}
+        assert len(near) == (10 if how == "inner" else 15)
+        assert [(near["f", n]["feed_sub_key"], near["f", n]["vendor_code"]) for n in ("x_1.txt", "y_2.txt", "none")] == [("B", "x"), ("A", "y"), (None, None)]
+        assert near["g", "x_20.txt"]["lob_code"] == "x" and near["g", "y_1.txt"]["feed_sub_key"] == "Z"
+    assert set(run("inner", ("lob_code",)).columns) == {"feed_key", "file_path", "lob_code", "feed_sub_key", "parse_status"}
+
+
+def test_selected_paths_are_dealt_as_classification_needs_them(spark):
+    feeds = spark.createDataFrame([("f", r"^(x)_(\d+)\.txt$", "1|vendor_code|string", "FILE_DATE", 5)], "feed_key string, src_file_regex string, src_file_capture_spec string, sched_selector_type string, sched_lookback_minutes int")
+    listing = _listing(spark, [("f", n, f"d/{n}", f"fp_{n}", 1, 1, None, None) for n in ("x_1.txt", "x_2.txt", "bad.txt")])
+    ask = parse_request(spark.createDataFrame([("f", "r", "d", '{"request_type":"DISCOVERY"}')], "feed_key string, request_id string, source_dir string, request_json string"))
+    parsed = filenames.parse_by_config(listing.select("feed_key", "file_path", "file_name", "src_mtime_ms"), feeds, ["feed_key", "file_path"])
+    paths = selectors.dealt_paths(ask, parsed, feeds, "2026-01-15").withColumn("force_reprocess", F.lit(False))
+    inv = spark.createDataFrame([("d/x_1.txt", "fp_x_1.txt", "LOADED_BRONZE")], "file_path string, file_fingerprint string, load_status string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flags = waterfall.classify(paths, listing, feeds, inv, spark.createDataFrame([], "identity string"))
+        assert flags._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(_path#") == 1
+        assert {r["file_path"]: r["final_eligible"] for r in flags.collect()} == {"d/x_1.txt": False, "d/x_2.txt": True, "d/bad.txt": False}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
