@@ -334,3 +334,30 @@ def test_selected_paths_are_dealt_as_classification_needs_them(spark):
         assert {r["file_path"]: r["final_eligible"] for r in flags.collect()} == {"d/x_1.txt": False, "d/x_2.txt": True, "d/bad.txt": False}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_chunks_inside_a_run_are_not_shuffled(spark):
+    rows = spark.range(300).select(F.lit("f").alias("feed_key"), F.concat(F.lit("r"), F.col("id") % 2).alias("request_id"), F.format_string("p%04d", "id").alias("file_path"), *[
+        (F.col("id") % n == 0).alias(c) for n, c in ((2, "pattern_valid"), (3, "exists_in_source"), (5, "blocked_recent"), (7, "already_done"), (11, "ready"), (13, "in_inventory"), (4, "final_eligible"))])
+    rows = rows.withColumn("requested", F.lit(True))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        out = waterfall.path_lists(rows, 7)
+        got, n = {}, 0
+        for r in out.collect():
+            got.setdefault((r["request_id"], r["list_name"]), {})[r["chunk_no"]] = r["paths"]
+            n += 1
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    # chunks inside a run are grouped by the run too, where they are
+    assert "Union" in plan and re.search(r"ObjectHashAggregate\(keys=\[feed_key#\d+, request_id#\d+, list_name#\d+, chunk_no#\d+, _pid#\d+\]", plan)
+    assert n == sum(map(len, got.values()))
+    for name, cond in waterfall.PATH_LISTS.items():
+        held = {r["file_path"]: r for r in rows.filter(cond).collect()}
+        for request in ("r0", "r1"):
+            want = sorted(p for p, r in held.items() if r["request_id"] == request)
+            chunks = [want[i:i + 7] for i in range(0, len(want), 7)]
+            assert [c for _, c in sorted(got.get((request, name), {}).items())] == chunks, (request, name)
